@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiscope.llm import chat, decontaminate, line_dedup
+from lexiscope.llm import chat, decontaminate, line_dedup, near_dup, pieces, token_ids
 from lexiscope.llm.common import table
 
 
@@ -18,12 +18,25 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_ids.digest(table(spark, sf_dir, "documents"))
+
+
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_chat_format, op4_line_dedup, op7_decontaminate)
+    f.__name__: f
+    for f in (op1_chat_format, op4_line_dedup, op5_sentencepiece, op7_decontaminate, op8_token_ids, op10_near_dup)
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": chat.SQL,
