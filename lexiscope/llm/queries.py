@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiscope.llm import chat, decontaminate, line_dedup, near_dup, pieces, token_ids
+from lexiscope.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    line_dedup,
+    media,
+    near_dup,
+    pieces,
+    quality,
+    token_ids,
+    toxicity,
+)
 from lexiscope.llm.common import table
 
 
@@ -14,6 +25,14 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
 
+def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digest(table(spark, sf_dir, "documents"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -22,6 +41,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -30,14 +53,21 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_chat_format, op4_line_dedup, op5_sentencepiece, op7_decontaminate, op8_token_ids, op10_near_dup)
-}
+    for f in (
+        op1_chat_format, op2_media_columns, op3_license_scan, op4_line_dedup, op5_sentencepiece, op6_toxicity,
+        op7_decontaminate, op8_token_ids, op9_quality, op10_near_dup,
+    )
+}
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": chat.SQL,
     "op4_line_dedup": line_dedup.SQL,
