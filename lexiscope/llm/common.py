@@ -50,12 +50,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SALTS = 16
 
 
-def with_totals(rows: DataFrame, keys: list[str], deal: str, *totals: Column) -> DataFrame:
-    """rows with totals over their keys, where one key may have a large part of all rows.
+def with_totals(rows: DataFrame, keys: list[str], deal: str, *totals: Column, having: str = "true") -> DataFrame:
+    """rows with totals over their keys (those that fit ``having``), where one key may have a large part of all rows.
 
     Rows of a key are dealt by the hash of the column ``deal``; totals are combined before the
     shuffle, then handed to each share of the key that has rows, so no task gets a whole key.
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(deal), F.lit(SALTS)))
-    summed = salted.groupBy(*keys).agg(*totals, F.collect_set("_salt").alias("_salts"))
+    summed = salted.groupBy(*keys).agg(*totals, F.collect_set("_salt").alias("_salts")).where(having)
     return salted.join(summed.withColumn("_salt", F.explode("_salts")), [*keys, "_salt"]).drop("_salt", "_salts")

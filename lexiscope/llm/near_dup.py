@@ -312,7 +312,8 @@ def near_duplicates(
     members = loosely.join(classes.select("id", "h1", "h2", "n"), "id")
     totals = members.groupBy("comp").agg(F.sum("n").alias("total"))
     members = staged(members.join(totals, "comp").select("id", "comp", "h1", "h2", "total"), "members")
-    text = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members, "id")
+    # the members are the hashed side at every size: texts aren't sorted, nor the members broadcast
+    text = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members.hint("shuffle_hash"), "id")
     sets = text.mapInArrow(_full_sets(k), "comp long, id long, total long, n long, words binary")
     if members.where(F.col("total") > group_shingles).isEmpty():
         small, links = sets, None
