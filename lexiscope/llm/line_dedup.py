@@ -2,8 +2,9 @@
 
 Every line gets a 128-bit key hash. The hashes are range-partitioned together with a salt of the
 document, sorted by document (largest first) and position within, and a window streams over each
-run to mark first occurrences. A key's runs in all salts are then summed (map-side combined), so a
-line that a third of all documents hold never meets in one task. What travels between stages is a
+run to mark first occurrences. A key's runs in all salts are then summed (map-side combined), and
+the sums go back to each share of the key, so a line that a third of all documents hold never meets
+in one task. What travels between stages is a
 hash, a document id and a position; the result is a sparse bitmap of 64-line words per document.
 
 Defined cases: a null text is one empty line; a null doc_id is one document, ordered below all
@@ -17,9 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiscope.llm.common import ASCII_SPACE, ascii_lower
+from lexiscope.llm.common import ASCII_SPACE, SALTS, ascii_lower, staged, with_totals
 
-SALTS = 16
 NO_ID = -(2**63)
 
 
@@ -47,12 +47,12 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> D
     )
     ranged = hashed.repartitionByRange("h1", "h2", "salt").sortWithinPartitions("h1", "h2", "salt", F.desc("rid"), "pos")
     run = Window.partitionBy("h1", "h2", "salt").orderBy(F.desc("rid"), "pos")
-    seen = ranged.withColumn("first", (F.row_number().over(run) == 1) | (F.lag("rid").over(run) != F.col("rid")))
-    totals = (
-        seen.where("first").groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("rid").alias("keeper"))
-        .where(F.col("n_docs") >= min_docs)
-    )
-    return seen.join(totals, ["h1", "h2"]).where(F.col("rid") < F.col("keeper")).select("rid", "rhash", "pos")
+    first = (F.row_number().over(run) == 1) | (F.lag("rid").over(run) != F.col("rid"))
+    seen = staged(ranged.withColumn("first", first).drop("salt"), "lines")  # read twice below
+    counted = with_totals(
+        seen, ["h1", "h2"], "rid", F.count_if("first").alias("n_docs"), F.max("rid").alias("keeper"), having=f"n_docs >= {min_docs}"
+    )
+    return counted.where(F.col("rid") < F.col("keeper")).select("rid", "rhash", "pos")
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
