@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiscope.llm.common import staged
+from lexiscope.llm.common import staged, with_totals
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -25,10 +25,8 @@ def star_components(edges: DataFrame) -> DataFrame:
     state = _state(e)
     while True:
         both = e.union(e.select("v", "u"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
+        large = with_totals(both, ["u"], "v", F.least(F.min("v"), F.first("u")).alias("m")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        joined = with_totals(large, ["u"], "v", F.min("v").alias("m"))
         small = joined.select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         e = staged(small.select("e.u", "e.v").where("u <> v").distinct(), "edges")
         before, state = state, _state(e)
