@@ -20,8 +20,8 @@ encoded. Extra columns are carried along; the new columns replace their namesake
 from __future__ import annotations
 
 import functools
+import hashlib
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -199,53 +199,57 @@ def _words(line: str) -> list[str]:
     return out
 
 
-ENCODED = "ids array<int>, score double, second_gap double, decoded string"
+#: What encode_documents can add to a table.
+COLUMNS = {
+    "ids": "array<int>", "n_pieces": "long", "ids_sha256": "string", "score": "double", "second_gap": "double",
+    "decoded": "string", "decoded_sha256": "string", "round_trip": "boolean",
+}
+
+
+def _encode(path: str, schema: pa.Schema, wanted: tuple[str, ...]):
+    def column(name: str, rows: list[tuple[bytes, float, float]], decoded: list[str], texts: list[str]) -> pa.Array:
+        if name == "ids":
+            ends = np.concatenate([[0], np.cumsum([len(r[0]) // 4 for r in rows])])
+            flat = np.frombuffer(b"".join(r[0] for r in rows), "<u4").astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        values = {
+            "n_pieces": lambda: [len(r[0]) // 4 for r in rows],
+            "ids_sha256": lambda: [hashlib.sha256(r[0]).hexdigest() for r in rows],
+            "score": lambda: [float(r[1]) for r in rows],
+            "second_gap": lambda: [None if r[2] == float("inf") else float(r[2]) for r in rows],
+            "decoded": lambda: decoded,
+            "decoded_sha256": lambda: [hashlib.sha256(d.encode("utf-8", "surrogatepass")).hexdigest() for d in decoded],
+            "round_trip": lambda: [d == t for d, t in zip(decoded, texts, strict=True)],
+        }
+        return pa.array(values[name](), schema.field(name).type)
 
-
-def _encode(path: str, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared_pieces(path)
+        decode = any(c in wanted for c in ("decoded", "decoded_sha256", "round_trip"))
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                ids, sizes, scores, gaps, decoded = [], [0], [], [], []
-                for text in batch["text"].to_pylist():
-                    raw, score, gap = pieces.encode(text or "")
-                    own = np.frombuffer(raw, "<u4")
-                    ids.append(raw)
-                    sizes.append(sizes[-1] + len(own))
-                    scores.append(score)
-                    gaps.append(None if gap == float("inf") else gap)
-                    decoded.append(pieces.decode(own))
-                flat = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
-                columns = {c: batch[c] for c in batch.schema.names}
-                columns |= {"ids": pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat), "score": pa.array(scores, pa.float64()), "second_gap": pa.array(gaps, pa.float64()), "decoded": pa.array(decoded, pa.string())}
+                texts = [t or "" for t in batch["text"].to_pylist()]
+                rows = [pieces.encode(t) for t in texts]
+                decoded = [pieces.decode(np.frombuffer(r[0], "<u4")) for r in rows] if decode else []
+                columns = {c: batch[c] for c in batch.schema.names} | {c: column(c, rows, decoded, texts) for c in wanted}
                 yield from pa.table({n: columns[n] for n in schema.names}).cast(schema).to_batches()
 
     return run
 
 
-def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """docs with ids, score, second_gap (null: there is no other segmentation) and decoded, the text that the ids give back."""
+def encode_documents(docs: DataFrame, path: str | None = None, columns: tuple[str, ...] = ("ids", "score", "second_gap", "decoded")) -> DataFrame:
+    """docs with the named ones of COLUMNS: ids; their number and digest (as little-endian 32-bit numbers); the
+    best score and what the second best segmentation costs (null: there is none); the text that the ids give
+    back, its digest, and whether it is the text that went in."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    rest = docs.drop("ids", "score", "second_gap", "decoded")
-    out = rest.withColumns(
-        {"ids": F.array().cast("array<int>"), "score": F.lit(0.0), "second_gap": F.lit(None).cast("double"), "decoded": F.lit("")}
-    ).schema
-    return rest.mapInArrow(_encode(path or model_path(), to_arrow_schema(out)), out)
-
-
-def crc32_of(ids: bytes) -> int:
-    return zlib.crc32(ids)
+    rest = docs.drop(*columns)
+    out = rest.withColumns({c: F.lit(None).cast(COLUMNS[c]) for c in columns}).schema
+    return rest.mapInArrow(_encode(path or model_path(), to_arrow_schema(out), columns), out)
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """A row for each document: what encoding and decoding its whole text gave."""
-    d = encode_documents(docs.select("doc_id", "text"))
-    text = F.coalesce("text", F.lit(""))
-    return d.select(
-        "doc_id", F.length(text).cast("long").alias("n_chars"), F.size("ids").cast("long").alias("n_pieces"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "score", "second_gap",
-        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == text).alias("round_trip"),
-    )
+    """A row for each document: what encoding and decoding its whole text gave. No text or id leaves the worker."""
+    columns = ("n_pieces", "ids_sha256", "score", "second_gap", "decoded_sha256", "round_trip")
+    return encode_documents(docs.select("doc_id", "text"), columns=columns).select("doc_id", *columns)
