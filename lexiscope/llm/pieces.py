@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Entries of the tables of words and of links; both live as long as a Python worker.
-WORDS, UNITS = 500_000, 500_000
+WORDS, UNITS = 400_000, 1_000_000
 #: Stands for a literal U+2581 in a lattice.
 LITERAL = "\ud800"
 
@@ -65,10 +65,9 @@ class Pieces:
                 self.ids[piece], self.score[piece] = i, sp.get_score(i)
                 self.bytes_of.append(piece.replace(MARK, " ").encode())
         self.unknown = min(self.score.values()) - 10
-        self.longest = max(map(len, self.score))
-        self.by_first: dict[str, int] = {}  # the longest piece that begins with a character
-        for p in self.score:
-            self.by_first[p[0]] = max(len(p), self.by_first.get(p[0], 0))
+        #: Scores of pieces, None for what only begins one. A score of 0 would end a search, so it is as near to 0 as can be.
+        self.prefixes: dict[str, float | None] = {p[:n]: None for p in self.score for n in range(1, len(p))}
+        self.prefixes.update((p, s or -5e-324) for p, s in self.score.items())
         if any(MARK in p.lstrip(MARK) or ("\n" in p and p != "\n") for p in self.score):
             raise ValueError("a piece of this vocabulary goes on after a word's end")
         self.pairs = {p[i : i + 2] for p in self.score for i in range(len(p) - 1)}
@@ -80,19 +79,23 @@ class Pieces:
         n = len(word)
         edges: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
         best = [0.0] + [-1e300] * n
-        get, first = self.score.get, self.by_first.get
+        get, unknown = self.prefixes.get, self.unknown
         for a in range(n):
-            base = best[a]
-            s = get(word[a], self.unknown)
-            edges[a + 1].append((a, s))
-            if base + s > best[a + 1]:
-                best[a + 1] = base + s
-            for b in range(a + 2, min(n, a + first(word[a], 1)) + 1):
-                s = get(word[a:b])
+            base, b = best[a], a + 1
+            s = get(word[a], 0)
+            if s is None or s == 0:
+                edges[b].append((a, unknown))
+                if base + unknown > best[b]:
+                    best[b] = base + unknown
+            while s != 0:  # None: a beginning of pieces, no piece itself
                 if s is not None:
                     edges[b].append((a, s))
                     if base + s > best[b]:
                         best[b] = base + s
+                if b == n:
+                    break
+                b += 1
+                s = get(word[a:b], 0)
         return edges, best
 
     def cuts(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
