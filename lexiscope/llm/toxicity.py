@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from lexiscope.llm import label_model
 
 #: Rows of labelled text that the lexicons, the label model and the classifier are fitted on, and their characters.
-SAMPLE_ROWS, SAMPLE_CHARS = 12_000, 48_000_000
+SAMPLE_ROWS, SAMPLE_CHARS = 8_000, 20_000_000
 #: A general list of insults, fixed.
 INSULTS = frozenset(
     "idiot idiots stupid moron morons dumb loser losers trash scum garbage pathetic worthless disgusting clown clowns "
@@ -59,37 +59,41 @@ def features_of(word: str) -> list[str]:
 def mine_lexicon(texts: list[str], labels: np.ndarray) -> dict[str, float]:
     """Features that toxic texts have more often than chance allows, with their log-odds."""
     ids: dict[str, int] = {}
-    keys, marks = [], []
+    keys = [np.zeros((0, 3), np.int32)]
+    marks = [np.zeros(0, np.int8)]
     for text, y in zip(texts, labels, strict=True):
-        w = np.fromiter((ids.setdefault(x, len(ids)) for x in _WORD.findall(text.lower())), np.int64)
+        w = np.fromiter((ids.setdefault(x, len(ids)) for x in _WORD.findall(text.lower())), np.int32)
         if len(w):
-            around = np.concatenate([[-1], w, [-1]])
+            around = np.concatenate([[-1], w, [-1]]).astype(np.int32)
             keys.append(np.stack([w, around[:-2], around[2:]], axis=1))
-            marks.append(np.full(len(w), y))
-    if not keys:
-        return {}
+            marks.append(np.full(len(w), y, np.int8))
     at, y = np.concatenate(keys), np.concatenate(marks)
-    n = len(ids) + 2
-    code = (at[:, 0] * n + at[:, 1] + 1) * np.int64(0x9E3779B1) + at[:, 2]
+    del keys, marks
+    code = (at[:, 0].astype(np.int64) * (len(ids) + 2) + at[:, 1] + 1) * np.int64(0x9E3779B1) + at[:, 2]
     _, first = np.unique(code * 2 + y, return_index=True)
     word, y = at[first, 0], y[first]
+    del at, code, first
     pos, neg = (np.bincount(word[y == c], minlength=len(ids)) for c in (1, 0))
-    total: dict[str, list[int]] = {}
-    for w, k in ids.items():
-        for f in features_of(w):
-            t = total.setdefault(f, [0, 0])
-            t[0] += int(pos[k])
-            t[1] += int(neg[k])
     rate = pos.sum() / max(1, pos.sum() + neg.sum())
     if not 0 < rate < 1:
         return {}
-    names = [f for f, (p, q) in total.items() if p >= 3 and p / (p + q) > max(0.5, 2 * rate)]
-    if not names:
-        return {}
-    p, q = (np.array([total[f][i] for f in names], float) for i in (0, 1))
+    some: dict[str, int] = {}
+    for w, p in zip(ids, pos.tolist(), strict=True):
+        if p:
+            for f in features_of(w):
+                some[f] = some.get(f, 0) + p
+    tried = len(some)
+    against = {f: 0 for f, p in some.items() if p >= 3}
+    for w, q in zip(ids, neg.tolist(), strict=True):
+        if q:
+            for f in features_of(w):
+                if f in against:
+                    against[f] += q
+    names = [f for f, q in against.items() if some[f] / (some[f] + q) > max(0.5, 2 * rate)]
+    p, q = np.array([some[f] for f in names], float), np.array([against[f] for f in names], float)
     share = p / (p + q)
     g2 = 2 * (p * np.log(share / rate) + q * np.log(np.maximum(1 - share, 1e-300) / (1 - rate)) * (q > 0))
-    enough = 2 * np.log(len(total))
+    enough = 2 * np.log(tried)
     odds = np.log((p + 0.5) / (q + 0.5) * (1 - rate) / rate)
     return {f: float(o) for f, o, g, s in zip(names, odds, g2, share, strict=True) if g > enough and s > 0.8}
 
