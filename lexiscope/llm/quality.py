@@ -13,6 +13,7 @@ columns are carried along; the new columns replace their namesakes.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections import Counter
@@ -34,28 +35,30 @@ THRESHOLD = 0.5
 MEASURES = ("symbols", "capitals", "repeats", "top_word", "odd_tokens", "bars", "mean_word", "n_words", "runs")
 
 
-def measures(text: str | None) -> tuple[float, ...]:
-    """Shares of symbols, of capitals among letters, of words seen before, of the commonest word, of tokens
-    with symbols on them, of tokens that are bars; the mean length of words; their number; the share of words
-    that repeat the word before."""
-    t = text or ""
-    words = t.split()
-    n = len(words) or 1
-    counts = Counter(words)
-    symbols = len(t) - len(t.translate(_NO_SYMBOLS))
-    letters = len(t) - symbols - t.count(" ") - t.count("\n")
-    capitals = len(t) - len(t.translate(_NO_CAPITALS))
-    odd = sum(c for w, c in counts.items() if w[-1] in _SYMBOLS or w[0] in _SYMBOLS)
+def counted(text: str | None) -> tuple[list[str], Counter]:
+    words = (text or "").split()
+    return words, Counter(words)
+
+
+def measures(text: str | None, words: list[str], counts: Counter) -> tuple[float, ...]:
+    """Shares of symbols, of capitals among other characters, of words seen before, of the commonest word, of
+    tokens with symbols on them, of tokens that are bars; the mean length of words; their number; the share of
+    words that repeat the word before."""
+    data, n = (text or "").encode("utf-8", "surrogatepass"), len(words) or 1
+    symbols = len(data) - len(data.translate(None, _SYMBOLS))
+    capitals = len(data) - len(data.translate(None, _CAPITALS))
+    letters = len(data) - symbols - data.count(b" ") - data.count(b"\n")
+    odd = sum(c for w, c in counts.items() if w[-1] in _SYMBOL_SET or w[0] in _SYMBOL_SET)
     return (
-        symbols / (len(t) or 1), capitals / (letters or 1), 1 - len(counts) / n,
-        (counts.most_common(1)[0][1] if counts else 0) / n, odd / n, counts.get("|", 0) / n,
-        sum(len(w) * c for w, c in counts.items()) / n, float(len(words)), sum(map(eq, words, words[1:])) / n,
+        symbols / (len(data) or 1), capitals / (letters or 1), 1 - len(counts) / n,
+        max(counts.values(), default=0) / n, odd / n, counts.get("|", 0) / n,
+        sum(map(len, words)) / n, float(len(words)), sum(map(eq, words, words[1:])) / n,
     )
 
 
-_SYMBOLS = "#$%&*@^_~<>{}[]\\|=+!"
-_NO_SYMBOLS = str.maketrans("", "", _SYMBOLS)
-_NO_CAPITALS = str.maketrans("", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ")
+_SYMBOLS = b"#$%&*@^_~<>{}[]\\|=+!"
+_SYMBOL_SET = frozenset(_SYMBOLS.decode())
+_CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _PLAIN = "symbols < 0.01 AND (capitals < 0.3 OR n_words < 5) AND bars < 0.01"
 _VARIED = "(n_words < 30 OR (repeats <= 0.85 AND top_word <= 0.2)) AND (n_words < 10 OR runs <= 0.2)"
@@ -73,32 +76,42 @@ LABELLERS = {
     "varied": f"CASE WHEN {_VARIED} THEN 1 ELSE 0 END",
     "prose": f"CASE WHEN {_PLAIN} AND {_VARIED} AND n_words >= 20 THEN 1 WHEN n_words < 1 THEN -1 ELSE 0 END",
 }
-_KEEP = re.compile(r"[a-z]+"), re.compile(r"[A-Z]+"), re.compile(r"[0-9]+"), re.compile(r"[^\x00-\x7f]+")
+#: Letters as x or X, digits as 9.
+_CLASSES = bytes(
+    120 if 97 <= c <= 122 or c >= 128 else 88 if 65 <= c <= 90 else 57 if 48 <= c <= 57 else c for c in range(256)
+)
+_RUN = re.compile(rb"(.)\1+")
 
 
-def shape(word: str) -> str:
-    """A token with runs of letters as x or X, of digits as 9; what comes before is kept short."""
-    for p, c in zip(_KEEP, "xX9x", strict=True):
-        word = p.sub(c, word)
-    return re.sub(r"(.)\1+", r"\1+", re.sub("x+", "x", word))[:12]
+def shape(word: str) -> bytes:
+    """A token's kinds of characters in order, each run once, at most 12."""
+    return _RUN.sub(rb"\1", word.encode("utf-8", "surrogatepass").translate(_CLASSES))[:12]
 
 
 class Shapes(dict):
     """Hashed shapes by word; bounded."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 200_000:
+        if len(self) >= 600_000:
             self.clear()
-        self[word] = k = zlib.crc32(shape(word).encode("utf-8", "surrogatepass")) % BUCKETS
+        self[word] = k = zlib.crc32(shape(word)) % BUCKETS
         return k
 
 
-def hashed_features(text: str | None, shapes: Shapes, m: tuple[float, ...]) -> dict[int, float]:
+@functools.cache
+def shared_shapes() -> Shapes:
+    """One for each Python worker."""
+    return Shapes()
+
+
+def hashed_features(counts: Counter, shapes: Shapes, m: tuple[float, ...]) -> dict[int, float]:
     """Shares of token shapes, and what repeats, by bucket."""
-    words = (text or "").split()
-    n = len(words) or 1
-    out = {k: c / n for k, c in Counter(map(shapes.__getitem__, words)).items()}
-    for name, v in (("top", m[3]), ("runs", m[8]), ("capitals", m[1]), ("symbols", m[0]), ("repeats", max(0.0, m[2] - 0.75) if n >= 30 else 0.0), ("none", float(not words))):
+    n = int(m[7]) or 1
+    out: dict[int, float] = {}
+    for w, c in counts.items():
+        k = shapes[w]
+        out[k] = out.get(k, 0.0) + c / n
+    for name, v in (("top", m[3]), ("runs", m[8]), ("capitals", m[1]), ("symbols", m[0]), ("repeats", max(0.0, m[2] - 0.75) if n >= 30 else 0.0), ("none", float(not counts))):
         k = zlib.crc32(b"=" + name.encode()) % BUCKETS
         out[k] = out.get(k, 0.0) + v
     return out
@@ -107,7 +120,7 @@ def hashed_features(text: str | None, shapes: Shapes, m: tuple[float, ...]) -> d
 def _measure(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [measures(t.as_py()) for t in batch["text"]]
+            rows = [measures(t, *counted(t)) for t in batch["text"].to_pylist()]
             columns = {n: batch[n] for n in batch.schema.names}
             columns |= dict(zip(MEASURES, (pa.array([r[k] for r in rows], pa.float64()) for k in range(len(MEASURES))), strict=True))
             yield from pa.table({n: columns[n] for n in schema.names}).cast(schema).to_batches()
@@ -145,7 +158,7 @@ def fit(docs: DataFrame) -> tuple[np.ndarray, float, label_model.LabelModel]:
         size += len(row.text)
         if size > SAMPLE_CHARS:
             break
-        f = hashed_features(row.text, shapes, tuple(row[m] for m in MEASURES))
+        f = hashed_features(counted(row.text)[1], shapes, tuple(row[m] for m in MEASURES))
         r += [len(p)] * len(f)
         c += f.keys()
         v += f.values()
@@ -159,12 +172,14 @@ def fit(docs: DataFrame) -> tuple[np.ndarray, float, label_model.LabelModel]:
 
 def _score(model, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (w, b), shapes = model.value, Shapes()
+        (w, b), shapes = model.value, shared_shapes()
         w = w.tolist()
         for batch in batches:
             z = []
             for t in batch["text"].to_pylist():
-                z.append(b + sum(w[k] * v for k, v in sorted(hashed_features(t, shapes, measures(t)).items())))
+                words, counts = counted(t)
+                features = hashed_features(counts, shapes, measures(t, words, counts))
+                z.append(b + sum(w[k] * v for k, v in sorted(features.items())))
             scores = 1 / (1 + np.exp(-np.clip(np.array(z), -500, 500)))
             columns = {n: batch[n] for n in batch.schema.names}
             columns["score"] = pa.array(scores, pa.float64())
