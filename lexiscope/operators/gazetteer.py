@@ -1,8 +1,8 @@
 """The gazetteer of classed names, and what is attached to a name: class, review flag, ignore list.
 
 A gazetteer is a long table (language, class_id); the ignore list has a column language_lc, the
-review list language and flag_reason. These are reference lists of some thousands of names. A side
-is only broadcast by the planner's own size check, never by a hint.
+review list language and flag_reason. These are reference lists of some thousands of names; a list is
+broadcast only after a count has shown that it is short.
 """
 
 from __future__ import annotations
@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 from lexiscope.functions.cleaning import APOSTROPHES, HYPHENS, W
 
 TOKEN = rf"({W}+)"
+#: Names up to which a list is broadcast; beyond, joins are left to the planner.
+BROADCAST_NAMES = 200_000
+
+
+def small(names: DataFrame, most: int = BROADCAST_NAMES) -> DataFrame:
+    """names, broadcast if a count shows that there are few."""
+    return F.broadcast(names) if names.limit(most + 1).count() <= most else names
 
 
 def from_language_data(data: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -30,7 +37,7 @@ def to_language_data(gazetteer: DataFrame) -> DataFrame:
 
 
 def drop_ignored(df: DataFrame, ignore: DataFrame, language: str = "language") -> DataFrame:
-    return df.join(ignore.select(F.col("language_lc").alias("_lc")).distinct(), F.lower(F.col(language)) == F.col("_lc"), "left_anti")
+    return df.join(small(ignore.select(F.col("language_lc").alias("_lc")).distinct()), F.lower(F.col(language)) == F.col("_lc"), "left_anti")
 
 
 def name_classes(gazetteer: DataFrame, last: bool = False) -> DataFrame:
@@ -41,7 +48,7 @@ def name_classes(gazetteer: DataFrame, last: bool = False) -> DataFrame:
 
 def attach_class(names: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """names with their class; names that the gazetteer doesn't have go."""
-    return names.join(name_classes(gazetteer), "language")
+    return names.join(small(name_classes(gazetteer)), "language")
 
 
 def attach_class_or_hash(names: DataFrame, gazetteer: DataFrame) -> DataFrame:
@@ -53,7 +60,7 @@ def attach_class_or_hash(names: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 def attach_review(names: DataFrame, review: DataFrame) -> DataFrame:
     listed = review.groupBy("language").agg(F.min("flag_reason").alias("flag_reason"))
-    return names.join(listed, "language", "left").withColumn("needs_review", F.col("flag_reason").isNotNull())
+    return names.join(small(listed), "language", "left").withColumn("needs_review", F.col("flag_reason").isNotNull())
 
 
 def build_detections(names: DataFrame, gazetteer: DataFrame, review: DataFrame, ignore: DataFrame) -> DataFrame:

@@ -14,42 +14,54 @@ from pyspark.sql import functions as F
 from lexiscope.functions.acronyms import count_acronym_places
 from lexiscope.functions.cleaning import clean_blocks, paper_acronyms
 from lexiscope.functions.labels import conflict_message
-from lexiscope.operators.gazetteer import TOKEN, build_detections, drop_ignored, guarded_pattern, keyed, match_key
+from lexiscope.operators.gazetteer import TOKEN, build_detections, drop_ignored, guarded_pattern, keyed, match_key, small
 
 #: These apostrophes are word characters themselves; blocks with one are confirmed on their own text.
 MODIFIER_APOSTROPHES = "[ʼʻʹʽ]"
 
 
 def match_names(blocks: DataFrame, gazetteer: DataFrame, keys: list[str], block: str = "block") -> DataFrame:
-    """(keys, language, class_id), one row for each name and class that a block holds; keys identify blocks."""
-    names = keyed(gazetteer)
-    words = blocks.select(*keys, block, F.explode(F.array_distinct(F.regexp_extract_all(match_key(F.col(block)), F.lit(TOKEN), F.lit(1)))).alias("token"))
-    pairs = words.join(names.where("token IS NOT NULL"), "token")
-    odd = F.regexp_like(F.col(block), F.lit(MODIFIER_APOSTROPHES))
-    found = pairs.where((F.col("exact") & ~odd) | F.regexp_like(F.col(block), guarded_pattern(F.col("language"))))
-    # a modifier apostrophe belongs to the word beside it, so such blocks' plain words aren't their keys' words
-    wordless = names.where("token IS NULL")
-    side = blocks.select(*keys, block).join(wordless, F.regexp_like(F.col(block), guarded_pattern(F.col("language"))))
-    columns = [*keys, block, "language", "class_id"]
-    return found.select(*columns).union(side.select(*columns))
-
+    """(keys, language, class_id), one row for each name and class that a block holds; keys identify blocks.
 
-def veto_acronyms(matches: DataFrame, block: str = "block") -> tuple[DataFrame, DataFrame]:
-    """(matches that stay, matches that are acronyms of the words before them, with times)."""
-    counted = matches.withColumn("times", count_acronym_places(F.col(block), F.col("language")))
-    return counted.where("times = 0").drop("times"), counted.where("times > 0")
+    Words go on without their text. Only names that a word alone doesn't decide meet the text again.
+    """
+    names = keyed(gazetteer)
+    odd = F.regexp_like(F.col(block), F.lit(MODIFIER_APOSTROPHES)).alias("_odd")
+    words = F.array_distinct(F.regexp_extract_all(match_key(F.col(block)), F.lit(TOKEN), F.lit(1)))
+    pairs = blocks.select(*keys, odd, F.explode(words).alias("token")).join(small(names.where("token IS NOT NULL")), "token")
+    sure = F.col("exact") & ~F.col("_odd")
+    columns = [*keys, "language", "class_id"]
+    texts = blocks.select(*keys, block)
+    # plain containment of the keys is much cheaper than the pattern and leaves it few texts
+    near = F.contains(match_key(F.col(block)), match_key(F.col("language")))
+    guard = near & F.regexp_like(F.col(block), guarded_pattern(F.col("language")))
+    checked = pairs.where(~sure).select(*columns).join(texts, keys).where(guard)
+    side = texts.join(small(names.where("token IS NULL")), guard)  # names without any word character
+    return pairs.where(sure).select(*columns).union(checked.select(*columns)).union(side.select(*columns))
+
+
+def acronym_matches(matches: DataFrame, blocks: DataFrame, keys: list[str], block: str = "block") -> DataFrame:
+    """(keys, language, times): matches that stand in parentheses as acronyms of the words before them, with their places.
+
+    Only blocks with short text in parentheses are looked at.
+    """
+    acronyms = F.array_distinct(F.regexp_extract_all(F.col(block), F.lit(r"\(\s*([^()]{2,10}?)\s*\)"), F.lit(1)))
+    held = blocks.select(*keys, block, F.explode(acronyms).alias("_acronym"))
+    own = matches.select(*keys, "language").distinct().withColumn("_acronym", F.upper(F.trim("language")))
+    counted = held.join(own, [*keys, "_acronym"]).withColumn("times", count_acronym_places(F.col(block), F.col("language")))
+    return counted.where("times > 0").select(*keys, "language", "times")
 
 
 def detect(blocks: DataFrame, gazetteer: DataFrame, ignore: DataFrame, keys: list[str], block: str = "block") -> DataFrame:
     """(keys, language, class_id) of names in cleaned blocks, without ignored names and acronyms."""
-    kept, _ = veto_acronyms(match_names(blocks, drop_ignored(gazetteer, ignore), keys, block), block)
-    return kept.select(*keys, "language", "class_id")
+    found = match_names(blocks, drop_ignored(gazetteer, ignore), keys, block)
+    return found.join(acronym_matches(found, blocks, keys, block), [*keys, "language"], "left_anti")
 
 
 def screening_warnings(blocks: DataFrame, gazetteer: DataFrame, ignore: DataFrame, paper_id: str, keys: list[str], block: str = "block") -> DataFrame:
     """(rule, language, acronym, paper_id), a row for each vetoed place."""
-    _, gone = veto_acronyms(match_names(blocks, drop_ignored(gazetteer, ignore), keys, block), block)
-    return gone.select(
+    found = match_names(blocks, drop_ignored(gazetteer, ignore), keys, block)
+    return acronym_matches(found, blocks, keys, block).select(
         F.lit("parenthetical_acronym_context").alias("rule"), "language", F.upper(F.trim("language")).alias("acronym"),
         F.col(paper_id).cast("string").alias("paper_id"), F.explode(F.expr("sequence(1, times)")).alias("_n"),
     ).drop("_n")

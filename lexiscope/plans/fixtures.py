@@ -14,12 +14,11 @@ REVIEW = [("Bo", "short name"), ("Ha", "common word"), ("Con", "preposition")]
 
 
 def lists(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(gazetteer, ignore list, review list)."""
+    """(gazetteer, ignore list, review list), as local rows of the plan."""
     return (
-        spark.createDataFrame(GAZETTEER, "language string, class_id int"),
-        spark.createDataFrame([(x,) for x in IGNORE], "language_lc string"),
-        spark.createDataFrame(REVIEW, "language string, flag_reason string"),
-    )
+        spark.sql(_values(GAZETTEER, "language, class_id")), spark.sql(_values([(x,) for x in IGNORE], "language_lc")),
+        spark.sql(_values(REVIEW, "language, flag_reason")),
+    )
 
 
 def _values(rows: list[tuple], names: str) -> str:

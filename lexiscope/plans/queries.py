@@ -66,7 +66,7 @@ merged AS (SELECT DISTINCT f.doc_id, f.language, c.class FROM found f JOIN class
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, language, class_id): names in raw texts."""
     names, ignore, _ = fx.lists(spark)
-    return screening.match_names(documents(spark, sf_dir).select("doc_id", "text"), gazetteer.drop_ignored(names, ignore), ["doc_id"], "text").drop("text")
+    return screening.match_names(documents(spark, sf_dir).select("doc_id", "text"), gazetteer.drop_ignored(names, ignore), ["doc_id"], "text")
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
