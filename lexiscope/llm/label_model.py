@@ -49,10 +49,13 @@ def _shares(votes: np.ndarray, weight: np.ndarray, post: np.ndarray, floor: floa
 def fit(votes: np.ndarray, weight: np.ndarray, balance: float, start: np.ndarray | None = None, rounds: int = 60, prior: float = 2.0) -> LabelModel:
     """From distinct rows of votes and their counts; start: first posteriors (else the sign of the sum of votes)."""
     votes = votes.astype(np.int64)
+    copies = np.ones(votes.shape[1])
     if start is None:
-        s = votes.sum(axis=1)
+        # with nothing to begin from, voters that are nearly copies would take the class for themselves: they count as one
+        copies = _shares(votes, weight, np.ones(len(votes)), floor=0.8)
+        s = votes @ copies
         start = np.where(s > 0, 0.9, np.where(s < 0, 0.1, balance))
-    post, share = start.astype(float), np.ones(votes.shape[1])
+    post, share = start.astype(float), copies
     model = None
     for k in range(rounds):
         chances = np.empty((2, votes.shape[1], 3))
@@ -65,7 +68,7 @@ def fit(votes: np.ndarray, weight: np.ndarray, balance: float, start: np.ndarray
         chances /= chances.sum(axis=2, keepdims=True)
         balance = float(np.clip((weight * post).sum() / max(weight.sum(), 1e-12), 1e-3, 1 - 1e-3))
         if k % 10 == 5:
-            share = _shares(votes, weight, post)
+            share = np.minimum(copies, _shares(votes, weight, post))
         model = LabelModel(balance, chances, share)
         new = model.posterior(votes)
         if k > 10 and np.abs(new - post).max() < 1e-6:
