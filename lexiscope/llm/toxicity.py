@@ -13,7 +13,7 @@ Whole texts are scored on the executors with the (small) model.
 
 Defined cases: a null or empty text has the score of a text without any feature; rows that repeat a
 doc_id are scored one by one; a null doc_id is not held out; labels of null doc_ids or with null
-toxic are not used; with no labels at all the general list alone votes. Extra columns are carried
+toxic are not used; with labels of one kind or none the general list alone votes. Extra columns are carried
 along; the new columns replace their namesakes.
 """
 
@@ -147,7 +147,7 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     """From labelled texts, each distinct text once."""
     rows = sorted(dict(rows).items())
     texts, y = [t for t, _ in rows], np.array([v for _, v in rows], np.int64)
-    if not rows:
+    if not rows or len(set(y.tolist())) < 2:
         return Model({}, {bucket("i:" + w): 4.0 for w in INSULTS}, -3.0)
     model = Model(mine_lexicon(texts, y), {}, 0.0)
     found = [model.found(t) for t in texts]
@@ -161,7 +161,11 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     r, c = np.array(pairs, np.int64).reshape(-1, 2).T
     w, b = label_model.train_linear(r, c, np.ones(len(r)), len(texts), BUCKETS, target, np.ones(len(texts)))
     used = np.unique(c)
-    return Model(model.lexicon, {int(k): float(w[k]) for k in used}, b)
+    weights = {int(k): float(w[k]) for k in used}
+    listed = [weights[k] for k in {bucket("i:" + x) for x in INSULTS} if k in weights]
+    if listed:  # insults of the list that the sample doesn't hold weigh as those that it holds
+        weights = {bucket("i:" + x): float(np.mean(listed)) for x in INSULTS} | weights
+    return Model(model.lexicon, weights, b)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, n: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
