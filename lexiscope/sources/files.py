@@ -61,7 +61,7 @@ def read_html_cache(spark: SparkSession, folder: str) -> DataFrame:
         "safe_id", F.coalesce(raw["_complete"] == "true", F.lit(True)).alias("complete"), F.coalesce(raw["_unavailable"] == "true", F.lit(False)).alias("unavailable"),
         F.transform(F.map_entries(body), section).alias("x"),
     )
-    return parsed.select("safe_id", "complete", "unavailable", F.transform("x", lambda e: F.struct(e["title"].alias("title"), e["s.text"].alias("text"), e["s.cleaned_text"].alias("cleaned_text"), e["s.detected"].alias("detected"))).alias("sections"))
+    return parsed.select("safe_id", "complete", "unavailable", F.transform("x", lambda e: F.struct(e["title"].alias("title"), e["s"]["text"].alias("text"), e["s"]["cleaned_text"].alias("cleaned_text"), e["s"]["detected"].alias("detected"))).alias("sections"))
 
 
 def read_pdf_cache(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,7 +80,7 @@ def read_oai(spark: SparkSession, path: str) -> DataFrame:
     own = F.coalesce(m["id"], F.regexp_extract("header.identifier", r"([^:]+)$", 1))
     return raw.where(m.isNotNull()).select(
         F.concat(F.lit("https://arxiv.org/abs/"), own).alias("id"), squeeze(m["title"]).alias("title"), squeeze(m["abstract"]).alias("abstract"),
-        F.transform(m["authors.author"], lambda a: F.trim(F.concat_ws(" ", a["forenames"], a["keyname"]))).alias("authors"),
+        F.transform(m["authors"]["author"], lambda a: F.trim(F.concat_ws(" ", a["forenames"], a["keyname"]))).alias("authors"),
         F.concat(m["created"], F.lit("T00:00:00")).alias("published"), F.concat(F.coalesce(m["updated"], m["created"]), F.lit("T00:00:00")).alias("updated"),
         F.split(m["categories"], " ").alias("categories"), F.concat(F.lit("https://arxiv.org/pdf/"), own).alias("pdf_url"),
         F.lit("oai_pmh").alias("_fetch_source"), m["created"].alias("created"),

@@ -31,7 +31,7 @@ def test_acronyms(spark):
     assert blocks(spark, "MAPE rises", ["MAPE"]) == ["rises"]
     assert strip_acronyms_in("the GAN language", ["GAN"]) == "the GAN language"
     assert strip_acronyms_in("the GAN is", ["GAN"]) == "the   is"
-    long = "word " * 3000 + "Foo Bar (FB) and FB"
+    long = "term " * 3000 + "Foo Bar (FB) and FB"
     assert "FB" not in blocks(spark, long)[0]
 
 
