@@ -26,18 +26,24 @@ def match_names(blocks: DataFrame, gazetteer: DataFrame, keys: list[str], block:
     Words go on without their text. Only names that a word alone doesn't decide meet the text again.
     """
     names = keyed(gazetteer)
-    odd = F.regexp_like(F.col(block), F.lit(MODIFIER_APOSTROPHES)).alias("_odd")
-    words = F.array_distinct(F.regexp_extract_all(match_key(F.col(block)), F.lit(TOKEN), F.lit(1)))
-    pairs = blocks.select(*keys, odd, F.explode(words).alias("token")).join(small(names.where("token IS NOT NULL")), "token")
-    sure = F.col("exact") & ~F.col("_odd")
     columns = [*keys, "language", "class_id"]
     texts = blocks.select(*keys, block)
+    # told apart before words are made: a test of the text behind explode would run for every word
+    odd = F.regexp_like(F.col(block), F.lit(MODIFIER_APOSTROPHES))
+    words = F.array_distinct(F.regexp_extract_all(match_key(F.col(block)), F.lit(TOKEN), F.lit(1)))
+    worded = small(names.where("token IS NOT NULL"))
+
+    def pairs(some: DataFrame) -> DataFrame:
+        return some.select(*keys, F.explode(words).alias("token")).join(worded, "token")
+
+    plain = pairs(texts.where(~odd))
+    unsure = plain.where("NOT exact").select(*columns).union(pairs(texts.where(odd)).select(*columns))
     # plain containment of the keys is much cheaper than the pattern and leaves it few texts
     near = F.contains(match_key(F.col(block)), match_key(F.col("language")))
     guard = near & F.regexp_like(F.col(block), guarded_pattern(F.col("language")))
-    checked = pairs.where(~sure).select(*columns).join(texts, keys).where(guard)
+    checked = unsure.join(texts, keys).where(guard)
     side = texts.join(small(names.where("token IS NULL")), guard)  # names without any word character
-    return pairs.where(sure).select(*columns).union(checked.select(*columns)).union(side.select(*columns))
+    return plain.where("exact").select(*columns).union(checked.select(*columns)).union(side.select(*columns))
 
 
 def acronym_matches(matches: DataFrame, blocks: DataFrame, keys: list[str], block: str = "block") -> DataFrame:
