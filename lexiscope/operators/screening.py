@@ -76,7 +76,7 @@ def screening_warnings(blocks: DataFrame, gazetteer: DataFrame, ignore: DataFram
 def screen(texts: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame, keys: list[str], text: str = "text", acronyms: str | None = None) -> DataFrame:
     """Clean, detect and build detections: (keys, block_idx, language, class, needs_review, flag_reason), a row for each block and name."""
     rows = texts.select(*keys, text, *([acronyms] if acronyms else []))
-    blocks = clean_blocks(rows, text, acronyms)
+    blocks = clean_blocks(rows, text, acronyms).drop("acronyms").persist()  # read several times below; spills to disk
     names = detect(blocks, gazetteer, ignore, [*keys, "block_idx"]).select(*keys, "block_idx", "language")
     return build_detections(names, gazetteer, review, ignore)
 
