@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Entries of the tables of words and of links; both live as long as a Python worker.
-WORDS, UNITS = 400_000, 1_000_000
+WORDS, UNITS = 300_000, 800_000
 #: Stands for a literal U+2581 in a lattice.
 LITERAL = "\ud800"
 
