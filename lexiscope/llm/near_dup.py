@@ -16,7 +16,7 @@
    against one pivot, and only those it doesn't cover meet the others, in blocks.
 
 Defined cases: a document without words (or with null text) has an empty set and is linked with
-nothing; one or two words are one shingle; rows that repeat a doc_id are judged on their own text;
+nothing; fewer than k words are one shingle; rows that repeat a doc_id are judged on their own text;
 rows with a null doc_id are returned, linked with nothing (component_id null, kept). Extra columns
 are not read.
 """

@@ -90,6 +90,18 @@ def test_near_dup_against_brute_force_with_small_limits(spark):
     assert {r.doc_id: r.component_id for r in out.collect()} == dict(enumerate(label))
 
 
+def test_pipeline_drops_near_copies_of_five_words_at_four_fifths(spark):
+    import corpus_pipeline
+
+    base = [f"b{i}" for i in range(1000)]
+    other = [f"c{i}" for i in range(1000)]
+    changed = [f"x{i}" if i % 40 == 20 else w for i, w in enumerate(other)]
+    texts = [base, base + [f"new{i}" for i in range(190)], other, changed]  # five words: 0.840 and 0.777; three words: 0.840 and 0.860
+    rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)]
+    out = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "")
+    assert sorted(r.doc_id for r in out.collect()) == [0, 2, 3]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, k) for k in range(101, 150)] + [(7, 7)]
     got = {r.id: r.comp for r in star_components(spark.createDataFrame(edges, "u long, v long")).collect()}
