@@ -14,7 +14,8 @@ from lexiscope.llm.common import staged, with_totals
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*"), F.expr("sum(xxhash64(u, v) >> 8)")).first()
+    """Count and digest of distinct edges; a sum of hashes would overflow on long tables."""
+    row = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
     return row[0], row[1] or 0
 
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lexiscope.llm import chat, decontaminate, licenses, line_dedup, media, near_dup, pieces, quality, token_ids, toxicity
+from lexiscope.llm import chat, components, decontaminate, licenses, line_dedup, media, near_dup, pieces, quality, token_ids, toxicity
 from lexiscope.llm.components import star_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, spans string, score string"
@@ -108,6 +108,14 @@ def test_components_of_a_chain_and_a_star(spark):
     assert all(got[i] == 0 for i in range(21)) and all(got[i] == 100 for i in range(100, 150))
 
 
+def test_state_of_a_long_edge_table(spark):
+    edges = spark.range(1_000_000).selectExpr("id AS u", "id + 1 AS v")
+    count, digest = components._state(edges)
+    assert count == 1_000_000
+    assert components._state(edges.repartition(7)) == (count, digest)
+    assert components._state(edges.selectExpr("u", "IF(u = 5, 7, v) AS v")) != (count, digest)
+
+
 def test_decontamination_in_blocks_equals_one_block(docs, spark):
     b = spark.createDataFrame([(i, f"{LINE} {i}") for i in range(5)] + [(9, "own two")], "item_id long, text string")
     whole = decontaminate.find_spans(docs, b, width=3)
