@@ -3,8 +3,8 @@
 A text is held against each notice of a small list. Words that are unique in both are anchors; the
 longest increasing subsequence of their places is kept, and the stretches between kept anchors (and
 their ends, word by word) are aligned again in the same way. Coverage is the share of the notice's
-words that are aligned. A notice is looked for around each anchor candidate, so a text may hold
-several notices, or one of them many times.
+words that are aligned. Each window that may hold a notice is aligned by itself, so a text may hold
+several notices, or one of them many times, in a row or with words of it between them.
 
 Before that, a bound: coverage can't exceed the share of a notice's words that the text has at all.
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -101,6 +102,21 @@ def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _whole(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The distinct alignments (size, start, end) that don't hold two others one after the other."""
+    found = sorted(set(found), key=lambda x: (x[1], x[2]))
+    starts = [a for _, a, _ in found]
+    ends = [b for _, _, b in found]
+    for i in range(len(ends) - 2, -1, -1):
+        ends[i] = min(ends[i], ends[i + 1])  # the first end of those that start here or later
+    out = []
+    for n, a, b in found:
+        k = bisect_left(starts, ends[bisect_left(starts, a)])
+        if k == len(ends) or ends[k] > b:
+            out.append((n, a, b))
+    return out
+
+
 class Scanner:
     def __init__(self, notices: dict[str, str], coverage: float):
         self.notices = {n: words_of(t) for n, t in notices.items()}
@@ -109,23 +125,79 @@ class Scanner:
         self.vocabulary = frozenset().union(*self.notices.values()) if notices else frozenset()
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
-        """(notice, coverage, first word, end) of each stretch that holds a notice; where several overlap, the longest alignment."""
+        """(notice, coverage, first word, end) of each place that holds a notice; where several overlap, the longest alignment."""
         words = words_of(text)
         there = self.vocabulary.intersection(words)
-        found: list[tuple[int, int, str, float, int, int]] = []
+        found: list[tuple[int, int, int, int, str, int]] = []
         for order, (name, notice) in enumerate(self.notices.items()):
             bag = self.bags[name]
-            if sum(c for w, c in bag.items() if w in there) < self.coverage * len(notice):
+            if not notice or sum(c for w, c in bag.items() if w in there) < self.coverage * len(notice):
                 continue
-            for start, stop in self._stretches(words, notice, bag):
-                pairs = align(words[start:stop], notice)
-                if len(pairs) >= self.coverage * len(notice):
-                    found.append((-len(pairs), order, name, len(pairs) / len(notice), start + pairs[0][0], start + pairs[-1][0] + 1))
+            found.extend((-n, order, b - a, a, name, b) for n, a, b in self._places(words, notice, bag))
         out: list[tuple[str, float, int, int]] = []
-        for _, _, name, share, a, b in sorted(found):
-            if all(b <= x or a >= y for _, _, x, y in out):
-                out.append((name, share, a, b))
-        return sorted(out, key=lambda x: x[2])
+        starts: list[int] = []
+        for n, _, _, a, name, b in sorted(found):
+            k = bisect_left(starts, a)
+            if (k == 0 or out[k - 1][3] <= a) and (k == len(out) or b <= out[k][2]):
+                starts.insert(k, a)
+                out.insert(k, (name, -n / len(self.notices[name]), a, b))
+        return out
+
+    def _places(self, words: list[bytes], notice: list[bytes], bag: Counter) -> list[tuple[int, int, int]]:
+        """(aligned words, first word, end) of each alignment that covers the notice.
+
+        Exact copies come first. Elsewhere each window that may be one is aligned by itself, as words
+        around it would take its anchors; a window that holds two of them apart isn't one. A stretch
+        in which no window covers the notice is aligned as a whole.
+        """
+        size, need = len(notice), self.coverage * len(notice)
+        exact = []
+        at = -size
+        for i, w in enumerate(words):
+            if i >= at + size and w == notice[0] and words[i : i + size] == notice:
+                exact.append((size, i, i + size))
+                at = i
+        ends = [(0, 0, 0), *exact, (0, len(words), 0)]
+        out = list(exact)
+        for (_, _, lo), (_, hi, _) in zip(ends, ends[1:], strict=False):
+            if hi - lo < need:
+                continue
+            part = words[lo:hi]
+            own = _whole([x for a, b in self._windows(part, notice, bag) for x in self._aligned(part, notice, a, b)])
+            rest = []
+            for a, b in self._stretches(part, notice, bag):
+                if all(y <= a or x >= b for _, x, y in own):
+                    rest.extend(self._aligned(part, notice, a, b))
+            own += rest
+            out.extend((n, lo + a, lo + b) for n, a, b in own)
+        return out
+
+    def _aligned(self, words: list[bytes], notice: list[bytes], start: int, stop: int) -> list[tuple[int, int, int]]:
+        pairs = align(words[start:stop], notice)
+        if not pairs or len(pairs) < self.coverage * len(notice):
+            return []
+        return [(len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)]
+
+    def _windows(self, words: list[bytes], notice: list[bytes], bag: Counter) -> Iterator[tuple[int, int]]:
+        """Windows of twice the notice's length at most with enough of its words, from one that may be aligned first to one that may be last."""
+        places = [i for i, w in enumerate(words) if w in bag]
+        need, reach = self.coverage * len(notice), 2 * len(notice)
+        spare = len(notice) - ceil(need) + 1
+        first, last = frozenset(notice[:spare]), frozenset(notice[-spare:])
+        least = max(1, ceil(need))
+        for k, p in enumerate(places):
+            if words[p] not in first or k + least > len(places) or places[k + least - 1] - p >= reach:
+                continue
+            held: Counter = Counter()
+            both = 0
+            for q in places[k:]:
+                if q - p >= reach:
+                    break
+                w = words[q]
+                held[w] += 1
+                both += held[w] <= bag[w]
+                if both >= need and w in last:
+                    yield p, q + 1
 
     def _stretches(self, words: list[bytes], notice: list[bytes], bag: Counter) -> Iterator[tuple[int, int]]:
         """Stretches with enough words of the notice: around its words, twice its length at most, joined where they meet."""

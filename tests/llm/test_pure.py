@@ -163,6 +163,20 @@ def test_license_scan():
     assert s.scan(noisy)[0][0] == "MIT-text" and s.scan(noisy)[0][1] < 1
 
 
+def test_license_scan_finds_each_of_many_notices():
+    s = licenses.Scanner(licenses.NOTICES, 0.8)
+    cc, mit = licenses.NOTICES["CC-BY-4.0"], licenses.NOTICES["MIT"]
+    for n in (1, 2, 3, 5, 20):
+        assert s.scan(" ".join([cc] * n)) == [("CC-BY-4.0", 1.0, 6 * k, 6 * k + 6) for k in range(n)]
+    text = f"the code is {mit} and the docs are {mit} by the authors"
+    assert s.scan(text) == [("MIT", 1.0, 3, 8), ("MIT", 1.0, 12, 17)]
+    # neither is exact, and what lies between repeats their words
+    text = "the code is released under mit license and the docs are released under our mit license by the authors"
+    assert s.scan(text) == [("MIT", 0.8, 3, 7), ("MIT", 0.8, 11, 16)]
+    long = licenses.NOTICES["MIT-text"].replace("free", "at no cost")
+    assert [r[0] for r in s.scan(f"{long} the {long} to any {long}")] == ["MIT-text"] * 3
+
+
 def test_label_model_finds_accuracies_and_copies():
     r = np.random.default_rng(0)
     y = r.random(4000) < 0.3
