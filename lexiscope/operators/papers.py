@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Order of sources in a row; others come last.
 SOURCE_ORDER = ("abstract", "html", "pdf")
+SORT_MODES = ("default", "languages_desc", "languages_asc", "class_asc", "class_desc", "title_asc", "title_desc")
 
 
 def search_text(title: Column, authors: Column) -> Column:
@@ -63,10 +66,11 @@ def suppressed_languages(warnings: DataFrame, detected: DataFrame, paper: str =
 
 
 def sort_columns(mode: str) -> list[Column]:
-    """default (index), languages_desc, languages_asc, class_asc, class_desc, title_asc, title_desc; ties keep the index."""
+    """Columns of one of SORT_MODES (default is the index); ties keep the index, papers without languages are of class 5."""
+    least = F.coalesce("min_class", F.lit(5))
     by = {
-        "default": [], "languages_desc": [F.desc("n_languages")], "languages_asc": [F.asc("n_languages")], "class_asc": [F.asc("min_class")],
-        "class_desc": [F.desc("min_class")], "title_asc": [F.asc(F.lower("title"))], "title_desc": [F.desc(F.lower("title"))],
+        "default": [], "languages_desc": [F.desc("n_languages")], "languages_asc": [F.asc("n_languages")], "class_asc": [least.asc()],
+        "class_desc": [least.desc()], "title_asc": [F.asc(F.lower("title"))], "title_desc": [F.desc(F.lower("title"))],
     }
     return [*by[mode], F.asc("index")]
 
@@ -75,6 +79,12 @@ def sort_papers(view: DataFrame, mode: str = "default") -> DataFrame:
     return view.orderBy(*sort_columns(mode))
 
 
+def numbered_papers(view: DataFrame) -> DataFrame:
+    """Every row of view once for each of SORT_MODES, with mode and its row_number in it, from 1."""
+    modes = (view.withColumn("mode", F.lit(m)).withColumn("row_number", F.row_number().over(Window.partitionBy("mode").orderBy(*sort_columns(m)))) for m in SORT_MODES)
+    return reduce(DataFrame.unionByName, modes)
+
+
 def class_table(gazetteer: DataFrame) -> DataFrame:
     """(class_id, count, examples): names for each class, and its first two."""
     return gazetteer.groupBy("class_id").agg(F.count("*").alias("count"), F.slice(F.array_sort(F.collect_list("language")), 1, 2).alias("examples"))

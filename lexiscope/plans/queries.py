@@ -686,6 +686,18 @@ def paper_sort(spark, sf_dir):
     return papers.sort_papers(paper_view(spark, sf_dir), "languages_desc").limit(20).select("paper_id", "n_languages")
 
 
+_SORTS = {
+    "default": "paper_id", "languages_desc": "n DESC, paper_id", "languages_asc": "n, paper_id", "class_asc": "m, paper_id",
+    "class_desc": "m DESC, paper_id", "title_asc": "lower(title), paper_id", "title_desc": "lower(title) DESC, paper_id",
+}
+
+
+@query(f"""WITH {_VIEW}, g AS (SELECT vw.paper_id, title, count(det.language) AS n, coalesce(least(min(class), 5), 5) AS m FROM vw LEFT JOIN det USING (paper_id) GROUP BY 1, 2)
+    """ + " UNION ALL ".join(f"SELECT '{mode}' AS mode, row_number() OVER (ORDER BY {by}) AS row_number, paper_id, n AS n_languages FROM g" for mode, by in _SORTS.items()))
+def paper_sort_modes(spark, sf_dir):
+    return papers.numbered_papers(paper_view(spark, sf_dir)).select("mode", "row_number", "paper_id", "n_languages")
+
+
 @query("""SELECT o_custkey AS paper_id, s AS source, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS languages, CASE s WHEN 'abstract' THEN 1 WHEN 'html' THEN 2 ELSE 4 END AS source_order
     FROM (SELECT *, CASE o_orderstatus WHEN 'O' THEN 'abstract' WHEN 'F' THEN 'html' ELSE 'other' END AS s FROM orders) GROUP BY 1, 2""")
 def source_groups(spark, sf_dir):

@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from lexiscope.operators import assembly, gazetteer, html, screening, trends
+from lexiscope.operators import assembly, gazetteer, html, papers, screening, trends
 from lexiscope.plans import fixtures as fx
 
 
@@ -58,3 +58,17 @@ def test_classes(spark):
     d = gazetteer.build_detections(spark.createDataFrame([("Ha",), ("Nope",), ("The",)], "language string"), names, review, ignore)
     assert [(r.language, r["class"], r.needs_review) for r in d.collect()] == [("Ha", 1, True)]
     assert not names.filter(F.col("language").isNull()).count()
+
+
+def test_papers_are_numbered_whole_in_every_mode(spark):
+    rows = [(0, "b", 2, 3), (1, "A", 0, None), (2, "c", 2, 4), (3, "B", 1, 5)]
+    view = spark.createDataFrame(rows, "index int, title string, n_languages int, min_class int")
+    got: dict[str, list[int]] = {}
+    for r in papers.numbered_papers(view).orderBy("mode", "row_number").collect():
+        got.setdefault(r.mode, []).append(r["index"])
+        assert r.row_number == len(got[r.mode])
+    assert got == {
+        "default": [0, 1, 2, 3], "languages_desc": [0, 2, 3, 1], "languages_asc": [1, 3, 0, 2], "class_asc": [0, 2, 1, 3],
+        "class_desc": [1, 3, 2, 0], "title_asc": [1, 0, 3, 2], "title_desc": [2, 0, 3, 1],
+    }
+    assert [r["index"] for r in papers.sort_papers(view, "class_asc").collect()] == got["class_asc"]
