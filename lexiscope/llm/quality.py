@@ -150,14 +150,25 @@ def fit_labels(docs: DataFrame) -> label_model.LabelModel:
     return label_model.fit(patterns, n, 0.85, np.where(bad >= 2, 0.02, np.where(bad == 1, 0.1, 0.98)))
 
 
+def sample_texts(docs: DataFrame) -> DataFrame:
+    """SAMPLE_ROWS distinct texts in order of their hash, those over a 20th of SAMPLE_CHARS last; only hashes are shuffled to find them."""
+    key = F.struct((F.length("text") > SAMPLE_CHARS // 20).alias("long"), F.xxhash64("text").alias("h"))
+    keyed = docs.select("text").where("text IS NOT NULL").withColumn("key", key)
+    last = keyed.select("key").distinct().orderBy("key").limit(SAMPLE_ROWS).agg(F.max("key")).first()[0]
+    if last is None:
+        return keyed.select("text").limit(0)
+    within = F.col("key") <= F.struct(F.lit(last.long).alias("long"), F.lit(last.h).cast("long").alias("h"))
+    return keyed.where(within).distinct().orderBy("key", "text").limit(SAMPLE_ROWS).select("text")
+
+
 def fit(docs: DataFrame) -> tuple[np.ndarray, float, label_model.LabelModel]:
     labels = fit_labels(docs)
-    sample = votes(measured(docs.select("text").where("text IS NOT NULL").orderBy(F.xxhash64("text")).limit(SAMPLE_ROWS)))
+    sample = votes(measured(sample_texts(docs)))
     shapes, r, c, v, p, size = Shapes(), [], [], [], [], 0
     for row in sample.toLocalIterator():
+        if size + len(row.text) > SAMPLE_CHARS:
+            continue
         size += len(row.text)
-        if size > SAMPLE_CHARS:
-            break
         f = hashed_features(counted(row.text)[1], shapes, tuple(row[m] for m in MEASURES))
         r += [len(p)] * len(f)
         c += f.keys()

@@ -169,16 +169,16 @@ def fit(rows: list[tuple[str, int]]) -> Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, n: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
-    """A sample by hash of the labelled rows that aren't held out, within both bounds."""
+    """A sample by hash of the labelled rows that aren't held out, within both bounds: texts over a 20th of chars last, those that don't fit skipped."""
     own = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     picked = own.select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct().orderBy(F.xxhash64("doc_id"), "toxic").limit(n)
     joined = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").where("text IS NOT NULL")
     running = 0
     out = []
-    for r in joined.select("text", "toxic").orderBy(F.xxhash64("text"), "toxic").limit(n).toLocalIterator():
+    for r in joined.select("text", "toxic").orderBy(F.length("text") > chars // 20, F.xxhash64("text"), "toxic").limit(n).toLocalIterator():
+        if running + len(r.text) > chars:
+            continue
         running += len(r.text)
-        if running > chars:
-            break
         out.append((r.text, r.toxic))
     return out
 

@@ -116,6 +116,32 @@ def test_state_of_a_long_edge_table(spark):
     assert components._state(edges.selectExpr("u", "IF(u = 5, 7, v) AS v")) != (count, digest)
 
 
+def long_text_of_least_hash(spark, than):
+    found = spark.range(5000).select(F.concat(F.repeat(F.lit("Some plain words stand here. "), 200), F.col("id").cast("string")).alias("text"))
+    r = found.orderBy(F.xxhash64("text")).select("text", F.xxhash64("text").alias("h")).first()
+    assert r.h < than.select(F.min(F.xxhash64("text"))).first()[0]
+    return r.text
+
+
+def test_samples_skip_a_text_that_is_too_long(spark, monkeypatch):
+    short = spark.createDataFrame([(i, f"A short text of number {i}.") for i in range(1, 16)], "doc_id long, text string")
+    docs = short.union(spark.createDataFrame([(0, long_text_of_least_hash(spark, short))], short.schema))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    rows = toxicity.training_rows(docs, labels, chars=2000)
+    assert len(rows) > 4 and all(len(t) < 100 for t, _ in rows)
+    monkeypatch.setattr(quality, "SAMPLE_CHARS", 2000)
+    assert quality.fit(docs)[0].any()
+
+
+def test_quality_samples_distinct_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "SAMPLE_ROWS", 5)
+    monkeypatch.setattr(quality, "hashed_features", lambda counts, *rest: seen.append(tuple(counts)) or {0: 1.0})
+    docs = spark.createDataFrame([(t,) for t in ["one", "two", "three", "four", "five", "six"] for _ in range(40)], "text string")
+    quality.fit(docs.repartition(3))
+    assert len(seen) == len(set(seen)) == 5
+
+
 def test_decontamination_in_blocks_equals_one_block(docs, spark):
     b = spark.createDataFrame([(i, f"{LINE} {i}") for i in range(5)] + [(9, "own two")], "item_id long, text string")
     whole = decontaminate.find_spans(docs, b, width=3)
