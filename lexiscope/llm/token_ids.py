@@ -8,8 +8,8 @@ the key's first document and its number of documents. A lookup is a few bit test
 
 The tokenizer encodes each piece that its pre-tokenizer cuts once, and pieces and words are kept in
 tables of bounded size: the pre-tokenizer always cuts before a space that a non-space follows, so the
-ids of a text are those of its words in a row (texts with other runs of white space are encoded
-whole).
+ids of a text are those of its words in a row (texts with other runs of white space, or with the
+string of an added token, are encoded whole).
 
 Defined cases: a null or empty text has the end id alone; rows that tie in doc_id are in the order
 of their text's hash, then text, and share one key; a null doc_id comes first. Extra columns are
@@ -65,7 +65,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)")  # their strings in a text are tokens
         self.type = np.dtype("<u2" if self.tok.get_vocab_size() <= 2**16 else "<u4")
         self.split = regex.compile(pattern or public_pattern())
         self.words: dict[str, bytes] = {}  # of a word after a space
@@ -109,7 +110,7 @@ class Encoder:
             self.words[w] = b"".join(map(get, own))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD_SPACE.search(t) else t.split(" ") for t in texts]
+        split = [None if _ODD_SPACE.search(t) or self.added.search(t) else t.split(" ") for t in texts]
         new = set().union(*(s[1:] for s in split if s)).difference(self.words)
         if new:
             if len(self.words) + len(new) > WORDS:

@@ -122,6 +122,17 @@ def test_word_tables_equal_whole_text_encoding(t):
     assert np.frombuffer(e.encode([t])[0], e.type).tolist() == e.ids(t)
 
 
+def test_added_tokens_in_texts_are_tokens():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(token_ids.tokenizer_path())
+    e = token_ids.shared_encoder(token_ids.tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "a x<|endoftext|>y  z\n<|endoftext|><|endoftext|>", "a <|endoftext| > b", "<|end oftext|>", ""]
+    for t, got in zip(texts, e.encode(texts), strict=True):
+        assert np.frombuffer(got, e.type).tolist() == plain.encode(t, add_special_tokens=False).ids
+    assert e.ids("<|endoftext|>") == [50256]
+
+
 @given(st.sets(st.integers(-(2**63), 2**63 - 1), max_size=300))
 def test_perfect_hash_is_minimal(keys):
     k = np.array(sorted(keys), np.int64)
