@@ -159,22 +159,32 @@ def test_chat_reads_back(spark):
     assert got[-1].loss_sha256 == hashlib.sha256(text).hexdigest()
 
 
-def test_ids_are_in_order_and_found_by_key(spark):
-    d = spark.createDataFrame([(i, f"text {i} " * i) for i in range(30)], "doc_id long, text string").repartition(5)
-    rows = token_ids.digest(d).orderBy("doc_id").collect()
-    at = 0
-    for r in rows:
-        assert r.start == at
-        at += r.n_tokens
+def test_ids_equal_the_plain_tokenizer_and_are_found_by_key(spark):
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(token_ids.tokenizer_path())
+    rows = [(i, f"text {i} " * i) for i in range(30)] + [(31, None), (32, "a <|endoftext|>\n\n b"), (33, "tab\t and\n\n\nends "), (-5, "x\ny. 1")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    at, want = 0, {}
+    for i, t in sorted(rows):
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
+        want[i] = (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_ids.digest(d).collect()} == want
     manifest, folder = token_ids.write_shards(d, shard_ids=60)
     shards = [token_ids.Shard(p.path, folder) for p in manifest.collect()]
     assert len(shards) > 3
-    import numpy as np
+    found = [x.tolist() for s in shards for x in s.get(17)]
+    assert found == [[*tok.encode("text 17 " * 17).ids, 0]] and not any(s.get(999) for s in shards)
+
 
-    e = token_ids.shared_encoder(token_ids.tokenizer_path())
-    hits = [(s, s.documents(np.array([17, 999]))) for s in shards]
-    (s, (first, n)), = [(s, h) for s, h in hits if h[1][0]]
-    assert s.ids(int(first[0])).tolist() == [*e.ids("text 17 " * 17), 0] and all(h[1][1] == 0 for _, h in hits)
+def test_ids_of_rows_without_or_with_the_same_id(spark):
+    d = spark.createDataFrame([(None, "b"), (None, "a"), (4, "same"), (4, "same"), (4, "other")], "doc_id long, text string").repartition(3)
+    rows = sorted((r.start, r.doc_id, r.n_tokens) for r in token_ids.digest(d).collect())
+    assert [r[1] for r in rows] == [None, None, 4, 4, 4] and all(a[0] + a[2] == b[0] for a, b in zip(rows, rows[1:]))
 
 
 def test_pipeline_stages(spark, tmp_path, docs, tables):
