@@ -103,36 +103,109 @@ def vocabulary():
 def test_nbest_equals_enumeration(vocabulary, text):
     want = sorted((s for s, _ in all_cuts(vocabulary, pieces._marked(text))), reverse=True)[:5]
     assert [s for s, _ in vocabulary.nbest(text, 5)] == pytest.approx(want)
-    raw, score, gap = vocabulary.encode(text)
-    assert score == pytest.approx(want[0]) and (len(want) < 2 or gap == pytest.approx(want[0] - want[1]))
-    assert vocabulary.decode(np.frombuffer(raw, "<u4")) == text
+    best = vocabulary.encode([text])[0]
+    assert best.score == pytest.approx(want[0]) and (len(want) < 2 or best.gap == pytest.approx(want[0] - want[1]))
+    several = vocabulary.nbest(text, 5)
+    assert all(vocabulary.decode(np.array(ids, np.int32)) == text for _, ids in several) and len({tuple(ids) for _, ids in several}) == len(several)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_nbest_of_several_words_equals_enumeration(vocabulary, seed):
+    r = random.Random(seed)
+    text = "".join(r.choice([" ", "\n", "the", "a", "n", "e", "é", ",", "\U0001f600", "▁"]) for _ in range(r.randrange(1, 9)))
+    cuts = sorted((s for s, _ in all_cuts(vocabulary, pieces._marked(text))), reverse=True)
+    for n in (2, 4, 7):
+        assert [s for s, _ in vocabulary.nbest(text, n)] == pytest.approx(cuts[:n])
+
+
+def test_words_side_by_side_equal_words_one_by_one(vocabulary):
+    r = random.Random(1)
+    words = list({"".join(r.choice("abcdeé.,1ß中▁\U0001f600") for _ in range(r.randrange(0, 60))).replace("▁", pieces.LITERAL) for _ in range(2000)})
+    words += ["\n", "\nab", "  x", " "]
+    flat, sizes = vocabulary._learn_all(words)
+    for w, row in zip(words, np.split(flat, np.cumsum(sizes)[:-1]), strict=True):
+        one = vocabulary._learn(w)
+        assert row[4:].tolist() == one[4:]
+        assert row[:4].view(np.float64) == pytest.approx(np.array(one[:4], np.int32).view(np.float64))
+
+
+@pytest.mark.parametrize("text", ["a" * 50_000, "ACGT" * 10_000, "=" * 30_000 + " end"], ids=["a", "ACGT", "="])
+def test_long_runs_in_bounded_memory(vocabulary, text):
+    import tracemalloc
+
+    tracemalloc.start()
+    got = vocabulary.encode([text], 4)[0]
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert vocabulary.decode_all([got.ids, *(x for _, x in got.others)]) == [text] * 4
+    assert [c for c, _ in got.others] == sorted(c for c, _ in got.others) and got.others[0][0] == pytest.approx(got.gap)
+    assert peak < 400 * len(text) + 10_000_000
+
+
+def test_a_run_of_a_megabyte(vocabulary):
+    got = vocabulary.encode(["a" * 1_000_000], 2)[0]
+    assert vocabulary.decode(got.ids) == "a" * 1_000_000 and len(got.others) == 1
 
 
 @settings(deadline=None, max_examples=60)
 @given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=60))
 def test_pieces_round_trip(t):
     p = pieces.shared_pieces(pieces.model_path())
-    assert p.decode(np.frombuffer(p.encode(t)[0], "<u4")) == t
+    assert p.decode(p.encode([t])[0].ids) == t
 
 
-@settings(deadline=None, max_examples=80)
-@given(st.text(alphabet=" \n\tab.,'1é<|endoftext>", max_size=60))
-def test_word_tables_equal_whole_text_encoding(t):
-    e = token_ids.shared_encoder(token_ids.tokenizer_path())
-    assert np.frombuffer(e.encode([t])[0], e.type).tolist() == e.ids(t)
+@pytest.fixture(scope="module")
+def plain_tokenizer():
+    from tokenizers import Tokenizer
 
+    return Tokenizer.from_file(token_ids.tokenizer_path())
+
+
+ODD_ALPHABET = [*" \n\tab.,'1é<!#\r\x1c\x85\u2003ß中²ª", "'s", "<|endoftext|>", "\n\n", "  "]
 
-def test_added_tokens_in_texts_are_tokens():
-    from tokenizers import Tokenizer
 
-    plain = Tokenizer.from_file(token_ids.tokenizer_path())
+@settings(deadline=None, max_examples=300)
+@given(st.lists(st.sampled_from(ODD_ALPHABET), max_size=40).map("".join))
+def test_word_tables_equal_a_fresh_tokenizer(plain_tokenizer, t):
+    e = token_ids.shared_encoder(token_ids.tokenizer_path())
+    assert np.frombuffer(e.encode([t])[0], e.type).tolist() == plain_tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_texts_are_tokens(plain_tokenizer):
     e = token_ids.shared_encoder(token_ids.tokenizer_path())
     texts = ["a <|endoftext|> b", "<|endoftext|>", "a x<|endoftext|>y  z\n<|endoftext|><|endoftext|>", "a <|endoftext| > b", "<|end oftext|>", ""]
     for t, got in zip(texts, e.encode(texts), strict=True):
-        assert np.frombuffer(got, e.type).tolist() == plain.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(got, e.type).tolist() == plain_tokenizer.encode(t, add_special_tokens=False).ids
     assert e.ids("<|endoftext|>") == [50256]
 
 
+def test_table_with_few_words_gives_the_same(plain_tokenizer):
+    r = random.Random(2)
+    texts = [" ".join("".join(r.choice("abcé.1") for _ in range(r.randrange(1, 6))) for _ in range(60)) for _ in range(40)]
+    e = token_ids.Encoder(token_ids.tokenizer_path(), words=50)
+    for at in range(0, 40, 4):
+        got = e.encode(texts[at : at + 4])
+        assert [np.frombuffer(g, e.type).tolist() for g in got] == [plain_tokenizer.encode(t, add_special_tokens=False).ids for t in texts[at : at + 4]]
+
+
+def test_index_finds_keys_that_it_does_not_hold(tmp_path):
+    keys = np.sort(np.concatenate([np.random.default_rng(1).integers(-(2**62), 2**62, 3000), [77, 77, 77]]))
+    ends = np.cumsum(np.arange(len(keys) + 2) % 5 + 1)  # two documents without a key come first
+    ids = np.arange(ends[-1]) % 60_000
+    (tmp_path / "s.idx").write_bytes(index := token_ids.build_index(keys, ends))
+    (tmp_path / "s.key").write_bytes(keys.astype("<i8").tobytes())
+    (tmp_path / "s.bin").write_bytes(token_ids.HEAD + (2).to_bytes(8, "little") + ids.astype("<u2").tobytes())
+    assert all(int(k).to_bytes(8, "little", signed=True) not in index for k in keys[abs(keys) > 2**32])
+    s = token_ids.Shard(str(tmp_path / "s"), str(tmp_path))
+    first, n = s.documents(np.unique(keys))
+    assert sum(n) == len(keys) and s.n_docs == len(keys) + 2
+    begins = np.concatenate([[0], ends[:-1]])
+    for k, a, m in zip(np.unique(keys).tolist(), first.tolist(), n.tolist(), strict=True):
+        assert s.find(k) == (a, m)
+        assert [x.tolist() for x in s.get(k)] == [ids[begins[d] : ends[d]].tolist() for d in range(a, a + m)]
+    assert len(s.get(77)) == 3 and s.find(78) == (0, 0) and s.get(78) == []
+
+
 @given(st.sets(st.integers(-(2**63), 2**63 - 1), max_size=300))
 def test_perfect_hash_is_minimal(keys):
     k = np.array(sorted(keys), np.int64)
