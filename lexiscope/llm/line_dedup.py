@@ -2,10 +2,12 @@
 
 Every line gets a 128-bit key hash. The hashes are range-partitioned together with a salt of the
 document, sorted by document (largest first) and position within, and a window streams over each
-run to mark first occurrences. A key's runs in all salts are then summed (map-side combined), and
-the sums go back to each share of the key, so a line that a third of all documents hold never meets
-in one task. What travels between stages is a
-hash, a document id and a position; the result is a sparse bitmap of 64-line words per document.
+run to mark first occurrences. Hashes are uniform, so the ranges are equal stretches of the hash's
+values and need no sample of the lines; the salt shifts a key by whole stretches, so that a key that
+a third of all documents hold lies in as many ranges as there are salts (one a shuffle partition), and
+never meets in one task. A key's runs in all salts are then summed (map-side combined), and the sums go
+back to each share of the key. What travels between stages is a hash, a document id and a position; the
+result is a sparse bitmap of 64-line words per document.
 
 Defined cases: a null text is one empty line; a null doc_id is one document, ordered below all
 others, so it is never the one that keeps a repeated line; rows that repeat a doc_id are one
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiscope.llm.common import ASCII_SPACE, SALTS, ascii_lower, staged, with_totals
+from lexiscope.llm.common import ASCII_SPACE, ascii_lower, salts, staged, with_totals
 
 NO_ID = -(2**63)
 
@@ -40,12 +42,12 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> D
     """(rid, rhash, pos) of each line to drop."""
     lines = _rows(docs).select("rid", "rhash", F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
     keyed = lines.select("rid", "rhash", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
-    hashed = keyed.select(
-        "rid", "rhash", "pos",
-        F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"),
-        F.pmod(F.xxhash64("rid"), F.lit(SALTS)).alias("salt"),
-    )
-    ranged = hashed.repartitionByRange("h1", "h2", "salt").sortWithinPartitions("h1", "h2", "salt", F.desc("rid"), "pos")
+    ranges = salts(docs.sparkSession)
+    salt = F.pmod(F.xxhash64("rid"), F.lit(ranges)).cast("int")
+    hashed = keyed.select("rid", "rhash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"), salt.alias("salt"))
+    # the upper 31 bits of h1 as a place from 0 to ranges - 1, moved on by the salt
+    place = F.pmod(F.shiftrightunsigned(F.shiftrightunsigned("h1", 33) * F.lit(ranges), 31) + F.col("salt"), F.lit(ranges)).cast("int")
+    ranged = hashed.repartitionById(ranges, place).sortWithinPartitions("h1", "h2", "salt", F.desc("rid"), "pos")
     run = Window.partitionBy("h1", "h2", "salt").orderBy(F.desc("rid"), "pos")
     first = (F.row_number().over(run) == 1) | (F.lag("rid").over(run) != F.col("rid"))
     seen = staged(ranged.withColumn("first", first).drop("salt"), "lines")  # read twice below
@@ -77,9 +79,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
         {"rid": "_rid", "rhash": "_rhash", "n_dropped": "_dropped", "words": "_words"}
     )
     lines = split_lines(F.col("text"))
-    #: The bitmap as an array indexed by word, so that a line's bit is found at once.
+    #: The bitmap as an array indexed by word, so that a line's bit is found at once: listed words, each after as many full ones as it takes.
     dense = F.expr(
-        "transform(sequence(0, element_at(_words, -1).word), w -> coalesce(map_from_entries(_words)[w], -1L))"
+        "flatten(transform(_words, (w, k) -> concat(array_repeat(-1L, CAST(w.word - IF(k = 0, -1, get(_words, k - 1).word) - 1 AS INT)), array(w.keep))))"
     )
     kept = F.expr(
         "array_join(filter(_lines, (l, i) -> coalesce((shiftright(get(_dense, shiftright(i, 6)), i & 63) & 1L) = 1L, true)), '\n')"
