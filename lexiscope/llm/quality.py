@@ -31,6 +31,8 @@ from lexiscope.llm import label_model
 SAMPLE_ROWS, SAMPLE_CHARS = 6_000, 24_000_000
 BUCKETS = 1 << 12
 THRESHOLD = 0.5
+#: Share of good texts before any vote is counted.
+START_BALANCE = 0.85
 
 MEASURES = ("symbols", "capitals", "repeats", "top_word", "odd_tokens", "bars", "mean_word", "n_words", "runs")
 
@@ -143,11 +145,13 @@ def votes(measured_docs: DataFrame) -> DataFrame:
 def fit_labels(docs: DataFrame) -> label_model.LabelModel:
     """The label model from the votes on all documents."""
     counts = votes(measured(docs.select("text"))).groupBy("votes").count().collect()  # at most 3 ** labellers patterns
-    if not counts:
-        counts = [([1] * len(LABELLERS), 1)]
-    patterns, n = np.array([r[0] for r in counts]), np.array([r[1] for r in counts], float)
-    bad = (patterns < 0).sum(axis=1)
-    return label_model.fit(patterns, n, 0.85, np.where(bad >= 2, 0.02, np.where(bad == 1, 0.1, 0.98)))
+    counts = sorted((tuple(r[0]), r[1]) for r in counts) or [((1,) * len(LABELLERS), 1)]  # in an order of their own, so sums don't vary
+    return label_model.fit(np.array([p for p, _ in counts]), np.array([n for _, n in counts], float), START_BALANCE, share_of_good(np.array([p for p, _ in counts])))
+
+
+def share_of_good(patterns: np.ndarray) -> np.ndarray:
+    """Where estimation starts: the plain share of good votes among those cast (with one of each before any vote), whatever the labeller."""
+    return ((patterns > 0).sum(axis=1) + 1) / ((patterns != 0).sum(axis=1) + 2)
 
 
 def sample_texts(docs: DataFrame) -> DataFrame:
