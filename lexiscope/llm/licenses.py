@@ -3,12 +3,14 @@
 A text is held against each notice of a small list. Words that are unique in both are anchors; the
 longest increasing subsequence of their places is kept, and the stretches between kept anchors (and
 their ends, word by word) are aligned again in the same way. Coverage is the share of the notice's
-words that are aligned. Each window that may hold a notice is aligned by itself, so a text may hold
+words that are aligned, and the words that tell a notice from the others (written in capitals in the
+list, digits of a version too) have to be among them. Each window that may hold a notice is aligned by itself, so a text may hold
 several notices, or one of them many times, in a row or with words of it between them.
 
-Before that, a bound: coverage can't exceed the share of a notice's words that the text has at all.
+Before that, a bound: coverage can't exceed the share of a notice's words that the text has at all, and
+a notice without one of its needed words isn't there.
 
-Defined cases: null and empty texts hold no notice; of notices with the same coverage the first in
+Defined cases: null and empty texts hold no notice; an empty list of notices finds none; of notices with the same coverage the first in
 the list is named. Extra columns are carried along; the new columns replace their namesakes.
 """
 
@@ -23,31 +25,86 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Short forms and openings of common notices, by SPDX name.
+_BSD_START = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions "
+    "are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the "
+    "documentation and or other materials provided with the distribution"
+)
+_BSD_END = (
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not "
+    "limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the "
+    "copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including "
+    "but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused "
+    "and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way "
+    "out of the use of this software even if advised of the possibility of such damage"
+)
+_GNU = "this program is free software you can redistribute it and or modify it under the terms of the"
+_GNU_END = "as published by the free software foundation either VERSION"
+_LATER = "of the license or at your option any later version"
+#: Public notices by SPDX name, short forms, headers and whole short licences. Words in capitals must be
+#: aligned; the others may be missing as far as coverage allows. Longer texts come by read_notices().
 NOTICES = {
-    "Apache-2.0": "licensed under the apache license version 2 0",
+    "Apache-2.0": "licensed under the APACHE license version 2 0",
     "Apache-2.0-header": (
-        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
-        "the license you may obtain a copy of the license at"
+        "licensed under the APACHE license version 2 0 the license you may not use this file except in compliance with the license you "
+        "may obtain a copy of the license at"
     ),
-    "MIT": "released under the mit license",
+    "Apache-2.0-header-end": (
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is "
+        "basis without warranties or conditions of any kind either express or implied see the license for the specific language "
+        "governing permissions and limitations under the license"
+    ),
+    "MIT": "released under the MIT license",
     "MIT-text": (
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-        "documentation files the software to deal in the software without restriction"
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+        "the software to deal in the software without restriction including without limitation the rights to use copy modify merge "
+        "publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do "
+        "so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies "
+        "or substantial portions of the software the software is provided as is without warranty of any kind express or implied "
+        "including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no "
+        "event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of "
+        "contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"
+    ),
+    "MIT-opening": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+        "the software to deal in the software without restriction"
+    ),
+    "ISC-text": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided "
+        "that the above copyright notice and this permission notice appear in all copies"
+    ),
+    "BSD-opening": (
+        "REDISTRIBUTION and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
     ),
-    "GPL-3.0": "this work is licensed under the gnu general public license version 3",
-    "GPL-3.0-header": (
-        "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
-        "public license as published by the free software foundation"
+    "BSD-2-Clause-text": f"{_BSD_START} {_BSD_END}",
+    "BSD-3-Clause-text": (
+        f"{_BSD_START} NEITHER the name of the copyright holder nor the names of its contributors may be used to ENDORSE or promote "
+        f"products derived from this software without specific prior written permission {_BSD_END}"
     ),
-    "BSD-3-Clause": (
-        "redistribution and use in source and binary forms with or without modification are permitted provided that "
-        "the following conditions are met"
+    "BSD-2-Clause": "licensed under the BSD 2 CLAUSE license",
+    "BSD-3-Clause": "licensed under the BSD 3 CLAUSE license",
+    "GPL": "under the terms of the GNU GENERAL PUBLIC license",
+    "GPL-2.0": "this work is licensed under the GNU GENERAL PUBLIC license version 2",
+    "GPL-2.0-terms": "under the terms of the GNU GENERAL PUBLIC license either VERSION 2 of the license",
+    "GPL-2.0-header": f"{_GNU} GNU GENERAL PUBLIC license {_GNU_END} 2 {_LATER}",
+    "GPL-3.0": "this work is licensed under the GNU GENERAL PUBLIC license version 3",
+    "GPL-3.0-terms": "under the terms of the GNU GENERAL PUBLIC license either VERSION 3 of the license",
+    "GPL-3.0-header": f"{_GNU} GNU GENERAL PUBLIC license {_GNU_END} 3 {_LATER}",
+    "LGPL": "under the terms of the GNU LESSER GENERAL PUBLIC license",
+    "LGPL-2.1-header": f"{_GNU} GNU LESSER GENERAL PUBLIC license {_GNU_END} 2 1 {_LATER}",
+    "LGPL-3.0-header": f"{_GNU} GNU LESSER GENERAL PUBLIC license {_GNU_END} 3 {_LATER}",
+    "AGPL": "under the terms of the GNU AFFERO GENERAL PUBLIC license",
+    "MPL-2.0": (
+        "this source code form is subject to the terms of the MOZILLA PUBLIC license v 2 0 if a copy of the mpl was not distributed with "
+        "this file you can obtain one at"
     ),
-    "CC-BY-4.0": "licensed under cc by 4 0",
-    "CC-BY-SA-4.0": "licensed under cc by sa 4 0",
-    "CC-BY-NC-4.0": "licensed under cc by nc 4 0",
-    "CC0-1.0": "released under cc0 1 0 universal public domain dedication",
+    "CC-BY-4.0": "licensed under CC BY 4 0",
+    "CC-BY-SA-4.0": "licensed under CC BY SA 4 0",
+    "CC-BY-NC-4.0": "licensed under CC BY NC 4 0",
+    "CC-BY-ND-4.0": "licensed under CC BY ND 4 0",
+    "CC-BY-long": "licensed under the CREATIVE COMMONS attribution 4 0 international license",
+    "CC0-1.0": "released under CC0 1 0 universal public domain dedication",
 }
 COVERAGE = 0.8
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -57,6 +114,11 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split()
 
 
+def _needed(words: list[str], k: int) -> bool:
+    """Whether the k-th word of a notice must be aligned: it is in capitals, or a digit of the version of a notice that has such words."""
+    return words[k].isupper() or (words[k].isdigit() and any(w.isupper() for w in words))
+
+
 def longest_increasing(values: list[int]) -> list[int]:
     """Indices of a longest strictly increasing subsequence (patience piles with links back)."""
     tops: list[int] = []
@@ -117,10 +179,17 @@ def _whole(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
+def read_notices(files: dict[str, str]) -> dict[str, str]:
+    """Notices from whole licence texts by name, to add to NOTICES (texts, not paths: they may lie in any store); nothing in them is needed word for word."""
+    return {name: b" ".join(words_of(text)).decode() for name, text in files.items()}
+
+
 class Scanner:
     def __init__(self, notices: dict[str, str], coverage: float):
         self.notices = {n: words_of(t) for n, t in notices.items()}
         self.coverage = coverage
+        self.needed = {n: frozenset(k for k, w in enumerate(words_of(t)) if _needed(t.split(), k)) for n, t in notices.items()}
+        self.keys = {n: frozenset(self.notices[n][k] for k in own) for n, own in self.needed.items()}
         self.bags = {n: Counter(w) for n, w in self.notices.items()}
         self.vocabulary = frozenset().union(*self.notices.values()) if notices else frozenset()
 
@@ -131,9 +200,9 @@ class Scanner:
         found: list[tuple[int, int, int, int, str, int]] = []
         for order, (name, notice) in enumerate(self.notices.items()):
             bag = self.bags[name]
-            if not notice or sum(c for w, c in bag.items() if w in there) < self.coverage * len(notice):
+            if not notice or not self.keys[name] <= there or sum(c for w, c in bag.items() if w in there) < self.coverage * len(notice):
                 continue
-            found.extend((-n, order, b - a, a, name, b) for n, a, b in self._places(words, notice, bag))
+            found.extend((-n, order, b - a, a, name, b) for n, a, b in self._places(words, notice, bag, self.needed[name]))
         out: list[tuple[str, float, int, int]] = []
         starts: list[int] = []
         for n, _, _, a, name, b in sorted(found):
@@ -143,7 +212,7 @@ class Scanner:
                 out.insert(k, (name, -n / len(self.notices[name]), a, b))
         return out
 
-    def _places(self, words: list[bytes], notice: list[bytes], bag: Counter) -> list[tuple[int, int, int]]:
+    def _places(self, words: list[bytes], notice: list[bytes], bag: Counter, needed: frozenset[int]) -> list[tuple[int, int, int]]:
         """(aligned words, first word, end) of each alignment that covers the notice.
 
         Exact copies come first. Elsewhere each window that may be one is aligned by itself, as words
@@ -163,18 +232,18 @@ class Scanner:
             if hi - lo < need:
                 continue
             part = words[lo:hi]
-            own = _whole([x for a, b in self._windows(part, notice, bag) for x in self._aligned(part, notice, a, b)])
+            own = _whole([x for a, b in self._windows(part, notice, bag) for x in self._aligned(part, notice, a, b, needed)])
             rest = []
             for a, b in self._stretches(part, notice, bag):
                 if all(y <= a or x >= b for _, x, y in own):
-                    rest.extend(self._aligned(part, notice, a, b))
+                    rest.extend(self._aligned(part, notice, a, b, needed))
             own += rest
             out.extend((n, lo + a, lo + b) for n, a, b in own)
         return out
 
-    def _aligned(self, words: list[bytes], notice: list[bytes], start: int, stop: int) -> list[tuple[int, int, int]]:
+    def _aligned(self, words: list[bytes], notice: list[bytes], start: int, stop: int, needed: frozenset[int]) -> list[tuple[int, int, int]]:
         pairs = align(words[start:stop], notice)
-        if not pairs or len(pairs) < self.coverage * len(notice):
+        if not pairs or len(pairs) < self.coverage * len(notice) or not needed.issubset(j for _, j in pairs):
             return []
         return [(len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)]
 
@@ -242,7 +311,7 @@ def scan_licenses(docs: DataFrame, notices: dict[str, str] | None = None, covera
 
     rest = docs.drop("licenses")
     out = rest.withColumn("licenses", F.array().cast(LICENSES)).schema
-    return rest.mapInArrow(_scan(notices or NOTICES, coverage, to_arrow_schema(out)), out)
+    return rest.mapInArrow(_scan(NOTICES if notices is None else notices, coverage, to_arrow_schema(out)), out)
 
 
 def digest(docs: DataFrame) -> DataFrame:
