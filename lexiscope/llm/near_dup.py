@@ -2,7 +2,8 @@
 
 1. One scan turns each document into its set of word shingles (64-bit hashes), and the set into a
    128-bit identity, K minwise tokens of 16 bits and ``trees`` root tokens of 64 bits. Equal sets
-   become one class; only the smallest doc_id of a class goes on.
+   become one class, whose vertex is half of its identity; rows that repeat a doc_id with unlike texts
+   are so in classes of their own. The smallest doc_id of a class lends its text.
 2. Every class enters the node of its root token in each tree. Nodes of at most ``node_limit``
    members are compared exhaustively by their K tokens; larger nodes branch: the node's own hash
    selects ``branches`` of the minwise tokens, and a member goes to the child of each. Members of a
@@ -16,8 +17,8 @@
    against one pivot, and only those it doesn't cover meet the others, in blocks.
 
 Defined cases: a document without words (or with null text) has an empty set and is linked with
-nothing; fewer than k words are one shingle; rows that repeat a doc_id are judged on their own text;
-rows with a null doc_id are returned, linked with nothing (component_id null, kept). Extra columns
+nothing; fewer than k words are one shingle; rows that repeat a doc_id are judged on their own text
+(and are kept if their component's smallest doc_id is their own); rows with a null doc_id are returned, linked with nothing (component_id null, kept). Extra columns
 are not read.
 """
 
@@ -90,7 +91,7 @@ def identity(s: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-SCANNED = "doc_id long, n_shingles long, h1 long, h2 long, tokens binary, roots array<long>"
+SCANNED = "doc_id long, row_hash long, n_shingles long, h1 long, h2 long, tokens binary, roots array<long>"
 
 
 def _scan(k: int, trees: int):
@@ -101,8 +102,8 @@ def _scan(k: int, trees: int):
             rows = [(len(s), *identity(s), *((t.tobytes(), r.view(np.int64)) if len(s) else (None, [])) ) for s in sets for t, r in [sketch(s, trees)]]
             n, h1, h2, tokens, roots = zip(*rows, strict=True) if rows else ([],) * 5
             yield pa.record_batch(
-                [batch["doc_id"], pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(tokens, pa.binary()), pa.array(roots, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "h1", "h2", "tokens", "roots"],
+                [batch["doc_id"], batch["row_hash"], pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(tokens, pa.binary()), pa.array(roots, pa.list_(pa.int64()))],
+                names=["doc_id", "row_hash", "n_shingles", "h1", "h2", "tokens", "roots"],
             )
 
     return run
@@ -170,10 +171,11 @@ def loose_links(reps: DataFrame, trees: int, node_limit: int, branches: int, dep
             if frontier.isEmpty():
                 break
         sizes = frontier.groupBy("node").agg(F.count("*").alias("size"), F.min("id").alias("least")).where("size > 1")
-        sized = frontier.join(sizes, "node")
-        small = sized.where(F.col("size") <= node_limit).select("node", "id", "n", "tokens").sortWithinPartitions("node", "id")
-        found = small.mapInArrow(_compare_nodes(loose, threshold), "u long, v long")
-        large = sized.where(F.col("size") > node_limit)
+        # nodes to compare are small, so each may go to one task; the join before may split its partitions, and so
+        # isn't relied on: dealt by node itself, rows would be taken as dealt already
+        few = frontier.join(sizes.where(F.col("size") <= node_limit), "node").select("node", "id", "n", "tokens")
+        found = few.repartition(F.xxhash64("node")).sortWithinPartitions("node", "id").mapInArrow(_compare_nodes(loose, threshold), "u long, v long")
+        large = frontier.join(sizes.where(F.col("size") > node_limit), "node")
         if level == depth - 1:
             found = found.union(large.select(F.col("id").alias("u"), F.col("least").alias("v")))
         else:
@@ -221,7 +223,7 @@ def _full_sets(k: int):
         hashes = _WordHashes()
         for batch in batches:
             keep, data, n = [], [], []
-            for i, (text, h1, h2) in enumerate(zip(batch["text"], batch["h1"].to_pylist(), batch["h2"].to_pylist(), strict=True)):
+            for i, (text, h1, h2) in enumerate(zip(batch["text"], batch["id"].to_pylist(), batch["h2"].to_pylist(), strict=True)):
                 s = shingles(text.as_py(), hashes, k)
                 if identity(s) == (h1, h2):
                     keep.append(i)
@@ -290,10 +292,15 @@ def _large_links(sets: DataFrame, group_shingles: int, threshold: int) -> DataFr
     return links.union(tasks.repartition("comp").sortWithinPartitions("comp", "id").select("comp", "id", "words").mapInArrow(_verify(threshold), "u long, v long"))
 
 
-def near_duplicates(
+def near_duplicates(docs: DataFrame, k: int = 3, threshold: int = 85, **limits: float) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of each row of docs (doc_id, text)."""
+    return judged_rows(docs, k, threshold, **limits).drop("row_hash")
+
+
+def judged_rows(
     docs: DataFrame,
-    k: int = 3,
-    threshold: int = 85,
+    k: int,
+    threshold: int,
     trees: int = 6,
     node_limit: int = 2000,
     branches: int = 3,
@@ -301,19 +308,21 @@ def near_duplicates(
     loose: float = 0.6,
     group_shingles: int = 4_000_000,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row of docs (doc_id, text)."""
-    scanned = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan(k, trees), SCANNED), "sketches")
+    """near_duplicates() with ``row_hash``, the hash of the row's text: with doc_id it names a row among those that repeat a doc_id."""
+    ids = F.col("doc_id").cast("long")
+    own = docs.select(ids.alias("doc_id"), "text", F.xxhash64("text").alias("row_hash"))
+    scanned = staged(own.mapInArrow(_scan(k, trees), SCANNED), "sketches")
     usable = scanned.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = staged(
         usable.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "n_shingles", "tokens", "roots")).alias("r"))
-        .select("h1", "h2", F.col("r.doc_id").alias("id"), F.col("r.n_shingles").alias("n"), "r.tokens", "r.roots"), "classes"
+        .select(F.col("h1").alias("id"), "h2", "r.doc_id", F.col("r.n_shingles").alias("n"), "r.tokens", "r.roots"), "classes"
     )
     loosely = star_components(loose_links(classes, trees, node_limit, branches, depth, loose, threshold))
-    members = loosely.join(classes.select("id", "h1", "h2", "n"), "id")
+    members = loosely.join(classes.select("id", "h2", "n", "doc_id"), "id")
     totals = members.groupBy("comp").agg(F.sum("n").alias("total"))
-    members = staged(members.join(totals, "comp").select("id", "comp", "h1", "h2", "total"), "members")
+    members = staged(members.join(totals, "comp").select("doc_id", "comp", "id", "h2", "total"), "members")
     # the members are the hashed side at every size: texts aren't sorted, nor the members broadcast
-    text = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members.hint("shuffle_hash"), "id")
+    text = docs.select(ids.alias("doc_id"), "text").join(members.hint("shuffle_hash"), "doc_id")
     sets = text.mapInArrow(_full_sets(k), "comp long, id long, total long, n long, words binary")
     if members.where(F.col("total") > group_shingles).isEmpty():
         small, links = sets, None
@@ -321,11 +330,14 @@ def near_duplicates(
         sets = staged(sets.dropDuplicates(["comp", "id"]), "sets")
         small = sets.where(F.col("total") <= group_shingles)
         links = _large_links(sets.where(F.col("total") > group_shingles), group_shingles, threshold)
-    own = small.select("comp", "id", "words").repartition("comp").sortWithinPartitions("comp", "id").mapInArrow(_verify(threshold), "u long, v long")
-    found = star_components(own if links is None else own.union(links))
-    reach = classes.select("h1", "h2", "id").join(found, "id", "left").select("h1", "h2", F.coalesce("comp", "id").alias("reached"))
-    rows = scanned.select("doc_id", "n_shingles", "h1", "h2").join(reach, ["h1", "h2"], "left")
+    exact = small.select("comp", "id", "words").repartition("comp").sortWithinPartitions("comp", "id").mapInArrow(_verify(threshold), "u long, v long")
+    found = star_components(exact if links is None else exact.union(links))
+    linked = staged(classes.select("id", "h2", "doc_id").join(found, "id"), "linked")
+    least = linked.groupBy("comp").agg(F.min("doc_id").alias("reached"))
+    reach = linked.join(least, "comp").select(F.col("id").alias("h1"), "h2", "reached")
+    alone = classes.join(linked.select("id"), "id", "left_anti").select(F.col("id").alias("h1"), "h2", F.col("doc_id").alias("reached"))
+    rows = scanned.select("doc_id", "row_hash", "n_shingles", "h1", "h2").join(reach.union(alone), ["h1", "h2"], "left")
     own_id = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     return rows.select(
-        "doc_id", "n_shingles", F.when(own_id, F.col("doc_id")).otherwise(F.col("reached")).alias("component_id")
+        "doc_id", "row_hash", "n_shingles", F.when(own_id, F.col("doc_id")).otherwise(F.col("reached")).alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
