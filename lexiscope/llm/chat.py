@@ -10,7 +10,9 @@ A text may hold the template's own control strings. They are escaped reversibly:
 role ends at the line's end.
 
 Defined cases: a null text or role is empty; turns that tie are taken by role, then text; a null
-turn comes first; null conv_ids are one conversation. A conversation whose roles break the state
+turn comes first; null conv_ids are one conversation, and so are turns of a conversation -1 and those
+of the probe of the same id, if a table has it. conv_id and turn are cast to long (one that can't be
+stops the run under ANSI mode). A conversation whose roles break the state
 machine is formatted all the same and is marked (``valid``, ``n_violations``). Extra columns are
 not read.
 """

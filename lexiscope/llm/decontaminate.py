@@ -8,8 +8,10 @@ sampled suffix positions are built. All phrases (windows of ``width`` words) are
 at once, step by step, by ranks in the wavelet matrix; occurrences are located by walking to the
 next sampled position, and the spans of a document are merged.
 
-The benchmark goes to the executors in blocks of at most ``block_bytes`` of text, each block in a
-pass over the documents' spans, so that its size has a bound and any benchmark is searched whole.
+The benchmark goes to the executors in blocks of about ``block_bytes`` of text, so that what is broadcast
+has a bound and any benchmark is searched whole. Blocks come one after the other: a block's phrases are
+collected, broadcast and searched in a pass over the documents, whose spans so far are then written to
+the shared folder, and the broadcast is destroyed before the next block's is made.
 
 Defined cases: null and empty texts have no words; an item without words has no phrase; items that
 repeat an id count once; a null item_id is left out. Rows that repeat a doc_id are each judged on
@@ -27,8 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexiscope.llm.common import staged
+
 WIDTH = 10
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 2_000_000
 #: Text bytes of a shard; bounds what a task holds.
 SHARD_BYTES = 8_000_000
 SAMPLE = 8
@@ -285,9 +289,11 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_
     schema = to_arrow_schema(out.schema)
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-        rows = [(r.item, r.text) for r in own.collect()]  # at most about block_bytes
-        phrases = spark.sparkContext.broadcast(Phrases(rows, width))
+        phrases = spark.sparkContext.broadcast(Phrases([(r.item, r.text) for r in own.toLocalIterator()], width))  # of about block_bytes
         out = out.mapInArrow(_scanner(phrases, schema), out.schema)
+        if b < blocks - 1:
+            out = staged(out, "spans")
+            phrases.destroy()
     return out
 
 

@@ -71,7 +71,7 @@ def fit(votes: np.ndarray, weight: np.ndarray, balance: float, start: np.ndarray
             share = np.minimum(copies, _shares(votes, weight, post))
         model = LabelModel(balance, chances, share)
         new = model.posterior(votes)
-        if k > 10 and np.abs(new - post).max() < 1e-6:
+        if k > 10 and np.abs(new - post).max(initial=0.0) < 1e-6:
             break
         post = new
     return model

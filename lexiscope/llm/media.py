@@ -8,8 +8,11 @@ range of a few bytes at its offset; features by reading the range of the whole p
 Tar members have the plain ustar head; a shard ends with two empty blocks, so any tar reader opens
 it.
 
+Payloads that are equal in several tasks lie in each one's shards, as bringing texts together would cost
+a shuffle of all of them; their rows carry the same digest.
+
 Defined cases: a null text is empty; an empty payload is one row of zeros. Rows that repeat share a
-payload. Extra columns are not read.
+payload where one task stores them. doc_id is cast to long. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -196,7 +199,14 @@ def _features(folder: str):
     return run
 
 
+def dealt(rows: DataFrame, task_bytes: int = SHARD_BYTES // 4) -> DataFrame:
+    """rows in as many tasks as their payloads have task_bytes, those of one stretch of a shard together (descriptors are small, so their files' sizes say nothing)."""
+    total = rows.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, min(100_000, -(-total // task_bytes)))
+    return rows.repartition(tasks, "shard", F.floor(F.col("offset") / task_bytes)).sortWithinPartitions("shard", "offset")
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """The columns of op2, from the stored bytes."""
     rows, folder = store_texts(docs)
-    return fill_metadata(rows, folder).mapInArrow(_features(folder), READ)
+    return fill_metadata(dealt(rows), folder).mapInArrow(_features(folder), READ)

@@ -13,8 +13,8 @@ Whole texts are scored on the executors with the (small) model.
 
 Defined cases: a null or empty text has the score of a text without any feature; rows that repeat a
 doc_id are scored one by one; a null doc_id is not held out; labels of null doc_ids or with null
-toxic are not used; with labels of one kind or none the general list alone votes. Extra columns are carried
-along; the new columns replace their namesakes.
+toxic are not used; with any labels or none the classifier also learns from the general list's insults, as
+texts of one word, and from empty texts as clean ones. Extra columns are carried along; the new columns replace their namesakes.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ INSULTS = frozenset(
     "idiot idiots stupid moron morons dumb loser losers trash scum garbage pathetic worthless disgusting clown clowns "
     "imbecile fool filthy vermin creep jerk bastard degenerate retard ugly hate kill".split()
 )
+#: Empty texts, labelled clean, for each insult, labelled toxic, that are added to a sample.
+CLEAN = 9
 PREFIXES = (3, 4, 5, 6, 7, 8)
 VOTERS_OF_A_KIND = 3
 BUCKETS = 1 << 14
@@ -144,27 +146,23 @@ def votes_of(found: set[str]) -> list[int]:
 
 
 def fit(rows: list[tuple[str, int]]) -> Model:
-    """From labelled texts, each distinct text once."""
-    rows = sorted(dict(rows).items())
-    texts, y = [t for t, _ in rows], np.array([v for _, v in rows], np.int64)
-    if not rows or len(set(y.tolist())) < 2:
-        return Model({}, {bucket("i:" + w): 4.0 for w in INSULTS}, -3.0)
-    model = Model(mine_lexicon(texts, y), {}, 0.0)
+    """From labelled texts, each distinct text once. The label model sees these alone; the classifier also gets texts of one insult
+    each and CLEAN empty ones for each of them, with any labels or none, so insults of the list that the sample lacks have a weight."""
+    known = sorted(dict(rows).items())
+    texts, y = [t for t, _ in known], np.array([v for _, v in known], np.int64)
+    model = Model(mine_lexicon(texts, y) if known else {}, {}, 0.0)
     found = [model.found(t) for t in texts]
-    votes = np.array([[*votes_of(f), 2 * v - 1] for f, v in zip(found, y.tolist(), strict=True)], np.int64)
+    votes = np.array([[*votes_of(f), 2 * v - 1] for f, v in zip(found, y.tolist(), strict=True)], np.int64).reshape(len(known), len(votes_of(set())) + 1)
     patterns, which, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
-    rate = float(np.clip(y.mean(), 0.01, 0.99))
-    start = np.where(patterns[:, -1] > 0, 0.9, 0.1)
-    labels = label_model.fit(patterns, counts.astype(float), rate, start)
-    target = labels.posterior(patterns)[which.ravel()]
+    rate = float(np.clip(y.mean() if known else 0.5, 0.01, 0.99))
+    labels = label_model.fit(patterns, counts.astype(float), rate, np.where(patterns[:, -1] > 0, 0.9, 0.1))
+    insults = sorted(INSULTS)
+    found += [model.found(w) for w in insults] + [set()] * (CLEAN * len(insults))
+    target = np.concatenate([labels.posterior(patterns)[which.ravel()], np.full(len(insults), 0.99), np.full(CLEAN * len(insults), 0.01)])
     pairs = [(i, bucket(f)) for i, own in enumerate(found) for f in own]
     r, c = np.array(pairs, np.int64).reshape(-1, 2).T
-    w, b = label_model.train_linear(r, c, np.ones(len(r)), len(texts), BUCKETS, target, np.ones(len(texts)))
-    used = np.unique(c)
-    weights = {int(k): float(w[k]) for k in used}
-    listed = [weights[k] for k in {bucket("i:" + x) for x in INSULTS} if k in weights]
-    if listed:  # insults of the list that the sample doesn't hold weigh as those that it holds
-        weights = {bucket("i:" + x): float(np.mean(listed)) for x in INSULTS} | weights
+    w, b = label_model.train_linear(r, c, np.ones(len(r)), len(found), BUCKETS, target, np.ones(len(found)))
+    weights = {int(k): float(w[k]) for k in np.unique(c)}
     return Model(model.lexicon, weights, b)
 
 

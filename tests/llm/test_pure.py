@@ -261,6 +261,46 @@ def test_license_scan_finds_each_of_many_notices():
     assert [r[0] for r in s.scan(f"{long} the {long} to any {long}")] == ["MIT-text"] * 3
 
 
+def test_licenses_need_the_words_that_tell_them_apart():
+    s = licenses.Scanner(licenses.NOTICES, 0.8)
+    of = lambda t: [r[0] for r in s.scan(t)]
+    assert of("released under the terms of the gnu general public license either version 2 of the license") == ["GPL-2.0-terms"]
+    assert of("released under the license") == of("licensed under the apache license version 1 1") == []
+    assert of("licensed under cc by nc 4 0") == ["CC-BY-NC-4.0"] and of("licensed under cc by 4 0") == ["CC-BY-4.0"]
+    for name in ("MIT-text", "BSD-2-Clause-text", "BSD-3-Clause-text", "GPL-2.0-header", "GPL-3.0-header", "LGPL-2.1-header", "MPL-2.0"):
+        assert of("some code " + licenses.NOTICES[name] + " and more") == [name]
+    assert licenses.Scanner({}, 0.8).scan("released under the mit license") == []
+    more = licenses.read_notices({"Own-1": "You may, and must, keep this line and all lines below it."})
+    assert [r[0] for r in licenses.Scanner(more, 0.8).scan("and you may and must keep this line and all lines below")] == ["Own-1"]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_license_scan_equals_a_scan_of_all_stretches(seed):
+    r = random.Random(seed)
+    notices = {"A": "one TWO three four five", "B": "two three TWO six one seven eight", "C": "four four one"}
+    s = licenses.Scanner(notices, 0.8)
+    words = []
+    for _ in range(r.randrange(1, 4)):
+        own = notices[r.choice("ABC")].lower().split()
+        if r.random() < 0.5:
+            own[r.randrange(len(own))] = r.choice(["x", "one", "two"])
+        words += [r.choice(["x", "y", "one", "four"]) for _ in range(r.randrange(4))] + own
+    text = " ".join(words)
+
+    def covers(name, a, b):
+        notice = licenses.words_of(notices[name])
+        pairs = licenses.align(licenses.words_of(text)[a:b], notice)
+        return len(pairs) >= 0.8 * len(notice) and s.needed[name] <= {j for _, j in pairs}
+
+    found = s.scan(text)
+    assert all(covers(n, a, b) for n, _, a, b in found)  # nothing that isn't there
+    for name, notice in notices.items():  # nothing left out: what qualifies meets a found one
+        for a in range(len(words)):
+            for b in range(a + 1, min(len(words), a + 2 * len(notice.split())) + 1):
+                if covers(name, a, b):
+                    assert any(x < b and a < y for _, _, x, y in found), (name, a, b)
+
+
 def test_label_model_finds_accuracies_and_copies():
     r = np.random.default_rng(0)
     y = r.random(4000) < 0.3
@@ -285,7 +325,9 @@ def test_toxicity_learns_beginnings_and_ignores_copies():
     rows += [("unlucky phrase " + rows[0][0] + f" {i}", 1) for i in range(60)]  # near copies of a toxic text
     m = toxicity.fit(rows)
     assert m.score("well zorkling then") >= 0.7 > m.score("an unlucky phrase") and m.score("") < 0.5 and m.score(None) < 0.5
-    assert toxicity.fit([]).score("you idiot") > toxicity.fit([]).score("hello")
+    for rows in ([], [("well then", 0)], [("all bad", 1), ("worse", 1)]):  # labels of one kind or none
+        m = toxicity.fit(rows)
+        assert m.score("you idiot") > 0.5 > m.score("hello") and m.score("some scum there") > 0.5
 
 
 def test_quality_measures():

@@ -66,6 +66,37 @@ def test_line_dedup_rules(docs):
     assert kept[4] is None and kept[5] == ""
 
 
+def test_line_dedup_of_many_lines_and_a_hot_line(spark):
+    r = random.Random(4)
+    texts = ["\n".join(f"line {r.choice('abcdefgh') * 20}" if r.random() < 0.3 else f"own {i} {k}" for k in range(r.choice([3, 130, 700]))) for i in range(60)]
+    texts = [t + "\n" + LINE if i % 2 else t for i, t in enumerate(texts)]
+    holders: dict[str, set[int]] = {}
+    for i, t in enumerate(texts):
+        for x in t.split("\n"):
+            holders.setdefault(x.strip().lower(), set()).add(i)
+    gone = lambda x, i: len(x) >= 20 and len(holders[x.lower()]) >= 3 and i != max(holders[x.lower()])
+    want = {i: "\n".join(x for x in t.split("\n") if not gone(x, i)) for i, t in enumerate(texts)}
+    out = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)).collect()
+    assert {x.doc_id: x.text for x in out} == want
+    assert {x.doc_id: x.n_lines - x.n_dropped for x in out} == {i: len([x for x in t.split("\n") if not gone(x, i)]) for i, t in enumerate(texts)}
+
+
+def test_shared_folder_on_a_cluster_must_be_set():
+    from types import SimpleNamespace
+
+    from lexiscope.llm import common
+
+    session = lambda master: SimpleNamespace(
+        conf=SimpleNamespace(get=lambda *_: None),
+        sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda _: None),
+    )
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            common.shared_dir(session(master))
+    for master in ("local", "local[4]", "local[*]", "local[2, 3]"):
+        assert common.shared_dir(session(master)).startswith("file://")
+
+
 def test_near_dup_against_brute_force_with_small_limits(spark):
     r = random.Random(3)
     word = lambda: f"w{r.randrange(500)}"
@@ -102,6 +133,35 @@ def test_pipeline_drops_near_copies_of_five_words_at_four_fifths(spark):
     assert sorted(r.doc_id for r in out.collect()) == [0, 2, 3]
 
 
+def test_pipeline_keeps_unlike_rows_of_a_repeated_id(spark):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, b), (9, a + " more"), (9, c), (None, a), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(3), "")
+    key = lambda r: (r[0] is None, r)
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=key) == sorted([(1, a), (5, b), (5, b), (9, c), (None, a), (None, a)], key=key)
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in near_dup.near_duplicates(docs, k=5, threshold=80).collect())
+    assert got == [(0, 0), (0, 0), (1, 1), (5, 1), (5, 5), (5, 5), (7, 5), (9, 1), (9, 9)]
+
+
+def test_near_dup_misses_few_links_of_many(spark):
+    """Recall over 3,000 pairs at and above the threshold, against links counted one by one."""
+    r = random.Random(8)
+    rows, wanted = [], 0
+    for i in range(3000):
+        base = [f"w{r.randrange(100_000)}" for _ in range(r.randrange(40, 200))]
+        other = list(base)
+        for _ in range(r.randrange(0, 1 + len(base) // 60)):
+            other[r.randrange(len(other))] = "changed"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+        x, y = ({tuple(t[k : k + 3]) for k in range(len(t) - 2)} for t in (base, other))
+        wanted += 100 * len(x & y) >= 85 * len(x | y)
+    out = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert wanted > 1500 and out.where("NOT kept").count() >= 0.999 * wanted
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, k) for k in range(101, 150)] + [(7, 7)]
     got = {r.id: r.comp for r in star_components(spark.createDataFrame(edges, "u long, v long")).collect()}
