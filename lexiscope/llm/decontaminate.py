@@ -34,7 +34,7 @@ from lexiscope.llm.common import staged
 WIDTH = 10
 BLOCK_BYTES = 2_000_000
 #: Text bytes of a shard; bounds what a task holds.
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 SAMPLE = 8
 
 #: A-Z lower-cased, other ASCII but digits and a-z to spaces; every byte of 128 and over belongs to a word.

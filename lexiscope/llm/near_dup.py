@@ -46,7 +46,7 @@ class _WordHashes(dict):
     """64-bit hashes by word; emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 250_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h

@@ -46,7 +46,7 @@ from lexiscope.llm.word_table import WordTable, slices, spread
 
 MARK = "▁"
 #: Words of a generation of the table, and words whose n best are kept; both live as long as a Python worker.
-WORDS, OPENED = 450_000, 20_000
+WORDS, OPENED = 200_000, 20_000
 #: Kinds of characters that the pass over many words tells apart, and the longest word that it takes.
 CLASSES, SHORT = 256, 40
 #: Segmentations that op5 returns of each text.
@@ -106,7 +106,7 @@ class Pieces:
         known, node = set(common), {"": 1}
         nodes = [p for p in sorted(self.prefixes, key=len) if known.issuperset(p)]
         node.update((p, k) for k, p in enumerate(nodes, 2))
-        self.step = np.zeros((len(nodes) + 2, CLASSES), np.int32)
+        self.step = np.zeros((len(nodes) + 2, CLASSES), np.uint16 if len(nodes) < 2**16 - 2 else np.int32)
         chars = np.array([ord(p[-1]) for p in nodes], np.int64)
         self.step[[node[p[:-1]] for p in nodes], self.class_of[chars]] = np.arange(2, len(nodes) + 2)
         self.node_score = np.array([-1e300, -1e300, *(self.score.get(p, -1e300) for p in nodes)])

@@ -103,7 +103,7 @@ def mine_lexicon(texts: list[str], labels: np.ndarray) -> dict[str, float]:
 class Model:
     """A lexicon with buckets and weights; picklable."""
 
-    def __init__(self, lexicon: dict[str, float], weights: dict[int, float], bias: float, cache: int = 200_000):
+    def __init__(self, lexicon: dict[str, float], weights: dict[int, float], bias: float, cache: int = 100_000):
         self.lexicon, self.weights, self.bias, self.cache = lexicon, weights, bias, cache
         self.known: dict[str, tuple[str, ...]] = {}
 
