@@ -55,6 +55,15 @@ STEPS: dict[str, str] = {
 }
 #: Two words before the parenthesis decide, small words not counted; more of them would change nothing.
 DEFINITION = rf"((?:(?!(?:{_SMALL})(?!{W}))[A-Za-z][a-z]*{S}+(?:(?:{_SMALL}){S}+)*){{2}})\(([A-Z]{{2,8}})\)"
+#: Fixed value: a function definition up to the next one, which only code steps change.
+CODE = (
+    rf"(?isu){START}def{S}+[A-Za-z_]{W}*{S}*\([^)]*\){S}*:.*?{START}return{END}.*?"
+    rf"(?={START}def{S}+[A-Za-z_]{W}*{S}*\([^)]*\){S}*:|\z)"
+)
+#: A noncharacter that parts code from the rest of a block.
+_PART = "\ufffe"
+#: How many matches a step's report shows at most, where not all.
+REPORTED = {"def_return_funcs": 5, "math_commands": 10, "subscript_superscript": 10, "standalone_numbers": 20}
 HYPHENATED = rf"([A-Z][a-zA-Z0-9]*(?:-[A-Z][a-zA-Z0-9]*){{1,7}}){S}*\(([A-Z]{{2,8}})\)"
 LOWER_HYPHENATED = rf"([a-z][a-z0-9]*(?:-[a-z][a-z0-9]*){{1,7}}){S}*\(([A-Z]{{2,8}})\)"
 #: Words that show a language is meant, unless a hyphen stands before them.
@@ -99,10 +108,22 @@ strip_math_functions = step("math_functions")
 
 
 def strip_code(block: Column) -> Column:
-    """Column assignments, slices and markers; they go wherever they stand, so code blocks need no pass of their own."""
+    """Column assignments, slices and markers."""
     return strip_col_markers(strip_col_slices(strip_col_assignments(block)))
 
 
+def strip_code_blocks(block: Column) -> Column:
+    """The same inside function definitions alone: an assignment that ends with its function can't take what follows it on the line."""
+
+    def stripped(b: Column) -> Column:
+        marked = F.regexp_replace(F.translate(b, _PART, " "), f"({CODE})", f"{_PART}$1{_PART}")
+        parts = F.transform(F.split(marked, _PART), lambda p, i: F.when(i % 2 == 1, strip_code(p)).otherwise(p))
+        lower = F.lower(b)  # two plain searches leave out nearly all blocks
+        return F.when(F.contains(lower, F.lit("def")) & F.contains(lower, F.lit("return")), F.array_join(parts, "")).otherwise(b)
+
+    return F.element_at(F.transform(F.array(block), stripped), 1)  # so that the block is made once
+
+
 def split_blocks(text: Column) -> Column:
     """Blocks between empty lines, trimmed, without empty ones; CR LF CR LF is no break."""
     trimmed = F.transform(F.split(text, "\r?\n{2,}"), lambda b: trim_space(b))
@@ -162,18 +183,35 @@ def strip_acronyms(block: pd.Series, acronyms: pd.Series) -> pd.Series:
 
 
 def strip_patterns(block: Column) -> Column:
-    """All removals up to the acronyms, in order."""
+    """All removals up to the acronyms, in order; code blocks come after addresses."""
     for name in STEPS:
         block = step(name)(block)
+        if name == "email_addresses":
+            block = strip_code_blocks(block)
     return block
 
 
 def step_matches(block: Column) -> Column:
-    """map(step -> what it removed from a block), each step seeing what the ones before left; steps without a match are left out."""
+    """map(step -> what it removed from a block), each step seeing what the ones before left; steps without a match are left out.
+
+    Long reports show their first matches (see REPORTED). acronym_catch has the acronyms that the block defines,
+    replaced_chars the distinct characters that can't be part of a name in what is left.
+    """
+    acronyms = defined_acronyms(block)
     pairs = []
+
+    def report(name: str, found: Column) -> None:
+        shown = F.slice(found, 1, REPORTED[name]) if name in REPORTED else found
+        pairs.append(F.struct(F.lit(name).alias("key"), shown.alias("value")))
+
     for name, pattern in STEPS.items():
-        pairs.append(F.struct(F.lit(name).alias("key"), F.regexp_extract_all(block, F.lit(f"({pattern})"), F.lit(1)).alias("value")))
+        report(name, F.regexp_extract_all(block, F.lit(f"({pattern})"), F.lit(1)))
         block = step(name)(block)
+        if name == "email_addresses":
+            report("def_return_funcs", F.regexp_extract_all(block, F.lit(f"({CODE})"), F.lit(1)))
+            block = strip_code_blocks(block)
+    report("acronym_catch", acronyms)
+    report("replaced_chars", F.array_sort(F.array_distinct(F.regexp_extract_all(strip_definitions(block), F.lit(f"({NOT_KEPT})"), F.lit(1)))))
     return F.map_from_entries(F.filter(F.array(*pairs), lambda p: F.size(p["value"]) > 0))
 
 
@@ -188,7 +226,9 @@ def clean_blocks(df: DataFrame, text: str = "text", acronyms: str | None = None)
     n = n.select(*rest, F.array_union(defined_acronyms(F.col("_n")), given).alias("acronyms"), F.posexplode(split_blocks(F.col("_n"))).alias("block_idx", "block"))
     n = n.withColumn("block", strip_definitions(strip_patterns(F.col("block"))))
     n = n.withColumn("block", strip_acronyms("block", "acronyms"))
-    return n.withColumn("block", squeeze_space(replace_non_letters(F.col("block")))).where("block <> ''")
+    # exploded, so that a filter on the block isn't pushed below and makes it again
+    clean = F.filter(F.array(squeeze_space(replace_non_letters(F.col("block")))), lambda b: b != "")
+    return n.select(*rest, "acronyms", "block_idx", F.explode(clean).alias("block"))
 
 
 def replaced_characters(blocks: DataFrame, block: str = "block") -> DataFrame:

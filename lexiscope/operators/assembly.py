@@ -39,8 +39,8 @@ def html_unavailable(present, complete, n_sections):
     return ~F.coalesce(present, F.lit(False)) | ~F.coalesce(complete, F.lit(True)) | (F.coalesce(n_sections, F.lit(0)) == 0)
 
 
-def choose_sources(candidates: DataFrame) -> DataFrame:
-    """The fallback chain: (paper_id, source, text) rows to screen.
+def choose_sources(candidates: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The fallback chain: (paper_id, source, text, warning) rows to screen, with the columns ``keep`` of the candidate.
 
     candidates: paper_id, abstract, html_sections (array of title and text), html_complete, pdf_text.
     The abstract always; complete HTML with sections; else the PDF; else what there is of the HTML.
@@ -58,7 +58,7 @@ def choose_sources(candidates: DataFrame) -> DataFrame:
             .otherwise(F.struct(F.lit("pdf_unavailable").alias("source"), F.lit("").alias("text"), F.lit("pdf_unavailable").alias("warning"))),
         )
     )
-    return candidates.select("paper_id", F.inline(picked))
+    return candidates.select("paper_id", *keep, F.inline(picked))
 
 
 def needs_retry(papers: DataFrame, detected: DataFrame, html_cache: DataFrame, pdf_cache: DataFrame) -> DataFrame:
@@ -81,22 +81,33 @@ def needs_retry(papers: DataFrame, detected: DataFrame, html_cache: DataFrame, p
     return j.where(again).drop("_s", "_complete", "_pdf")
 
 
+def _one_of_each(records: DataFrame, key: str, best: tuple = ()) -> DataFrame:
+    """A record for each key: of those that repeat it the first by ``best``, then by all its values. A null key is a key."""
+    columns = records.columns
+    order = F.struct(*best, *(F.to_json(F.struct(F.col(c))).alias(f"_{c}") for c in columns))
+    return records.groupBy(key).agg(F.min_by(F.struct(*columns), order).alias("r")).select("r.*")
+
+
 def _richer(sources):
     return F.coalesce(F.array_contains(sources, "html") | F.array_contains(sources, "pdf"), F.lit(False))
 
 
 def upsert_detected(old: DataFrame, new: DataFrame, key: str = "paper_id") -> DataFrame:
-    """old with new ids added; a record is replaced only if the new one read html or pdf and the old one neither."""
-    o = old.select(key, F.struct(*old.columns).alias("_old"))
-    n = new.select(key, F.struct(*old.columns).alias("_new"))
+    """old with new ids added; a record is replaced only if the new one read html or pdf and the old one neither.
+
+    Of records that repeat an id on a side one counts: one that read html or pdf, if any did.
+    """
+    best = ((~_richer(F.col("sources_checked"))).alias("_poorer"),)
+    o = _one_of_each(old, key, best).select(key, F.struct(*old.columns).alias("_old"))
+    n = _one_of_each(new, key, best).select(key, F.struct(*old.columns).alias("_new"))
     take_new = F.col("_old").isNull() | (F.col("_new").isNotNull() & _richer(F.col("_new.sources_checked")) & ~_richer(F.col("_old.sources_checked")))
     return o.join(n, key, "full").select(F.when(take_new, F.col("_new")).otherwise(F.col("_old")).alias("r")).select("r.*")
 
 
 def merge_no_detections(old: DataFrame, new: DataFrame, detected: DataFrame, key: str = "paper_id") -> DataFrame:
-    """old without ids that are now detected, records replaced by new ones, and ids that weren't there."""
-    o = old.select(key, F.struct(*old.columns).alias("_old"))
-    n = new.select(key, F.struct(*old.columns).alias("_new"))
+    """old without ids that are now detected, records replaced by new ones, and ids that weren't there; an id that repeats on a side counts once."""
+    o = _one_of_each(old, key).select(key, F.struct(*old.columns).alias("_old"))
+    n = _one_of_each(new, key).select(key, F.struct(*old.columns).alias("_new"))
     merged = o.join(n, key, "full").select(key, F.coalesce("_new", "_old").alias("r"))
     return merged.join(detected.select(key).distinct(), key, "left_anti").select("r.*")
 

@@ -15,6 +15,7 @@ from lexiscope.functions.acronyms import count_acronym_places
 from lexiscope.functions.cleaning import clean_blocks, paper_acronyms
 from lexiscope.functions.labels import conflict_message
 from lexiscope.operators.gazetteer import TOKEN, build_detections, drop_ignored, guarded_pattern, keyed, match_key, small
+from lexiscope.staging import written
 
 #: These apostrophes are word characters themselves; blocks with one are confirmed on their own text.
 MODIFIER_APOSTROPHES = "[ʼʻʹʽ]"
@@ -76,7 +77,7 @@ def screening_warnings(blocks: DataFrame, gazetteer: DataFrame, ignore: DataFram
 def screen(texts: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame, keys: list[str], text: str = "text", acronyms: str | None = None) -> DataFrame:
     """Clean, detect and build detections: (keys, block_idx, language, class, needs_review, flag_reason), a row for each block and name."""
     rows = texts.select(*keys, text, *([acronyms] if acronyms else []))
-    blocks = clean_blocks(rows, text, acronyms).drop("acronyms").persist()  # read several times below; spills to disk
+    blocks = written(clean_blocks(rows, text, acronyms).drop("acronyms"), "blocks")  # read several times below
     names = detect(blocks, gazetteer, ignore, [*keys, "block_idx"]).select(*keys, "block_idx", "language")
     return build_detections(names, gazetteer, review, ignore)
 

@@ -100,6 +100,17 @@ def movements(period_counts_: DataFrame, before: str, now: str, n: int = 10) ->
     return a.join(b, "language", "full").select("language", status.alias("status"), "rank_before", "rank_now").where("status IS NOT NULL")
 
 
+def latest_movements(period_counts_: DataFrame, n: int = 10) -> DataFrame:
+    """movements() between the last two periods, found by the plan itself; with one period all its top names are new."""
+    last = period_counts_.select("period").distinct().orderBy(F.desc("period")).limit(2)
+    which = F.broadcast(last.withColumn("k", F.row_number().over(Window.orderBy(F.desc("period")))))  # two rows
+    r = ranks(period_counts_.join(which.select("period"), "period"), None).join(which, "period")
+    both = r.groupBy("language").agg(F.max(F.when(F.col("k") == 2, F.col("rank"))).alias("rank_before"), F.max(F.when(F.col("k") == 1, F.col("rank"))).alias("rank_now"))
+    was, is_ = F.coalesce(F.col("rank_before") <= n, F.lit(False)), F.coalesce(F.col("rank_now") <= n, F.lit(False))
+    status = F.when(was & is_, "matched").when(was, "dropped").when(is_, "new")
+    return both.select("language", status.alias("status"), "rank_before", "rank_now").where("status IS NOT NULL")
+
+
 def class_flow(totals_by_language: DataFrame) -> DataFrame:
     """(class, count, grand_total) from (language, class, count); classes with nothing go."""
     c = totals_by_language.groupBy("class").agg(F.sum("count").alias("count")).where("count > 0")

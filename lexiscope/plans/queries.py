@@ -8,13 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexiscope.functions import cleaning, labels, pdf_text
-from lexiscope.functions.acronyms import capitalised_context, count_acronym_places, initials_match
+from lexiscope.functions.acronyms import clause_words, count_acronym_places, spelled_out, spells
 from lexiscope.operators import assembly, gazetteer, html, manifest, papers, screening, trends
 from lexiscope.plans import fixtures as fx
 
@@ -130,7 +128,8 @@ def manifest_row(spark, sf_dir):
     d = documents(spark, sf_dir)
     m = merged(spark, sf_dir).withColumnRenamed("doc_id", "paper_id")
     flagged = d.join(m.select(F.col("paper_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    failed = d.limit(0).select(F.array(F.lit("x")).alias("sources_checked"))
+    none = d.join(flagged.select("doc_id"), "doc_id", "left_anti")
+    failed = none.select(F.array(F.lit("abstract"), F.when(F.col("doc_id") % 2 == 0, "pdf_unavailable")).alias("sources_checked"))
     return manifest.manifest(d, m, flagged, failed, "2024-01-01", "2024-01-08", "cat:x").drop("generated_at")
 
 
@@ -507,9 +506,7 @@ mv AS (SELECT coalesce(a.language, b.language) AS language, CASE WHEN a.rank <=
 
 
 def _moves(spark, sf_dir):
-    y = _years(spark, sf_dir)
-    now = y.agg(F.max("period")).first()[0]
-    return trends.movements(y, trends.previous_period(y), now)
+    return trends.latest_movements(_years(spark, sf_dir))
 
 
 @query(f"WITH {_MOVES} SELECT * FROM mv WHERE status = 'matched'")
@@ -591,13 +588,11 @@ def oai_window(spark, sf_dir):
     return read(spark, sf_dir, "events").where(labels.in_window(F.col("ts"), end, 7)).select("event_id")
 
 
-@query("""SELECT o_orderkey FROM orders WHERE o_orderdate IS NOT NULL AND strftime(o_orderdate, '%y%m') BETWEEN '9601' AND '9602'
-    AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-03-01'""")
+@query("SELECT o_orderkey FROM orders WHERE o_orderdate IS NULL OR strftime(o_orderdate, '%y%m') BETWEEN '9601' AND '9602' OR o_orderkey % 7 = 0")
 def month_guard(spark, sf_dir):
-    o = read(spark, sf_dir, "orders").where("o_orderdate >= '1996-01-01' AND o_orderdate < '1997-01-01'")
-    paper = F.concat(F.lit("http://x/abs/"), F.date_format("o_orderdate", "yyMM"), F.lit(".01234"))
-    shifted = F.add_months(F.lit("2096-01-31").cast("date"), 0)
-    return o.where(labels.month_guard(paper, shifted, F.lit("2096-02-10").cast("date"))).select("o_orderkey")
+    o = read(spark, sf_dir, "orders")  # ids say 20YY, so dates move on by 20 years; ids of each seventh row hold no month
+    paper = F.when(F.col("o_orderkey") % 7 == 0, F.lit("cs/0601001")).otherwise(F.concat(F.lit("http://x/abs/"), F.date_format(F.add_months("o_orderdate", 240), "yyMM"), F.lit(".01234")))
+    return o.where(labels.month_guard(paper, F.lit("2016-01-31").cast("date"), F.lit("2016-02-10").cast("date"))).select("o_orderkey")
 
 
 @query("""SELECT c_custkey, CASE WHEN length(a) <= 72 THEN a ELSE n1 || ', ' || n2 || ', ' || n3 || ' et al.' END AS authors FROM (
@@ -729,15 +724,9 @@ def low_class_languages(spark, sf_dir):
     return papers.low_class_languages(merged(spark, sf_dir), gazetteer.name_classes(fx.lists(spark)[0])).select("language")
 
 
-@F.pandas_udf(T.StringType())
-def _context_and_initials(text: pd.Series) -> pd.Series:
-    def both(t: str) -> str:
-        a = t.index("(")
-        return f"{capitalised_context(t, a)} {initials_match(t, a, t[a + 1 : t.index(')')])}"
-
-    return text.map(both)
-
-
 @query("SELECT * FROM (VALUES (1, 'True True'), (2, 'False False'), (3, 'True True'), (4, 'True True'), (5, 'False False'), (6, 'True False')) AS v(id, context_initials)")
 def acronym_context(spark, sf_dir):
-    return spark.createDataFrame(fx.ACRONYM_CASES, "id int, text string, language string").select("id", _context_and_initials("text").alias("context_initials"))
+    d = spark.createDataFrame(fx.ACRONYM_CASES, "id int, text string, language string")
+    words, acronym = clause_words(F.regexp_extract("text", r"^([^(]*)", 1)), F.regexp_extract("text", r"\(([^)]*)\)", 1)
+    said = lambda c: F.initcap(c.cast("string"))
+    return d.select("id", F.concat_ws(" ", said(spelled_out(words)), said(spells(words, acronym))).alias("context_initials"))

@@ -1,25 +1,56 @@
-"""The weekly pipeline as one plan: choose sources, screen, merge, count."""
+"""The weekly pipeline as one plan: choose sources, screen, merge, count; and its repeats on stored text."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiscope.functions.cleaning import paper_acronyms
+from lexiscope.functions.cleaning import clean_blocks, paper_acronyms
 from lexiscope.operators import assembly, manifest, screening
+from lexiscope.operators.gazetteer import build_detections
+from lexiscope.operators.html import REMOVE_HEADINGS, skip_sections
+from lexiscope.staging import written
 
 #: Order of evidence where it is merged.
 ORDER = {"abstract": 0, "html": 1, "pdf": 2}
+SECTIONS = "array<struct<title:string,text:string>>"
 
 
-def screen_papers(candidates: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(detections with paper_id, source, ord; sources_checked of each paper) of candidates (see choose_sources)."""
-    texts = assembly.choose_sources(candidates)
-    checked = texts.groupBy("paper_id").agg(F.array_sort(F.collect_set("source")).alias("sources_checked"))
-    own = texts.where("source <> 'pdf_unavailable'").withColumn("acronyms", paper_acronyms(F.col("text")))
-    rows = screening.screen(own, gazetteer, ignore, review, ["paper_id", "source"], acronyms="acronyms")
-    order = F.create_map(*(F.lit(x) for pair in ORDER.items() for x in pair))
-    return rows.withColumn("ord", order[F.col("source")] * 1_000_000 + F.col("block_idx")), checked
+def source_texts(candidates: DataFrame, headings: tuple[str, ...] = REMOVE_HEADINGS) -> tuple[DataFrame, DataFrame]:
+    """(texts to screen: paper_id, source, section, title, text, given acronyms; sources_checked and warnings of each paper).
+
+    Abstracts and PDFs are screened without acronyms of other parts. HTML goes section by section, each with
+    the acronyms that the whole paper defines; sections with one of the headings are left out (after the
+    acronyms were looked for).
+    """
+    chosen = assembly.choose_sources(candidates, ("html_sections",))
+    checked = chosen.groupBy("paper_id").agg(
+        F.array_sort(F.collect_set("source")).alias("sources_checked"), F.array_sort(F.collect_set("warning")).alias("warnings")
+    )
+    none = F.array().cast("array<string>")
+    whole = chosen.where("source IN ('abstract', 'pdf')").select("paper_id", "source", F.lit(0).alias("section"), F.lit(None).cast("string").alias("title"), "text", none.alias("given"))
+    html = chosen.where("source = 'html'").withColumn("given", paper_acronyms(F.col("text")))
+    parts = html.select("paper_id", "source", "given", F.posexplode("html_sections").alias("section", "s"))
+    parts = parts.select("paper_id", "source", "section", F.coalesce("s.title", F.lit("")).alias("title"), F.coalesce("s.text", F.lit("")).alias("text"), "given")
+    return whole.unionByName(skip_sections(parts, headings) if headings else parts), checked
+
+
+def screen_papers(
+    candidates: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame, headings: tuple[str, ...] = REMOVE_HEADINGS
+) -> tuple[DataFrame, DataFrame]:
+    """(detections with paper_id, source, section, title, ord; sources_checked and warnings of each paper) of candidates (see choose_sources).
+
+    A section's title is a block of its own before the others, as it stands.
+    """
+    texts, checked = source_texts(candidates, headings)
+    keys = ["paper_id", "source", "section"]
+    blocks = clean_blocks(texts.select(*keys, "text", "given"), "text", "given").select(*keys, "block_idx", "block")
+    titles = texts.where("title <> ''").select(*keys, F.lit(-1).alias("block_idx"), F.col("title").alias("block"))
+    found = screening.detect(written(blocks.union(titles), "blocks"), gazetteer, ignore, [*keys, "block_idx"]).select(*keys, "block_idx", "language")
+    rows = build_detections(found, gazetteer, review, ignore)
+    order = F.create_map(*(F.lit(x) for pair in ORDER.items() for x in pair))[F.col("source")]
+    place = F.struct(order.alias("source"), "section", "block_idx", "language")
+    return rows.withColumn("ord", place), checked
 
 
 def weekly_manifest(papers: DataFrame, candidates: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame, start: str, end: str, query: str) -> DataFrame:
@@ -31,7 +62,44 @@ def weekly_manifest(papers: DataFrame, candidates: DataFrame, gazetteer: DataFra
     return manifest.manifest(papers, merged, flagged, none, start, end, query)
 
 
+def detected_records(rows: DataFrame, checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(papers with detections: paper_id, sources_checked, warnings, languages; those without)."""
+    found = assembly.merge_detections(rows).groupBy("paper_id").agg(F.array_sort(F.collect_set("language")).alias("languages"))
+    return checked.join(found, "paper_id"), checked.join(found, "paper_id", "left_anti")
+
+
+def reprocess(candidates: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """screen_papers on stored text alone: nothing is fetched, caches that don't say so are complete, and no section is left out."""
+    stored = candidates.withColumn("html_complete", F.coalesce("html_complete", F.lit(True)))
+    return screen_papers(stored, gazetteer, ignore, review, ())
+
+
+def missing_or_empty(present, complete, sections_with_text):
+    """Whether a repeat takes the PDF: no HTML is stored, it isn't complete, or none of its sections has text."""
+    return ~F.coalesce(present, F.lit(False)) | ~F.coalesce(complete, F.lit(True)) | (F.coalesce(sections_with_text, F.lit(0)) == 0)
+
+
+def with_detections(sections: DataFrame, detected: str = "detected") -> DataFrame:
+    """Sections with a detection; the others aren't recorded."""
+    return sections.where(F.size(F.coalesce(detected, F.array().cast("array<string>"))) > 0)
+
+
 def retry_week(old_detected: DataFrame, new_detected: DataFrame, old_none: DataFrame, new_none: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(detected, none) after papers were screened again."""
     detected = assembly.upsert_detected(old_detected, new_detected)
     return detected, assembly.merge_no_detections(old_none, new_none, detected)
+
+
+def retry_missing(
+    papers: DataFrame, candidates: DataFrame, old_detected: DataFrame, old_none: DataFrame, html_cache: DataFrame, pdf_cache: DataFrame,
+    gazetteer: DataFrame, ignore: DataFrame, review: DataFrame,
+) -> tuple[DataFrame, DataFrame]:
+    """Screens the papers again that need it (see needs_retry; papers have paper_id and safe_id) and merges what comes out."""
+    detected = old_detected.join(papers.select("paper_id", "safe_id"), "paper_id").select("safe_id", "sources_checked")
+    again = assembly.needs_retry(papers, detected, html_cache, pdf_cache)
+    rows, checked = screen_papers(candidates.join(again.select("paper_id"), "paper_id", "left_semi"), gazetteer, ignore, review)
+    return retry_week(old_detected, *_in_turn(detected_records(rows, checked), old_none))
+
+
+def _in_turn(new: tuple[DataFrame, DataFrame], old_none: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return new[0], old_none, new[1].withColumn("languages", F.array().cast("array<string>")).select(*old_none.columns)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiscope import schemas
-from lexiscope.functions.labels import oai_date
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -23,9 +22,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = schemas.PAPER, stri
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
 
 
-def read_or_default(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The file, or an empty table where there is none."""
-    return spark.read.schema(schema).json(path) if exists(spark, path) else spark.createDataFrame([], schema)
+def read_or_default(spark: SparkSession, path: str, schema: str, lines: bool = True) -> DataFrame:
+    """The file (JSON lines, or one JSON text over many lines), or an empty table where there is none."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def read_language_data(spark: SparkSession, path: str) -> DataFrame:
@@ -53,7 +52,7 @@ def read_html_cache(spark: SparkSession, folder: str) -> DataFrame:
 
     Keys that begin with an underscore are no sections.
     """
-    files = spark.read.option("wholetext", True).text(f"{folder}/*.json").select("value", F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1).alias("safe_id"))
+    files = spark.read.text(f"{folder}/*.json", wholetext=True).select("value", F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1).alias("safe_id"))
     raw = F.from_json("value", "map<string,string>")
     body = F.map_filter(raw, lambda k, v: ~k.startswith("_"))
     section = lambda e: F.struct(e["key"].alias("title"), F.from_json(e["value"], schemas.HTML_CACHE_SECTION).alias("s"))
@@ -93,13 +92,6 @@ def resumption_token(xml: str) -> str | None:
     return m[1].strip() or None if m else None
 
 
-def harvested(papers: DataFrame, end: str, days: int) -> DataFrame:
-    """Papers created in the half-open window, one row for each id."""
-    stop = F.lit(end).cast("timestamp")
-    created = oai_date(F.col("created"))
-    return papers.where((created >= F.date_sub(stop, days).cast("timestamp")) & (created < stop)).dropDuplicates(["id"])
-
-
 def write_week(df: DataFrame, folder: str, week: str) -> None:
     """Overwrites one week of a partitioned JSON table; other weeks stay."""
     df.withColumn("week", F.lit(week)).write.partitionBy("week").mode("overwrite").option("partitionOverwriteMode", "dynamic").json(folder)

@@ -1,21 +1,55 @@
-"""A data source for paged paper metadata: one partition for each set, pages behind resumption tokens, retries.
-
-The client is given by import path ("package.module:function"), takes (set, token) and returns (XML
-text, status, seconds to wait), so that jobs and tests choose their own transport.
+"""Data sources for paged paper metadata.
+
+``paged_papers`` harvests: one partition for each set, pages behind resumption tokens, between the dates
+``from`` and ``until``. ``searched_papers`` asks a search: pages of ``pageSize`` rows, newest first, up to
+``maxResults``. The client is given by import path ("package.module:function"); the harvest's takes (set,
+token, from, until), the search's (query, first row, rows), both return (XML text, status, seconds to wait;
+None where the answer names none), so that jobs and tests choose their own transport. A page that fails
+for good is an error, so a table is whole or isn't there.
 """
 
 from __future__ import annotations
 
 import importlib
+import re
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from lexiscope.sources.files import resumption_token
 
-#: Statuses that are tried again, and how often.
-TRANSIENT, ATTEMPTS = (429, 502, 503, 504), 5
+#: Statuses that are tried again, how often, seconds after the first try (those after the k-th are k times as many),
+#: seconds after a network error, and rows of a page of the search.
+TRANSIENT, ATTEMPTS, PAUSE, NETWORK_PAUSE, PAGE = (429, 502, 503, 504), 5, 300, 60, 1000
+ENTRY = re.compile(r"<(?:\w+:)?entry[\s>]")
+
+
+class FetchError(RuntimeError):
+    """A page that couldn't be had."""
+
+
+def with_attempts(fetch: Callable[[], tuple[str, int, float | None]], longest: float, sleep: Callable[[float], None] = time.sleep) -> str:
+    """A page, tried again after transient statuses and network errors with growing waits; FetchError at the end."""
+    for attempt in range(1, ATTEMPTS + 1):
+        try:
+            xml, status, wait = fetch()
+        except OSError as e:
+            error, pause = str(e), NETWORK_PAUSE
+        else:
+            if status == 200:
+                return xml
+            error, pause = f"status {status}", PAUSE * attempt if wait is None else wait
+            if status not in TRANSIENT:
+                break
+        if attempt < ATTEMPTS:
+            sleep(min(pause, longest))
+    raise FetchError(f"no page after {attempt} tries: {error}")
+
+
+def _client(path: str) -> Callable:
+    module, _, name = path.partition(":")
+    return getattr(importlib.import_module(module), name)
 
 
 class _Set(InputPartition):
@@ -27,29 +61,54 @@ class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.sets = [s for s in options.get("sets", "").split(",") if s]
         self.client = options["client"]
-        self.longest = float(options.get("maxWait", 60))
+        self.longest = float(options.get("maxWait", PAUSE * ATTEMPTS))
+        self.bounds = options.get("from"), options.get("until")
 
     def partitions(self) -> list[_Set]:
         return [_Set(s) for s in self.sets]
 
     def read(self, partition: _Set) -> Iterator[tuple[str, int, str]]:
-        module, _, name = self.client.partition(":")
-        fetch = getattr(importlib.import_module(module), name)
-        token, page = None, 0
+        fetch, token, page = _client(self.client), None, 0
         while True:
-            for _ in range(ATTEMPTS):
-                xml, status, wait = fetch(partition.name, token)
-                if status not in TRANSIENT:
-                    break
-                time.sleep(min(wait, self.longest))
-            if status != 200:
-                return
+            xml = with_attempts(lambda t=token: fetch(partition.name, t, *self.bounds), self.longest)
             yield partition.name, page, xml
             token, page = resumption_token(xml), page + 1
             if not token:
                 return
 
 
+class _SearchReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.query, self.client = options["query"], options["client"]
+        self.size, self.most = int(options.get("pageSize", PAGE)), int(options.get("maxResults", PAGE))
+        self.longest = float(options.get("maxWait", PAUSE * ATTEMPTS))
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(0)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple[int, str]]:
+        """Pages one after the other, as only an answer tells whether there is another."""
+        fetch = _client(self.client)
+        for first in range(0, self.most, self.size):
+            n = min(self.size, self.most - first)
+            xml = with_attempts(lambda a=first, k=n: fetch(self.query, a, k), self.longest)
+            yield first // self.size, xml
+            if len(ENTRY.findall(xml)) < n:
+                return
+
+
+class SearchedPapers(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "searched_papers"
+
+    def schema(self) -> str:
+        return "page int, xml string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _SearchReader(self.options)
+
+
 class PagedPapers(DataSource):
     @classmethod
     def name(cls) -> str:

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from lexiscope.functions import cleaning, pdf_text
-from lexiscope.functions.acronyms import acronym_places, capitalised_context, initials_match
+from lexiscope.functions.acronyms import clause_words, count_acronym_places, spelled_out, spells
 from lexiscope.functions.cleaning import strip_acronyms_in
 from lexiscope.plans import fixtures as fx
 
@@ -35,14 +35,42 @@ def test_acronyms(spark):
     assert "FB" not in blocks(spark, long)[0]
 
 
-def test_context_and_initials():
-    t = "Depression Anxiety and Stress Scale (DASS)"
-    assert capitalised_context(t, t.index("(")) and initials_match(t, t.index("("), "DASS")
-    assert not capitalised_context("a lower case sentence (MAPE)", 23)
-    assert not capitalised_context("Scale (DASS)", 6) and capitalised_context("Feature-Based (FB)", 14)
-    assert initials_match("Point of Interest (POI)", 18, "POI")
-    assert acronym_places("Generative Adversarial Network (GAN)", "Gan") == 1 and acronym_places("plain (GAN)", "Gan") == 0
-    assert acronym_places(None, "Gan") == 0 and acronym_places("x", None) == 0
+def test_context_and_initials(spark):
+    cases = [
+        ("Mean Absolute Percentage Error", "MAPE", True, True), ("Depression Anxiety and Stress Scale", "DASS", True, True),
+        ("a lower case sentence", "MAPE", False, False), ("Scale", "DASS", False, False), ("Feature-Based", "FB", True, False),
+        ("Point of Interest", "POI", True, True), ("Mean Absolute Error", "GAN", True, False), ("First Part. Mean Absolute Percentage Error", "MAPE", True, True),
+        ("One Two Three; x", "OTT", False, False), ("", "AB", False, False), ("SOME CAPITALS here", "SC", True, True), ("don't Do's Go", "DG", True, True),
+    ]
+    d = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "id int, head string, acronym string, context boolean, initials boolean")
+    words = clause_words(F.col("head"))
+    got = d.select("id", spelled_out(words).alias("c"), spells(words, F.col("acronym")).alias("i")).orderBy("id").collect()
+    assert [(r.c, r.i) for r in got] == [(c, i) for _, _, c, i in cases]
+
+
+def test_acronym_places(spark):
+    two = "A Generative Adversarial Network ( GAN ) and Generative Adversarial Network (GAN)."
+    cases = [("Generative Adversarial Network (GAN)", "Gan", 1), ("plain (GAN)", "Gan", 0), (None, "Gan", 0), ("x", None, 0), (two, "gan", 2), ("Any Body (A)", "A", 0), ("", "Gan", 0)]
+    d = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "id int, text string, name string, n int")
+    assert d.where(count_acronym_places("text", "name") != F.col("n")).collect() == []
+
+
+def test_code_blocks_end_what_stands_in_them(spark):
+    cases = [
+        ("def f(x): return col = 1 def g(y): return Swahili words", "def f(x): return  def g(y): return Swahili words"),
+        ("def f(x): return col = 1 def g(y): return col[2] Swahili", "def f(x): return  def g(y): return  Swahili"),
+        ("no code but col = 1 and more", "no code but col = 1 and more"), ("def f(x): col = 1", "def f(x): col = 1"),
+    ]
+    d = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "id int, t string")
+    got = [" ".join(r[0].split()) for r in d.orderBy("id").select(cleaning.strip_code_blocks(F.col("t"))).collect()]
+    assert got == [" ".join(w.split()) for _, w in cases]
+    assert "Swahili words" in blocks(spark, cases[0][0])[0]
+
+
+def test_step_report_names_acronyms_and_characters(spark):
+    text = "def f(x): return 1. Mean Absolute Error (MAE) at 5% of " + " ".join(str(k) for k in range(30))
+    r = spark.createDataFrame([(text,)], "t string").select(cleaning.step_matches(F.col("t")).alias("m")).first().m
+    assert r["acronym_catch"] == ["MAE"] and "%" in r["replaced_chars"] and len(r["standalone_numbers"]) == 20 and len(r["def_return_funcs"]) == 1
 
 
 def test_pdf(spark):
