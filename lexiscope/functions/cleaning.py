@@ -10,6 +10,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -84,9 +86,29 @@ def normalise(text: Column) -> Column:
     return F.replace(F.replace(nfkc(text), F.lit(" "), F.lit(" ")), F.lit("et al ."), F.lit("et al."))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value made once however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: What a block must hold (any of the texts, or of a class of characters) before a step's pattern can match: plain searches cost far less.
+NEEDS: dict[str, tuple[str, ...]] = {
+    "affiliation_email_lines": ("@",), "email_addresses": ("@",), "col_assignment": ("=",), "col_slice": ("[",), "col_math_marker": ("@", "$", "\\"),
+    "color_blocks": ("\\",), "inline_math": ("$", "\\"), "math_commands": ("\\",), "subscript_superscript": ("{",),
+    "citation_author_year": ("(", "["), "citation_parens": ("(",), "citation_brackets": ("[",), "math_functions": ("(",),
+}
+_NEEDED_CLASS = {"alnum_tokens": "[0-9]", "standalone_numbers": "[0-9]", "latex_artifacts": "(?i)rgb|named|color"}
+
+
+def _may_match(name: str, block: Column) -> Column:
+    if name in _NEEDED_CLASS:
+        return F.regexp_like(block, F.lit(_NEEDED_CLASS[name]))
+    return reduce(or_, (F.contains(block, F.lit(x)) for x in NEEDS[name]))
+
+
 def step(name: str) -> Callable[[Column], Column]:
     """The step that replaces each match of a pattern by a space."""
-    return lambda block: F.regexp_replace(block, STEPS[name], " ")
+    return lambda block: let(block, lambda b: F.when(_may_match(name, b), F.regexp_replace(b, STEPS[name], " ")).otherwise(b))
 
 
 strip_affiliation_emails = step("affiliation_email_lines")
@@ -121,7 +143,7 @@ def strip_code_blocks(block: Column) -> Column:
         lower = F.lower(b)  # two plain searches leave out nearly all blocks
         return F.when(F.contains(lower, F.lit("def")) & F.contains(lower, F.lit("return")), F.array_join(parts, "")).otherwise(b)
 
-    return F.element_at(F.transform(F.array(block), stripped), 1)  # so that the block is made once
+    return let(block, stripped)
 
 
 def split_blocks(text: Column) -> Column:
@@ -146,7 +168,7 @@ def replace_non_letters(text: Column) -> Column:
 def defined_acronyms(text: Column) -> Column:
     """Acronyms that a normalised text defines after spaced or capital-hyphenated phrases, sorted."""
     found = F.concat(F.regexp_extract_all(text, F.lit(DEFINITION), F.lit(2)), F.regexp_extract_all(text, F.lit(HYPHENATED), F.lit(2)))
-    return F.array_sort(F.array_distinct(found))
+    return F.when(F.contains(text, F.lit("(")), F.array_sort(F.array_distinct(found))).otherwise(F.array().cast("array<string>"))
 
 
 def paper_acronyms(text: Column) -> Column:
@@ -158,7 +180,8 @@ def paper_acronyms(text: Column) -> Column:
 
 def strip_definitions(block: Column) -> Column:
     """Parentheses of acronym definitions; the phrase stays."""
-    return F.regexp_replace(F.regexp_replace(block, DEFINITION, "$1 "), HYPHENATED, "$1 ")
+    both = lambda b: F.regexp_replace(F.regexp_replace(b, DEFINITION, "$1 "), HYPHENATED, "$1 ")
+    return let(block, lambda b: F.when(F.contains(b, F.lit("(")), both(b)).otherwise(b))
 
 
 def strip_acronyms_in(block: str, acronyms: list[str]) -> str:
