@@ -56,6 +56,7 @@ PDF_CASES = [
     (4, ""),
     (5, "Funding\nearly matter\nBody body body body body body body body body\nAppendix\nkept"),
 ]
+MARKDOWN_CASES = [(1, "# Title\n\nBody of the text\n\n\n\n## Methods\nMore\n\n## References\n[1] X"), (2, "plain")]
 HYPHEN_CASES = [(1, "dura-\ntion"), (2, "anecdo -\ntal"), (3, "anecdo -tal"), (4, "self-aware  and\n\n\n\nstate-of-the-art\x0c ")]
 TITLE_CASES = [(1, "3.2Results  and more"), (2, "Appendix ADetails"), (3, "  "), (4, "Introduction"), (5, "2Methods")]
 ENTRY_CASES = [(1, '"Gan"'), (2, '["Gan", 3]'), (3, '{"language": "Gan", "class": 2}'), (4, '{"name": "Gan"}'), (5, "Gan")]

@@ -145,6 +145,12 @@ def _docs(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def _with_cases(spark, sf_dir, cases, key: str = "id"):
+    """(key, text): all documents, and before them literal rows for what documents don't hold, by negative ids."""
+    own = spark.createDataFrame([(-row[0], row[1]) for row in cases], f"{key} long, text string")
+    return own.unionByName(_docs(spark, sf_dir).select(F.col("doc_id").cast("long").alias(key), "text"))
+
+
 @query(r"SELECT doc_id, md5(regexp_replace(text, '[^\s]+@[^\s]+\.[^\s]+', ' ', 'g')) AS cleaned FROM documents")
 def clean_email(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", F.md5(cleaning.strip_emails(F.col("text"))).alias("cleaned"))
@@ -180,12 +186,12 @@ def clean_full(spark, sf_dir):
 
 @query()
 def clean_cases(spark, sf_dir):
-    return cleaning.clean_blocks(spark.createDataFrame(fx.CLEAN_CASES, "id int, text string"))
+    return cleaning.clean_blocks(_with_cases(spark, sf_dir, fx.CLEAN_CASES))
 
 
 @query()
 def step_report(spark, sf_dir):
-    d = spark.createDataFrame(fx.CLEAN_CASES, "id int, text string")
+    d = _with_cases(spark, sf_dir, fx.CLEAN_CASES)
     return d.select("id", F.explode(cleaning.step_matches(cleaning.normalise(F.col("text")))).alias("step", "matches"))
 
 
@@ -215,7 +221,7 @@ def clean_latin(spark, sf_dir):
 
 @query()
 def acronyms(spark, sf_dir):
-    d = spark.createDataFrame(fx.CLEAN_CASES, "id int, text string")
+    d = _with_cases(spark, sf_dir, fx.CLEAN_CASES)
     return d.select("id", F.array_join(cleaning.paper_acronyms(F.col("text")), ",").alias("acronyms"))
 
 
@@ -227,14 +233,14 @@ def acronym_veto(spark, sf_dir):
 
 @query()
 def acronym_conflicts(spark, sf_dir):
-    d = spark.createDataFrame(fx.CLEAN_CASES, "paper_id int, text string")
+    d = _with_cases(spark, sf_dir, fx.CLEAN_CASES, "paper_id")
     names = spark.createDataFrame([("Mape", 0), ("Lolo", 3), ("Gan", 0)], "language string, class_id int")
     return screening.acronym_conflicts(d, names, fx.lists(spark)[1])
 
 
 @query()
 def screening_warnings(spark, sf_dir):
-    d = spark.createDataFrame(fx.ACRONYM_CASES, "paper_id int, block string, l string").drop("l")
+    d = _with_cases(spark, sf_dir, fx.ACRONYM_CASES, "paper_id").withColumnRenamed("text", "block")
     names = spark.createDataFrame([("Gan", 0), ("Dass", 0), ("Swahili", 0)], "language string, class_id int")
     return screening.screening_warnings(d, names, fx.lists(spark)[1], "paper_id", ["paper_id"])
 
@@ -243,7 +249,7 @@ def screening_warnings(spark, sf_dir):
 
 @query()
 def pdf_trim(spark, sf_dir):
-    return spark.createDataFrame(fx.PDF_CASES, "id int, text string").select("id", pdf_text.trim_to_body(F.col("text")).alias("body"))
+    return _with_cases(spark, sf_dir, fx.PDF_CASES).select("id", pdf_text.trim_to_body(F.col("text")).alias("body"))
 
 
 @query(r"""SELECT * FROM (VALUES (1, 'duration'), (2, 'anecdotal'), (3, 'anecdotal'), (4, 'self-aware and' || chr(10) || chr(10) || 'state-of-the-art')) AS v(id, text)""")
@@ -259,7 +265,7 @@ def pdf_clean_documents(spark, sf_dir):
 
 @query()
 def md_trim(spark, sf_dir):
-    d = spark.createDataFrame([(1, "# Title\n\nBody of the text\n\n\n\n## Methods\nMore\n\n## References\n[1] X"), (2, "plain")], "id int, text string")
+    d = _with_cases(spark, sf_dir, fx.MARKDOWN_CASES)
     return d.select("id", pdf_text.trim_markdown(F.col("text")).alias("text"))
 
 
@@ -676,9 +682,9 @@ def paper_chips(spark, sf_dir):
 
 
 @query(f"""WITH {_VIEW}, g AS (SELECT vw.paper_id, count(det.language) AS n FROM vw LEFT JOIN det USING (paper_id) GROUP BY 1)
-    SELECT paper_id, n AS n_languages FROM g ORDER BY n DESC, paper_id LIMIT 20""")
+    SELECT paper_id, n AS n_languages FROM g ORDER BY n DESC, paper_id""")
 def paper_sort(spark, sf_dir):
-    return papers.sort_papers(paper_view(spark, sf_dir), "languages_desc").limit(20).select("paper_id", "n_languages")
+    return papers.sort_papers(paper_view(spark, sf_dir), "languages_desc").select("paper_id", "n_languages")
 
 
 _SORTS = {

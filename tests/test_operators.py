@@ -72,3 +72,16 @@ def test_papers_are_numbered_whole_in_every_mode(spark):
         "class_desc": [1, 3, 2, 0], "title_asc": [1, 0, 3, 2], "title_desc": [2, 0, 3, 1],
     }
     assert [r["index"] for r in papers.sort_papers(view, "class_asc").collect()] == got["class_asc"]
+
+
+def test_queries_read_whole_tables(spark):
+    from lexiscope.plans import queries as q
+
+    sf = "/root/testdata/sf0.001"
+    n_docs, n_papers = (spark.read.parquet(f"{sf}/{t}.parquet").count() for t in ("documents", "customer"))
+    assert q.paper_sort(spark, sf).count() == n_papers
+    for name, cases in (("acronyms", fx.CLEAN_CASES), ("pdf_trim", fx.PDF_CASES), ("md_trim", fx.MARKDOWN_CASES)):
+        ids = [r.id for r in q.QUERIES[name](spark, sf).select("id").collect()]
+        assert len(ids) == n_docs + len(cases) and sum(i < 0 for i in ids) == len(cases)
+    texts = {r.id: r.text for r in q.md_trim(spark, sf).where("id < 0").collect()}
+    assert texts == {-1: "Title\n\nBody of the text\n\nMethods\nMore", -2: "plain"}
