@@ -608,14 +608,32 @@ def authors_short(spark, sf_dir):
     return read(spark, sf_dir, "customer").select("c_custkey", labels.short_authors(a).alias("authors"))
 
 
-@query("SELECT * FROM (VALUES (1, '3.2. Results and more'), (2, 'Appendix A. Details'), (3, 'Untitled section'), (4, 'Introduction'), (5, '2. Methods')) AS v(id, title)")
+@query("""SELECT p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN p_size || '.2. ' || p_brand || ' ' || p_name WHEN 1 THEN 'Appendix A. ' || p_brand WHEN 2 THEN 'Untitled section'
+    WHEN 3 THEN p_brand ELSE p_size || '. ' || p_brand END AS title FROM part
+    UNION ALL SELECT * FROM (VALUES (-1, '3.2. Results and more'), (-2, 'Appendix A. Details'), (-3, 'Untitled section'), (-4, 'Introduction'), (-5, '2. Methods')) AS v(id, title)""")
 def section_title(spark, sf_dir):
-    return spark.createDataFrame(fx.TITLE_CASES, "id int, t string").select("id", labels.section_title(F.col("t")).alias("title"))
+    kind = F.col("p_partkey") % 5
+    raw = (
+        F.when(kind == 0, F.concat("p_size", F.lit(".2"), "p_brand", F.lit("  "), "p_name")).when(kind == 1, F.concat(F.lit("Appendix A"), "p_brand"))
+        .when(kind == 2, F.lit("  ")).when(kind == 3, F.concat(F.lit(" "), "p_brand")).otherwise(F.concat("p_size", "p_brand"))
+    )
+    cases = spark.createDataFrame([(-i, t) for i, t in fx.TITLE_CASES], "id long, t string")
+    d = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), raw.alias("t")).unionByName(cases)
+    return d.select("id", labels.section_title(F.col("t")).alias("title"))
 
 
-@query("SELECT * FROM (VALUES (1, 'Gan', NULL), (2, 'Gan', 3), (3, 'Gan', 2), (4, 'Gan', NULL), (5, 'Gan', NULL)) AS v(id, language, class)")
+@query("""SELECT p_partkey AS id, p_name AS language, CASE WHEN p_partkey % 5 IN (1, 2) THEN p_size END AS class FROM part
+    UNION ALL SELECT * FROM (VALUES (-1, 'Gan', NULL), (-2, 'Gan', 3), (-3, 'Gan', 2), (-4, 'Gan', NULL), (-5, 'Gan', NULL)) AS v(id, language, class)""")
 def entry_forms(spark, sf_dir):
-    return spark.createDataFrame(fx.ENTRY_CASES, "id int, e string").select("id", labels.entry_language(F.col("e")).alias("language"), labels.entry_class(F.col("e")).alias("class"))
+    kind, quoted = F.col("p_partkey") % 5, F.concat(F.lit('"'), "p_name", F.lit('"'))
+    raw = (
+        F.when(kind == 0, quoted).when(kind == 1, F.concat(F.lit("["), quoted, F.lit(", "), "p_size", F.lit("]")))
+        .when(kind == 2, F.concat(F.lit('{"language": '), quoted, F.lit(', "class": '), "p_size", F.lit("}")))
+        .when(kind == 3, F.concat(F.lit('{"name": '), quoted, F.lit("}"))).otherwise(F.col("p_name"))
+    )
+    cases = spark.createDataFrame([(-i, e) for i, e in fx.ENTRY_CASES], "id long, e string")
+    d = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), raw.alias("e")).unionByName(cases)
+    return d.select("id", labels.entry_language(F.col("e")).alias("language"), labels.entry_class(F.col("e")).alias("class"))
 
 
 @query("SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS safe_id, 'http://x.org/abs/' || c_custkey AS normal_id FROM customer")
@@ -624,10 +642,12 @@ def paper_ids(spark, sf_dir):
     return read(spark, sf_dir, "customer").select("c_custkey", labels.safe_id(i).alias("safe_id"), labels.normal_id(i).alias("normal_id"))
 
 
-@query("SELECT * FROM (VALUES ('cs.CL', 'cs:cs:CL'), ('math', 'math:math')) AS v(category, spec)")
+@query("""SELECT p_partkey AS id, p_type || '.' || p_size AS category, p_type || ':' || p_type || ':' || p_size AS spec FROM part
+    UNION ALL SELECT p_partkey, 'math', 'math:math' FROM part""")
 def category_specs(spark, sf_dir):
-    q = spark.createDataFrame([("cat:cs.CL OR cat:math OR cat:cs.CL",)], "q string")
-    return q.select(F.explode(labels.category_tokens(F.col("q"))).alias("category")).withColumn("spec", labels.set_spec(F.col("category")))
+    own = F.concat(F.lit("cat:"), "p_type", F.lit("."), "p_size")
+    q = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.concat(own, F.lit(" OR cat:math OR "), own).alias("q"))
+    return q.select("id", F.explode(labels.category_tokens(F.col("q"))).alias("category")).withColumn("spec", labels.set_spec(F.col("category")))
 
 
 @query(f"WITH {_STAR} SELECT week_start, printf('%.1f%%', round(100.0 * flagged / papers, 1)) AS share, printf('%d (%d%%)', flagged, CAST(round(100.0 * flagged / papers) AS INT)) AS label FROM tot WHERE flagged IS NOT NULL")
