@@ -12,6 +12,7 @@ from lexiscope.llm import (
     licenses,
     line_dedup,
     media,
+    merkle,
     near_dup,
     pieces,
     quality,
@@ -61,11 +62,15 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_media_columns, op3_license_scan, op4_line_dedup, op5_sentencepiece, op6_toxicity,
-        op7_decontaminate, op8_token_ids, op9_quality, op10_near_dup,
+        op7_decontaminate, op8_token_ids, op9_quality, op10_near_dup, op13_merkle_manifest,
     )
 }
 ORACLE_SQL: dict[str, str] = {
