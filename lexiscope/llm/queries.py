@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexiscope.llm import (
     chat,
     decontaminate,
+    divergence,
     licenses,
     line_dedup,
     media,
@@ -62,6 +63,10 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.digest(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(table(spark, sf_dir, "documents"))
 
@@ -70,11 +75,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_media_columns, op3_license_scan, op4_line_dedup, op5_sentencepiece, op6_toxicity,
-        op7_decontaminate, op8_token_ids, op9_quality, op10_near_dup, op13_merkle_manifest,
+        op7_decontaminate, op8_token_ids, op9_quality, op10_near_dup, op11_source_divergence, op13_merkle_manifest,
     )
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": chat.SQL,
     "op4_line_dedup": line_dedup.SQL,
     "op7_decontaminate": decontaminate.SQL,
+    "op11_source_divergence": divergence.SQL,
 }
