@@ -15,6 +15,7 @@ from lexiscope.llm import (
     media,
     merkle,
     near_dup,
+    packing,
     pieces,
     quality,
     token_ids,
@@ -67,6 +68,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(table(spark, sf_dir, "documents"))
 
@@ -75,7 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_media_columns, op3_license_scan, op4_line_dedup, op5_sentencepiece, op6_toxicity,
-        op7_decontaminate, op8_token_ids, op9_quality, op10_near_dup, op11_source_divergence, op13_merkle_manifest,
+        op7_decontaminate, op8_token_ids, op9_quality, op10_near_dup, op11_source_divergence, op12_packing, op13_merkle_manifest,
     )
 }
 ORACLE_SQL: dict[str, str] = {

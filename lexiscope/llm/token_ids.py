@@ -57,7 +57,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 TAIL = ".,;:!?#$%&*)]}"
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """How byte-level vocabularies write a byte: printable ones as themselves, the others from U+0100 on."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)).difference(shown)))}
@@ -74,7 +74,7 @@ class Encoder:
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]  # their strings in a text are tokens
         self.type = np.dtype("<u2" if self.tok.get_vocab_size() <= 2**16 else "<u4")
         self.line_end = self.ids("\n")
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.tails: dict[str, list[int]] = {}
         self.table = WordTable(self._learn_all, "H" if self.type.itemsize == 2 else "I", words)
         if len(self.line_end) != 1:
