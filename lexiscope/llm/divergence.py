@@ -143,7 +143,7 @@ def _keep(min_docs: int):
 
 def kept_terms(docs: DataFrame, min_docs: int = 10, entries: int = ENTRIES) -> DataFrame:
     """(lang, term, source, n, n_lang, first) of terms in at least ``min_docs`` documents of a language; ``first`` marks a row for each term."""
-    order = ["lang", "term", "source", "block"]
+    order = [F.xxhash64("lang", "term"), "lang", "term", "source", "block"]  # most comparisons are of one number
     ranged = term_blocks(docs, entries).repartition("lang", "term").sortWithinPartitions(*order)
     return ranged.mapInArrow(_keep(min_docs), KEPT)
 
