@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from lexiscope.functions.cleaning import APOSTROPHES, HYPHENS, W
 
 TOKEN = rf"({W}+)"
+#: A word and what stands after it, up to the next word.
+UNIT = rf"{W}+[^{W[1:]}*"
 #: Names up to which a list is broadcast; beyond, joins are left to the planner.
 BROADCAST_NAMES = 200_000
 
@@ -83,7 +85,12 @@ def guarded_pattern(language):
 
 
 def keyed(gazetteer: DataFrame) -> DataFrame:
-    """gazetteer with token (the first word of the key) and exact (the name is that one word)."""
+    """gazetteer with key, token (the first word of the key) and kind: how the name is matched.
+
+    word: the name is one word; pairs: several words, with a word at both ends; text: anything else.
+    """
     key = match_key(F.col("language"))
     token = F.nullif(F.regexp_extract(key, TOKEN, 1), F.lit(""))
-    return gazetteer.withColumn("token", token).withColumn("exact", F.coalesce(token == key, F.lit(False)))
+    pairs = F.regexp_like(key, F.lit(rf"^{W}(.*{W})?\z"))
+    kind = F.when(F.coalesce(token == key, F.lit(False)), "word").when(pairs, "pairs").otherwise("text")
+    return gazetteer.withColumns({"key": key, "token": token, "kind": kind})

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiscope.operators.numbering import numbered
+
 #: Order of sources in a row; others come last.
 SOURCE_ORDER = ("abstract", "html", "pdf")
 SORT_MODES = ("default", "languages_desc", "languages_asc", "class_asc", "class_desc", "title_asc", "title_desc")
@@ -53,6 +53,12 @@ def chips(detections: DataFrame, paper: str = "paper_id") -> DataFrame:
     )
 
 
+def with_chips(papers: DataFrame, detections: DataFrame, paper: str = "paper_id") -> DataFrame:
+    """papers with their chips; one without any has no languages and is of class 5."""
+    out = papers.join(chips(detections, paper), paper, "left")
+    return out.withColumn("n_languages", F.size(F.coalesce("languages", F.array().cast("array<string>")))).withColumn("min_class", F.coalesce("min_class", F.lit(5)))
+
+
 def languages_by_source(detections: DataFrame, paper: str = "paper_id") -> DataFrame:
     """(paper, source, languages, source_order) from exploded sources."""
     order = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, SOURCE_ORDER)), F.col("source")), F.lit(0)), F.lit(len(SOURCE_ORDER) + 1))
@@ -80,9 +86,18 @@ def sort_papers(view: DataFrame, mode: str = "default") -> DataFrame:
 
 
 def numbered_papers(view: DataFrame) -> DataFrame:
-    """Every row of view once for each of SORT_MODES, with mode and its row_number in it, from 1."""
-    modes = (view.withColumn("mode", F.lit(m)).withColumn("row_number", F.row_number().over(Window.partitionBy("mode").orderBy(*sort_columns(m)))) for m in SORT_MODES)
-    return reduce(DataFrame.unionByName, modes)
+    """Every row of view once for each of SORT_MODES, with mode and its row_number in it, from 1.
+
+    All modes are numbered together: what a mode sorts by stands in one column for each kind of order.
+    """
+    least, none = F.coalesce("min_class", F.lit(5)), F.lit(None).cast("string")
+    size, title = F.col("n_languages"), F.lower("title")
+    by = {"languages_desc": (-size, none, none), "languages_asc": (size, none, none), "class_asc": (least, none, none), "class_desc": (-least, none, none)}
+    by |= {"default": (F.lit(0), none, none), "title_asc": (F.lit(0), title, none), "title_desc": (F.lit(0), none, title)}
+    keys = F.array(*(F.struct(F.lit(m).alias("mode"), *(c.cast(t).alias(n) for c, t, n in zip(by[m], ("long", "string", "string"), ("_number", "_up", "_down"), strict=True))) for m in SORT_MODES))
+    rows = view.select("*", F.inline(keys))
+    out = numbered(rows, F.asc("_number"), F.asc("_up"), F.desc("_down"), F.asc("index"), groups=("mode",), name="row_number")
+    return out.drop("_number", "_up", "_down")
 
 
 def class_table(gazetteer: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
-"""Names in cleaned blocks: an equi-join on words, then a guard and the acronym veto.
-
-Every block gives its distinct words. A name of one word matches by equality; any other name is
-looked up by its first word and confirmed by its guarded pattern; names without a word character
-are matched in a small side branch. So the work is in proportion to the text, not to text times
-names.
+"""Names in cleaned blocks: equi-joins on words, then a guard and the acronym veto.
+
+Every block gives its distinct words, and its pairs of neighbouring words with what stands between
+them. A name of one word matches by equality; a name of several words by its pairs: each pair of the
+name must be found, at places that follow each other. Both go without their text. Names that begin or
+end with something else than a word are looked up by their first word and confirmed in the text by
+their guarded pattern; names without a word character are matched in a small side branch. So the work
+is in proportion to the text, not to text times names.
 """
 
 from __future__ import annotations
@@ -14,17 +16,32 @@ from pyspark.sql import functions as F
 from lexiscope.functions.acronyms import count_acronym_places
 from lexiscope.functions.cleaning import clean_blocks, paper_acronyms
 from lexiscope.functions.labels import conflict_message
-from lexiscope.operators.gazetteer import TOKEN, build_detections, drop_ignored, guarded_pattern, keyed, match_key, small
+from lexiscope.operators.gazetteer import TOKEN, UNIT, build_detections, drop_ignored, guarded_pattern, keyed, match_key, small
 from lexiscope.staging import written
 
 #: These apostrophes are word characters themselves; blocks with one are confirmed on their own text.
 MODIFIER_APOSTROPHES = "[ʼʻʹʽ]"
 
 
+def pair_matches(texts: DataFrame, names: DataFrame, keys: list[str], block: str) -> DataFrame:
+    """(keys, language, class_id) of names of several words in texts; names: see keyed(), those of kind "pairs"."""
+    # a unit is a word and what stands after it
+    units = lambda c: F.regexp_extract_all(c, F.lit(UNIT), F.lit(0))
+    words = lambda c: F.regexp_extract_all(c, F.lit(TOKEN), F.lit(1))
+    pairs = lambda c: F.arrays_zip(units(c).alias("unit"), F.slice(words(c), 2, F.greatest(F.size(words(c)), F.lit(1))).alias("next"))
+    own = names.select("language", "class_id", F.size(words(F.col("key"))).alias("_n"), F.posexplode(pairs(F.col("key"))).alias("_k", "_p"))
+    own = small(own.select("language", "class_id", (F.col("_n") - 1).alias("_n"), "_k", "_p.unit", "_p.next").where("next IS NOT NULL"))
+    held = texts.select(*keys, F.posexplode(pairs(match_key(F.col(block)))).alias("_at", "_p")).select(*keys, "_at", "_p.unit", "_p.next").where("next IS NOT NULL")
+    met = held.join(own, ["unit", "next"])
+    two = met.where("_n = 1").select(*keys, "language", "class_id").distinct()
+    more = met.where("_n > 1").groupBy(*keys, "language", "class_id", "_n", (F.col("_at") - F.col("_k")).alias("_first")).agg(F.count("*").alias("_found"))
+    return two.union(more.where("_found = _n").select(*keys, "language", "class_id").distinct())
+
+
 def match_names(blocks: DataFrame, gazetteer: DataFrame, keys: list[str], block: str = "block") -> DataFrame:
     """(keys, language, class_id), one row for each name and class that a block holds; keys identify blocks.
 
-    Words go on without their text. Only names that a word alone doesn't decide meet the text again.
+    Words go on without their text. Only names with something else than words at their ends meet the text again.
     """
     names = keyed(gazetteer)
     columns = [*keys, "language", "class_id"]
@@ -32,19 +49,20 @@ def match_names(blocks: DataFrame, gazetteer: DataFrame, keys: list[str], block:
     # told apart before words are made: a test of the text behind explode would run for every word
     odd = F.regexp_like(F.col(block), F.lit(MODIFIER_APOSTROPHES))
     words = F.array_distinct(F.regexp_extract_all(match_key(F.col(block)), F.lit(TOKEN), F.lit(1)))
-    worded = small(names.where("token IS NOT NULL"))
+    worded = names.where("token IS NOT NULL")
 
-    def pairs(some: DataFrame) -> DataFrame:
-        return some.select(*keys, F.explode(words).alias("token")).join(worded, "token")
+    def hits(some: DataFrame, wanted: DataFrame) -> DataFrame:
+        return some.select(*keys, F.explode(words).alias("token")).join(small(wanted), "token").select(*columns)
 
-    plain = pairs(texts.where(~odd))
-    unsure = plain.where("NOT exact").select(*columns).union(pairs(texts.where(odd)).select(*columns))
+    exact = hits(texts.where(~odd), worded.where("kind = 'word'"))
+    several = pair_matches(texts.where(~odd), names.where("kind = 'pairs'"), keys, block)
+    unsure = hits(texts.where(~odd), worded.where("kind = 'text'")).union(hits(texts.where(odd), worded))
     # plain containment of the keys is much cheaper than the pattern and leaves it few texts
     near = F.contains(match_key(F.col(block)), match_key(F.col("language")))
     guard = near & F.regexp_like(F.col(block), guarded_pattern(F.col("language")))
     checked = unsure.join(texts, keys).where(guard)
     side = texts.join(small(names.where("token IS NULL")), guard)  # names without any word character
-    return plain.where("exact").select(*columns).union(checked.select(*columns)).union(side.select(*columns))
+    return exact.union(several).union(checked.select(*columns)).union(side.select(*columns))
 
 
 def acronym_matches(matches: DataFrame, blocks: DataFrame, keys: list[str], block: str = "block") -> DataFrame:
@@ -82,11 +100,15 @@ def screen(texts: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: Da
     return build_detections(names, gazetteer, review, ignore)
 
 
-def acronym_conflicts(papers: DataFrame, gazetteer: DataFrame, ignore: DataFrame, paper_id: str = "paper_id", text: str = "text") -> DataFrame:
-    """(paper_id, acronym, language, language_class, message): names that a paper defines as acronyms."""
-    acronyms = papers.select(paper_id, F.explode(paper_acronyms(F.col(text))).alias("acronym")).distinct()
+def conflicts_of(acronyms: DataFrame, gazetteer: DataFrame, ignore: DataFrame, paper_id: str = "paper_id") -> DataFrame:
+    """(paper_id, acronym, language, language_class, message) of a paper's acronyms that are names too."""
     names = drop_ignored(gazetteer, ignore).withColumn("acronym", F.upper("language"))
-    return acronyms.join(names, "acronym").select(
+    return acronyms.join(small(names), "acronym").select(
         paper_id, "acronym", "language", F.col("class_id").alias("language_class"),
         conflict_message(F.col("acronym"), F.col("language")).alias("message"),
     )
+
+
+def acronym_conflicts(papers: DataFrame, gazetteer: DataFrame, ignore: DataFrame, paper_id: str = "paper_id", text: str = "text") -> DataFrame:
+    """conflicts_of() the acronyms that a paper's text defines."""
+    return conflicts_of(papers.select(paper_id, F.explode(paper_acronyms(F.col(text))).alias("acronym")).distinct(), gazetteer, ignore, paper_id)

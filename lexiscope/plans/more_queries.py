@@ -74,6 +74,51 @@ def weekly_manifest(spark, sf_dir):
     return weekly.weekly_manifest(c.select("paper_id", "day"), c, names, ignore, review, "2024-01-01", "2024-01-08", "cat:x").drop("generated_at")
 
 
+_WEEK_NAMES = "SELECT * FROM (VALUES ('Gan', 1), ('Zarmaci', 0), ('Ewe of Ada', 2)) AS v(language, class_id)"
+
+
+def _week(spark, sf_dir):
+    """The run of all documents as papers, with a definition of GAN and a name of three words behind every text."""
+    c = _candidates(spark, sf_dir)
+    more = lambda t: F.concat(t, F.lit("\n\nWe use a Generative Adversarial Network (GAN) and speak Ewe of Ada.\n\nThe GAN is good."))
+    c = c.withColumns({
+        "html_sections": F.transform("html_sections", lambda s: s.withField("text", more(s["text"]))),
+        "pdf_text": F.when(F.length("pdf_text") > 0, more(F.col("pdf_text"))), "abstract": F.when(F.col("paper_id") % 4 == 3, "Nothing.").otherwise("An abstract of Zarmaci."),
+    })
+    _, ignore, review = fx.lists(spark)
+    return weekly.run_week(c, spark.sql(_WEEK_NAMES), ignore, review)
+
+
+_KINDS = "k AS (SELECT doc_id AS paper_id, CASE WHEN doc_id % 4 = 1 AND coalesce(text, '') = '' THEN 2 ELSE doc_id % 4 END AS kind FROM documents)"
+
+
+@query(f"""WITH {_KINDS} SELECT paper_id, 'acronym_conflict' AS step, 'GAN' AS acronym, 'Gan' AS language, 1 AS language_class,
+    'Acronym GAN is also the language name Gan; mentions may have been removed' AS message FROM k WHERE kind IN (0, 2)""")
+def weekly_warnings(spark, sf_dir):
+    return _week(spark, sf_dir).warnings.select("paper_id", "step", "acronym", "language", "language_class", "message")
+
+
+@query(f"""WITH {_KINDS} SELECT count(*) AS total, count(*) FILTER (WHERE kind < 3) AS with_detections, 2 * count(*) FILTER (WHERE kind < 3) AS detections, CAST(0 AS BIGINT) AS failed,
+    count(*) AS abstract, count(*) FILTER (WHERE kind IN (0, 2)) AS html, count(*) FILTER (WHERE kind = 1) AS pdf, count(*) FILTER (WHERE kind = 3) AS pdf_unavailable FROM k""")
+def weekly_stats(spark, sf_dir):
+    stats = _week(spark, sf_dir).stats
+    return spark.createDataFrame([tuple(stats.values())], ", ".join(f"{k} long" for k in stats))
+
+
+@query(f"""WITH {_KINDS} SELECT paper_id, language, class, sources FROM (
+    SELECT paper_id, 'Zarmaci' AS language, 0 AS class, 'abstract' AS sources FROM k WHERE kind < 3
+    UNION ALL SELECT paper_id, 'Ewe of Ada', 2, CASE kind WHEN 1 THEN 'pdf' ELSE 'html' END FROM k WHERE kind < 3)""")
+def weekly_detections(spark, sf_dir):
+    return _week(spark, sf_dir).merged.select("paper_id", "language", "class", F.array_join("sources", ",").alias("sources"))
+
+
+@query(f"WITH {_KINDS} SELECT paper_id, 'Gan' AS language, 'GAN' AS acronyms FROM k WHERE kind IN (0, 2)")
+def weekly_suppressed(spark, sf_dir):
+    """What the paper table shows of a run: names that its warnings say were removed, and that weren't found anyway."""
+    week = _week(spark, sf_dir)
+    return papers.suppressed_languages(week.warnings, week.merged).withColumn("acronyms", F.array_join("acronyms", ","))
+
+
 @query()
 def retry_week(spark, sf_dir):
     """Papers that were recorded with their abstract alone, or not at all, screened again."""

@@ -15,6 +15,7 @@ from lexiscope.functions import cleaning, labels, pdf_text
 from lexiscope.functions.acronyms import clause_words, count_acronym_places, spelled_out, spells
 from lexiscope.operators import assembly, gazetteer, html, manifest, papers, screening, trends
 from lexiscope.plans import fixtures as fx
+from lexiscope.staging import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -123,14 +124,35 @@ def top_low_class(spark, sf_dir):
     return manifest.language_counts(merged(spark, sf_dir).where("class < 3")).orderBy(F.desc("count"), "language").limit(3)
 
 
-@query()
+#: What a manifest's summary looks like in SQL, from p (paper_id, day), m (paper_id, language, class) and f (paper_id).
+MANIFEST_SQL = """SELECT 7 AS window_days, '2024-01-01' AS week_start, '2024-01-08' AS week_end, 'cat:x' AS query,
+    (SELECT count(*) FROM p) AS papers, (SELECT count(DISTINCT paper_id) FROM m) AS flagged_papers, (SELECT count(DISTINCT language) FROM m) AS unique_languages,
+    (SELECT count(*) FROM f) AS pdf_failed_no_detection,
+    (SELECT string_agg(language || ':' || n, ',' ORDER BY n DESC, language) FROM (SELECT language, count(*) AS n FROM m GROUP BY 1)) AS languages,
+    (SELECT string_agg(class || ':' || n, ',' ORDER BY class) FROM (SELECT class, count(*) AS n FROM m GROUP BY 1)) AS classes,
+    (SELECT string_agg(strftime(day, '%Y-%m-%d') || ':' || n || ':' || k, ',' ORDER BY day) FROM
+      (SELECT day, count(*) AS n, count(*) FILTER (WHERE paper_id IN (SELECT paper_id FROM m)) AS k FROM p GROUP BY 1)) AS days"""
+
+
+def flat_manifest(row: DataFrame) -> DataFrame:
+    """A manifest's row with its lists as text."""
+    joined = lambda c, *names: F.array_join(F.transform(c, lambda x: F.concat_ws(":", *(x[n].cast("string") for n in names))), ",")
+    return row.select(
+        "window_days", "week_start", "week_end", "query", "counts.*", joined("language_counts", "language", "count").alias("languages"),
+        joined("class_counts", "class", "count").alias("classes"), joined("daily_series", "day", "papers", "flagged").alias("days"),
+    )
+
+
+@query(
+    _MENTIONS + """, p AS (SELECT doc_id AS paper_id, CAST(DATE '2024-01-01' + CAST(doc_id % 28 AS INT) AS DATE) AS day FROM documents),
+    m AS (SELECT doc_id AS paper_id, language, class FROM merged), f AS (SELECT paper_id FROM p WHERE paper_id % 2 = 0 AND paper_id NOT IN (SELECT paper_id FROM m)) """ + MANIFEST_SQL
+)
 def manifest_row(spark, sf_dir):
-    d = documents(spark, sf_dir)
-    m = merged(spark, sf_dir).withColumnRenamed("doc_id", "paper_id")
-    flagged = d.join(m.select(F.col("paper_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    none = d.join(flagged.select("doc_id"), "doc_id", "left_anti")
-    failed = none.select(F.array(F.lit("abstract"), F.when(F.col("doc_id") % 2 == 0, "pdf_unavailable")).alias("sources_checked"))
-    return manifest.manifest(d, m, flagged, failed, "2024-01-01", "2024-01-08", "cat:x").drop("generated_at")
+    d = documents(spark, sf_dir).withColumnRenamed("doc_id", "paper_id")
+    m = written(merged(spark, sf_dir).withColumnRenamed("doc_id", "paper_id"), "merged")
+    none = d.join(m.select("paper_id").distinct(), "paper_id", "left_anti")
+    failed = none.select("paper_id", F.array(F.lit("abstract"), F.when(F.col("paper_id") % 2 == 0, "pdf_unavailable")).alias("sources_checked"))
+    return flat_manifest(manifest.manifest(d, m, failed, "2024-01-01", "2024-01-08", "cat:x"))
 
 
 @query()
@@ -664,14 +686,14 @@ def json_props(spark, sf_dir):
 # ---- paper table
 
 _VIEW = """vw AS (SELECT c_custkey AS paper_id, lower(c_name || ' ' || c_mktsegment) AS s, c_name AS title FROM customer),
-det AS (SELECT DISTINCT o_custkey AS paper_id, o_orderpriority AS language, CAST(substr(o_orderpriority, 1, 1) AS INT) AS class FROM orders)"""
+det AS (SELECT DISTINCT o_custkey AS paper_id, o_orderpriority AS language, CAST(substr(o_orderpriority, 1, 1) AS INT) AS class FROM orders WHERE o_custkey % 11 <> 0)"""
 
 
 def paper_view(spark, sf_dir):
     c = read(spark, sf_dir, "customer")
     det = _order_detections(spark, sf_dir)
     v = c.select(F.col("c_custkey").alias("paper_id"), F.col("c_name").alias("title"), papers.search_text(F.col("c_name"), F.array("c_mktsegment")).alias("search_text"), F.col("c_custkey").alias("index"))
-    return v.join(papers.chips(det), "paper_id", "left").withColumn("n_languages", F.size(F.coalesce("languages", F.array().cast("array<string>"))))
+    return papers.with_chips(v, det.where("paper_id % 11 <> 0"))  # some papers have no chips
 
 
 def _order_detections(spark, sf_dir):
@@ -696,7 +718,7 @@ def visible_count(spark, sf_dir):
 
 
 @query(f"""WITH {_VIEW}, g AS (SELECT paper_id, count(*) AS n, least(min(class), 5) AS m, string_agg(language, ',' ORDER BY class DESC, language) AS chips FROM det GROUP BY 1)
-    SELECT vw.paper_id, chips, coalesce(n, 0) AS n_languages, m AS min_class FROM vw LEFT JOIN g USING (paper_id)""")
+    SELECT vw.paper_id, chips, coalesce(n, 0) AS n_languages, coalesce(m, 5) AS min_class FROM vw LEFT JOIN g USING (paper_id)""")
 def paper_chips(spark, sf_dir):
     return paper_view(spark, sf_dir).select("paper_id", F.array_join("languages", ",").alias("chips"), "n_languages", "min_class")
 

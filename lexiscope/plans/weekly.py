@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexiscope.functions.cleaning import clean_blocks, paper_acronyms
@@ -42,24 +44,59 @@ def screen_papers(
 
     A section's title is a block of its own before the others, as it stands.
     """
+    rows, checked, _, _ = _screened(candidates, gazetteer, ignore, review, headings)
+    return rows, checked
+
+
+def _screened(candidates, gazetteer, ignore, review, headings):
+    """Detections, sources_checked, stored blocks, and the texts with the acronyms that they were given."""
     texts, checked = source_texts(candidates, headings)
     keys = ["paper_id", "source", "section"]
     blocks = clean_blocks(texts.select(*keys, "text", "given"), "text", "given").select(*keys, "block_idx", "block")
     titles = texts.where("title <> ''").select(*keys, F.lit(-1).alias("block_idx"), F.col("title").alias("block"))
-    found = screening.detect(written(blocks.union(titles), "blocks"), gazetteer, ignore, [*keys, "block_idx"]).select(*keys, "block_idx", "language")
+    stored = written(blocks.union(titles), "blocks")
+    found = screening.detect(stored, gazetteer, ignore, [*keys, "block_idx"]).select(*keys, "block_idx", "language")
     rows = build_detections(found, gazetteer, review, ignore)
     order = F.create_map(*(F.lit(x) for pair in ORDER.items() for x in pair))[F.col("source")]
     place = F.struct(order.alias("source"), "section", "block_idx", "language")
-    return rows.withColumn("ord", place), checked
+    return rows.withColumn("ord", place), checked, stored, texts
 
 
 def weekly_manifest(papers: DataFrame, candidates: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame, start: str, end: str, query: str) -> DataFrame:
-    """The manifest of a week; papers have paper_id and day."""
+    """The manifest of a week; papers have paper_id (a row for each) and day."""
     rows, checked = screen_papers(candidates, gazetteer, ignore, review)
-    merged = assembly.merge_detections(rows)
-    flagged = papers.join(merged.select("paper_id").distinct(), "paper_id", "left_semi")
+    merged = written(assembly.merge_detections(rows), "merged")
     none = checked.join(merged.select("paper_id").distinct(), "paper_id", "left_anti")
-    return manifest.manifest(papers, merged, flagged, none, start, end, query)
+    return manifest.manifest(papers, merged, none, start, end, query)
+
+
+class Week(NamedTuple):
+    """A run's outputs: detections merged by paper, what was checked, warnings, vetoed places, statistics."""
+
+    merged: DataFrame
+    checked: DataFrame
+    warnings: DataFrame
+    vetoes: DataFrame
+    stats: dict[str, int]
+
+
+def run_week(candidates: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame, headings: tuple[str, ...] = REMOVE_HEADINGS) -> Week:
+    """Screens a week's papers once and writes all that comes out of it.
+
+    Blocks are stored and feed detections and vetoes. Warnings are acronyms that a paper's HTML defines
+    and that are names too. Statistics are observed while results are written, not counted afterwards.
+    """
+    rows, checked, blocks, texts = _screened(candidates, gazetteer, ignore, review, headings)
+    keys = ["paper_id", "source", "section", "block_idx"]
+    merged = written(assembly.merge_detections(rows), "week-merged")
+    given = texts.where("source = 'html'").select("paper_id", F.explode("given").alias("acronym")).distinct()
+    warnings = written(screening.conflicts_of(given, gazetteer, ignore).withColumn("step", F.lit("acronym_conflict")), "week-warnings")
+    vetoes = written(screening.screening_warnings(blocks, gazetteer, ignore, "paper_id", keys), "week-vetoes")
+    found = merged.groupBy("paper_id").agg(F.sum(F.size("sources")).alias("n_detections"))
+    results = checked.join(found, "paper_id", "left").withColumns({"n_detections": F.coalesce("n_detections", F.lit(0)), "failed": F.lit(False)})
+    seen = Observation("stats")
+    stored = written(results.observe(seen, *manifest.stat_columns()), "week-checked")
+    return Week(merged, stored.drop("failed"), warnings, vetoes, seen.get)
 
 
 def detected_records(rows: DataFrame, checked: DataFrame) -> tuple[DataFrame, DataFrame]:
