@@ -1,13 +1,13 @@
 """Line dedup across documents, with DataFrame functions alone.
 
-Every line gets a 128-bit key hash. The hashes are range-partitioned together with a salt of the
-document, sorted by document (largest first) and position within, and a window streams over each
-run to mark first occurrences. Hashes are uniform, so the ranges are equal stretches of the hash's
-values and need no sample of the lines; the salt shifts a key by whole stretches, so that a key that
-a third of all documents hold lies in as many ranges as there are salts (one a shuffle partition), and
-never meets in one task. A key's runs in all salts are then summed (map-side combined), and the sums go
-back to each share of the key. What travels between stages is a hash, a document id and a position; the
-result is a sparse bitmap of 64-line words per document.
+Every line gets a 128-bit key hash, and hashes are written to the shared folder once, so that ranges
+can be drawn from a sample of them and not of texts. They are range-partitioned together with a salt of
+the document, sorted by document (largest first) and position within, and a window streams over each
+run to mark first occurrences; the window needs no other exchange than the ranges. A key that a third
+of all documents hold takes up a third of the sample too, so ranges part it between its salts (one a
+shuffle partition) and it never meets in one task. A key's runs in all salts are then summed (map-side
+combined), and the sums go back to each share of the key. What travels between stages is a hash, a
+document id and a position; the result is a sparse bitmap of 64-line words per document.
 
 Defined cases: a null text is one empty line; a null doc_id is one document, ordered below all
 others, so it is never the one that keeps a repeated line; rows that repeat a doc_id are one
@@ -45,10 +45,9 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> D
     ranges = salts(docs.sparkSession)
     salt = F.pmod(F.xxhash64("rid"), F.lit(ranges)).cast("int")
     hashed = keyed.select("rid", "rhash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"), salt.alias("salt"))
-    # the upper 31 bits of h1 as a place from 0 to ranges - 1, moved on by the salt
-    place = F.pmod(F.shiftrightunsigned(F.shiftrightunsigned("h1", 33) * F.lit(ranges), 31) + F.col("salt"), F.lit(ranges)).cast("int")
-    ranged = hashed.repartitionById(ranges, place).sortWithinPartitions("h1", "h2", "salt", F.desc("rid"), "pos")
-    run = Window.partitionBy("h1", "h2", "salt").orderBy(F.desc("rid"), "pos")
+    run_key = ["h1", "h2", "salt"]
+    ranged = staged(hashed, "line-hashes").repartitionByRange(ranges, *run_key).sortWithinPartitions(*run_key, F.desc("rid"), "pos")
+    run = Window.partitionBy(*run_key).orderBy(F.desc("rid"), "pos")
     first = (F.row_number().over(run) == 1) | (F.lag("rid").over(run) != F.col("rid"))
     seen = staged(ranged.withColumn("first", first).drop("salt"), "lines")  # read twice below
     counted = with_totals(
