@@ -5,7 +5,11 @@ longest increasing subsequence of their places is kept, and the stretches betwee
 their ends, word by word) are aligned again in the same way. Coverage is the share of the notice's
 words that are aligned, and the words that tell a notice from the others (written in capitals in the
 list, digits of a version too) have to be among them. Each window that may hold a notice is aligned by itself, so a text may hold
-several notices, or one of them many times, in a row or with words of it between them.
+several notices, or one of them many times, in a row or with words of it between them. Of a notice of
+LONG words and more, windows are chained from words that it has once: their places in text and notice
+lie about as far apart all over a copy, so hits are parted by that distance, the longest increasing
+subsequence of each part is a chain, and a chain is aligned once. The work grows with the text and the
+notice then, not with the windows that both have.
 
 Before that, a bound: coverage can't exceed the share of a notice's words that the text has at all, and
 a notice without one of its needed words isn't there.
@@ -107,6 +111,8 @@ NOTICES = {
     "CC0-1.0": "released under CC0 1 0 universal public domain dedication",
 }
 COVERAGE = 0.8
+#: Words from which on a notice's copies are chained; of shorter ones every window is tried.
+LONG = 100
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -232,6 +238,10 @@ class Scanner:
             if hi - lo < need:
                 continue
             part = words[lo:hi]
+            if size >= LONG and (once := self.once(notice)):
+                own = _whole([x for a, b in self._chains(part, size, once) for x in self._aligned(part, notice, a, b, needed)])
+                out.extend((n, lo + a, lo + b) for n, a, b in own)
+                continue
             own = _whole([x for a, b in self._windows(part, notice, bag) for x in self._aligned(part, notice, a, b, needed)])
             rest = []
             for a, b in self._stretches(part, notice, bag):
@@ -247,6 +257,33 @@ class Scanner:
             return []
         return [(len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)]
 
+    @staticmethod
+    def once(notice: list[bytes]) -> dict[bytes, int]:
+        """Places of the words that a notice has once."""
+        counts = Counter(notice)
+        return {w: k for k, w in enumerate(notice) if counts[w] == 1}
+
+    def _chains(self, words: list[bytes], size: int, once: dict[bytes, int]) -> Iterator[tuple[int, int]]:
+        """Windows around chains of words that the notice has once, with room for what it has before and after them."""
+        hits = sorted((t - once[w], t, once[w]) for t, w in enumerate(words) if w in once)
+        least = max(1, int(self.coverage * len(once) / 2))
+        cuts = [k for k, (x, y) in enumerate(zip(hits, hits[1:], strict=False), 1) if y[0] - x[0] > size // 8]
+        todo = [hits[a:b] for a, b in zip([0, *cuts], [*cuts, len(hits)], strict=True)]
+        while todo:
+            part = todo.pop()
+            if len(part) < least:
+                continue
+            if part[-1][0] - part[0][0] > size // 2:  # of two copies: parted at the widest gap, the one nearest to the middle
+                _, _, k = max((part[k][0] - part[k - 1][0], -abs(2 * k - len(part)), k) for k in range(1, len(part)))
+                todo += [part[:k], part[k:]]
+                continue
+            own = sorted((t, n) for _, t, n in part)
+            kept = [own[k] for k in longest_increasing([n for _, n in own])]
+            if len(kept) >= least:
+                (t0, before), (t1, n1) = kept[0], kept[-1]
+                after = size - n1
+                yield max(0, t0 - before - before // 4 - 2), min(len(words), t1 + after + after // 4 + 2)
+
     def _windows(self, words: list[bytes], notice: list[bytes], bag: Counter) -> Iterator[tuple[int, int]]:
         """Windows of twice the notice's length at most with enough of its words, from one that may be aligned first to one that may be last."""
         places = [i for i, w in enumerate(words) if w in bag]
