@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexiscope.operators import dashboard, papers, screening
@@ -9,6 +12,7 @@ from lexiscope.plans import fixtures as fx
 from lexiscope.plans import weekly
 from lexiscope.plans.queries import documents, query, read
 from lexiscope.sources import harvest
+from lexiscope.staging import shared_folder
 
 # ---- harvest
 
@@ -40,6 +44,29 @@ def harvest_window(spark, sf_dir):
     return harvest.harvested(records, "2016-03-31", 30, F.col("o_orderkey")).select("id", F.col("o_orderkey").alias("first_key"), "title")
 
 
+_HARVEST = """r AS (SELECT 'https://arxiv.org/abs/1603.' || (10000 + o_custkey % 89999) AS id, CAST(o_orderdate AS DATE) + INTERVAL 7305 DAY AS d, o_orderkey, 's' || o_custkey % 3 AS s, o_orderpriority FROM orders),
+    w AS (SELECT * FROM r WHERE d >= DATE '2016-03-01' AND d < DATE '2016-03-31')"""
+
+
+@query(f"""WITH {_HARVEST}, k AS (SELECT id, min((s, o_orderkey // 5000, o_orderkey)) AS f FROM w GROUP BY 1)
+    SELECT w.id, w.s AS set, CAST(w.d AS DATE) AS created, o_orderpriority AS title FROM w JOIN k ON k.id = w.id AND k.f = (w.s, w.o_orderkey // 5000, w.o_orderkey)""")
+def harvest_source(spark, sf_dir):
+    """Orders as records, written as pages of XML with tokens and read back through the data source, whose requests get the window's dates."""
+    o = read(spark, sf_dir, "orders").where("o_orderdate IS NOT NULL")
+    one = F.format_string(
+        "<record><header><identifier>x:%1$s</identifier></header><metadata><arXiv><id>%1$s</id><created>%2$s</created><title>%3$s</title></arXiv></metadata></record>",
+        F.concat(F.lit("1603."), (F.col("o_custkey") % 89999 + 10000).cast("string")), F.date_format(F.date_add("o_orderdate", 7305), "yyyy-MM-dd"), "o_orderpriority",
+    )
+    pages = o.groupBy(F.concat(F.lit("s"), (F.col("o_custkey") % 3).cast("string")).alias("set"), F.expr("o_orderkey div 5000").alias("page"))
+    pages = pages.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", one.alias("x")))), lambda r: r["x"]), "").alias("rows"))
+    ahead = F.lead("page").over(Window.partitionBy("set").orderBy("page"))  # a row a page
+    token = F.when(ahead.isNotNull(), F.format_string("<resumptionToken>%d</resumptionToken>", ahead)).otherwise("<resumptionToken/>")
+    folder = f"{shared_folder(spark)}/lexiscope/pages-{uuid.uuid4().hex}"
+    pages.select("set", "page", F.concat(F.lit("<r>"), "rows", token, F.lit("</r>")).alias("value")).write.partitionBy("set", "page").text(folder)
+    out = harvest.harvest_records(spark, "s0,s1,s2", "lexiscope.sources.papers_api:folder_client", "2016-03-31", 30, folder=folder)
+    return out.select("id", "set", "created", "title")
+
+
 # ---- the weekly run
 
 

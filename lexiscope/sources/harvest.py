@@ -13,10 +13,9 @@ from lexiscope import schemas
 from lexiscope.functions.labels import in_window, month_guard, oai_date
 from lexiscope.operators.assembly import first_by_id
 from lexiscope.sources.files import exists
+from lexiscope.sources.papers_api import DAYS_AFTER, DAYS_BEFORE, HarvestedRecords
 
 log = logging.getLogger(__name__)
-#: Days that a harvest asks for before and after its window, as records are dated by their last change.
-DAYS_BEFORE, DAYS_AFTER = 2, 1
 
 
 def harvest_bounds(end: Column, days: int) -> tuple[Column, Column]:
@@ -44,6 +43,34 @@ def harvested(papers: DataFrame, end: str, days: int, arrival: Column | None = N
     return first_by_id(own.withColumn("_arrival", order), "_arrival").select(*columns)
 
 
+def register(spark: SparkSession) -> None:
+    """Makes the record source known to a session, with filters pushed to it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(HarvestedRecords)
+
+
+def harvest_records(spark: SparkSession, sets: str, client: str, end: str, days: int, **options: str) -> DataFrame:
+    """Records of sets that were created in the half-open window, one for each id (see harvested); the window's dates reach the requests."""
+    register(spark)
+    records = spark.read.format("harvested_records").options(sets=sets, client=client, **options).load()
+    stop = F.lit(end).cast("date")
+    own = records.where((F.col("created") >= F.date_sub(stop, days)) & (F.col("created") < stop)).where(month_guard(F.col("id"), F.date_sub(stop, days), stop))
+    return first_records(own)
+
+
+def first_records(records: DataFrame) -> DataFrame:
+    """Of records that repeat an id the first one by set, page and place; of a stream, the first one so far (output mode complete or update)."""
+    rest = [c for c in records.columns if c not in ("id", "set", "page", "place")]
+    first = F.min(F.struct("set", "page", "place", *rest)).alias("_first")
+    return records.groupBy("id").agg(first).select("id", "_first.set", "_first.page", "_first.place", *(F.col(f"_first.{c}") for c in rest))
+
+
+def stream_records(spark: SparkSession, sets: str, client: str, **options: str) -> DataFrame:
+    """The sets' records as a stream, a page of each set a batch."""
+    register(spark)
+    return spark.readStream.format("harvested_records").options(sets=sets, client=client, **options).load()
+
+
 def with_fallback(spark: SparkSession, search: Callable[[], DataFrame], harvest: Callable[[], DataFrame], path: str) -> DataFrame:
     """What the search gives, written to path; if it fails or gives nothing, the harvest. ``_fetch_source`` names which."""
     for name, source in (("search_api", search), ("oai_pmh", harvest)):

@@ -209,3 +209,85 @@ def test_sections_come_from_records_where_the_manifest_lacks_them(spark):
     known = known.withColumn("paper", F.lit(None).cast("struct<id:string>"))
     got = {r.id[-1]: [(s.name, s.source, len(s.detected_languages)) for s in r.sections] for r in dashboard.with_sections(flagged, known).collect()}
     assert got == {"1": [("a", "pdf", 1), ("b", "", 0)], "2": [("own", "html", 0)], "3": []}
+
+
+def paged_folder(path, pages=5):
+    """Two sets with pages of records, some of which repeat ids, as files by token."""
+    one = "<record><header><identifier>oai:x:{0}</identifier></header><metadata><m xmlns='urn:x'><id>{0}</id><created>{1}</created><title>{2}</title><abstract>a</abstract><categories>cs.CL x</categories><authors><author><keyname>L</keyname><forenames>F</forenames></author></authors></m></metadata></record>"
+    rows = []
+    for name in ("a", "b"):
+        for page in range(pages):
+            (path / f"set={name}" / f"page={page}").mkdir(parents=True)
+            own = [(f"2401.{(page * 3 + k) % 11:05}", f"2024-01-{1 + (page + 2 * k) % 9:02}", f"{name} {page} {k}") for k in range(4)]
+            rows += [(name, page, k + 1, *x) for k, x in enumerate(own)]
+            token = f"<resumptionToken>{page + 1}</resumptionToken>" if page + 1 < pages else "<resumptionToken/>"
+            deleted = "<record><header status='deleted'><identifier>oai:x:gone</identifier></header></record>"
+            (path / f"set={name}" / f"page={page}" / "x.txt").write_text("<r>" + deleted + "".join(one.format(*x) for x in own) + token + "</r>")
+    return rows
+
+
+def logged_client(folder, name, token, first=None, last=None):
+    """folder_client that writes down what it is asked."""
+    with open(f"{folder}/calls", "a") as f:
+        f.write(f"{name} {token} {first} {last}\n")
+    return papers_api.folder_client(folder, name, token)
+
+
+def test_a_window_reaches_the_requests(spark, tmp_path):
+    rows = paged_folder(tmp_path)
+    out = harvest.harvest_records(spark, "a,b", "tests.test_sources:logged_client", "2024-01-08", 5, folder=str(tmp_path))
+    firsts = {}
+    for name, page, place, own, created, title in rows:
+        if "2024-01-03" <= created < "2024-01-08":
+            firsts.setdefault(own, (name, page, place, title))
+    assert {r.id.rpartition("/")[2]: (r.set, r.page, r.place, r.title) for r in out.collect()} == firsts
+    calls = (tmp_path / "calls").read_text().split("\n")[:-1]
+    assert len(calls) == 10 and all(x.endswith(" 2024-01-01 2024-01-09") for x in calls)
+    r = out.first()
+    assert r.authors == ["F L"] and r.categories == ["cs.CL", "x"]
+
+
+def test_a_stream_of_pages_starts_again_behind_the_last_one(spark, tmp_path):
+    rows = paged_folder(tmp_path / "pages")
+    stream = lambda: harvest.first_records(harvest.stream_records(spark, "a,b", "tests.test_sources:logged_client", folder=str(tmp_path / "pages")))
+
+    calls = lambda: (tmp_path / "pages/calls").read_text().split("\n")[:-1] if (tmp_path / "pages/calls").exists() else []
+
+    def run(done):
+        q = stream().writeStream.outputMode("update").foreachBatch(lambda df, _: df.write.mode("append").parquet(str(tmp_path / "out"))).option("checkpointLocation", str(tmp_path / "cp")).start()
+        try:
+            for _ in range(200):
+                if done(q):
+                    break
+                q.awaitTermination(0.2)
+        finally:
+            q.stop()
+
+    run(lambda q: len(calls()) >= 4)
+    assert len(calls()) < 10
+    run(lambda q: q.lastProgress and str(q.lastProgress.sources[0].endOffset).count("null") == 2)
+    calls = calls()
+    assert {x.rsplit(" ", 2)[0] for x in calls} == {f"{n} {t}" for n in "ab" for t in ("None", "1", "2", "3", "4")}
+    last = {}
+    for r in spark.read.parquet(str(tmp_path / "out")).collect():
+        own = (r.set, r.page, r.place, r.title)
+        last[r.id] = min(last.get(r.id, own), own)
+    firsts = {}
+    for name, page, place, own, _, title in rows:
+        firsts.setdefault(f"https://arxiv.org/abs/{own}", (name, page, place, title))
+    assert last == {k: v for k, v in firsts.items()}
+
+
+def test_offsets_are_tokens_and_ask_for_no_page_twice(tmp_path):
+    paged_folder(tmp_path)
+    reader = papers_api.HarvestedRecords({"sets": "a,b", "client": "tests.test_sources:logged_client", "folder": str(tmp_path)}).simpleStreamReader(None)
+    at, got = reader.initialOffset(), []
+    for _ in range(5):
+        rows, at = reader.read(at)
+        got += list(rows)
+    assert len(got) == 40 and json.loads(at["sets"]) == {"a": None, "b": None}
+    calls = (tmp_path / "calls").read_text().split("\n")[:-1]
+    assert len(calls) == len(set(calls)) == 10
+    assert list(reader.read(at)[0]) == [] and reader.read(at)[1] == at
+    again = papers_api.HarvestedRecords({"sets": "a,b", "client": "tests.test_sources:logged_client", "folder": str(tmp_path)}).simpleStreamReader(None)
+    assert list(again.readBetweenOffsets(reader.initialOffset(), at)) == got
