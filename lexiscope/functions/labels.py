@@ -77,20 +77,52 @@ def coverage_badge(sources: Column) -> Column:
     return F.when(F.array_contains(sources, "html"), F.lit(None).cast("string")).when(F.array_contains(sources, "pdf"), F.lit("PDF & Abstract")).otherwise(F.lit("Abstract only"))
 
 
-def entry_language(entry: Column) -> Column:
-    """The name in a JSON language entry: a string, a [name, class] pair, or an object with language or name."""
+def entry_of(entry: Column) -> Column:
+    """A language entry as a variant: JSON as it is, any other text as a string."""
     e = F.trim(entry)
-    return F.coalesce(
-        F.get_json_object(e, "$.language"), F.get_json_object(e, "$.name"),
-        F.when(e.startswith("["), F.get_json_object(e, "$[0]")),
-        F.when(e.startswith('"'), F.from_json(F.concat(F.lit('{"v":'), e, F.lit("}")), "v string")["v"]),
-        F.when(~F.regexp_like(e, F.lit(r'^[\[{"]')), e),
-    )
+    return F.coalesce(F.try_parse_json(e), e.cast("variant"))
+
+
+def _as(entry: Column, path: str, kind: str) -> Column:
+    return F.try_variant_get(entry_of(entry), path, kind)
+
+
+def _kind(entry: Column) -> Column:
+    return F.schema_of_variant(entry_of(entry))
+
+
+def entry_language(entry: Column) -> Column:
+    """The name in a language entry: a string, a [name, class] pair, or an object with language or name."""
+    return F.when(F.startswith(_kind(entry), F.lit("OBJECT")), F.coalesce(_as(entry, "$.language", "string"), _as(entry, "$.name", "string"))).when(
+        F.startswith(_kind(entry), F.lit("ARRAY")), _as(entry, "$[0]", "string")
+    ).otherwise(_as(entry, "$", "string"))
 
 
 def entry_class(entry: Column) -> Column:
-    e = F.trim(entry)
-    return F.coalesce(F.get_json_object(e, "$.class"), F.when(e.startswith("["), F.get_json_object(e, "$[1]"))).cast("int")
+    """The class in a pair or an object, if it is a number there."""
+    at = lambda path: F.when(F.regexp_like(F.coalesce(F.schema_of_variant(F.try_variant_get(entry_of(entry), path, "variant")), F.lit("")), F.lit("^(BIGINT|DECIMAL|DOUBLE)")), _as(entry, path, "int"))
+    return F.coalesce(at("$.class"), at("$[1]"))
+
+
+def entry_sources(entry: Column) -> Column:
+    """The sources that an object lists; none for the other forms."""
+    return F.coalesce(_as(entry, "$.sources", "array<string>"), F.array().cast("array<string>"))
+
+
+#: The label that is broken over two lines.
+LONG_LABEL = ("Papers with", "language mentions")
+
+
+def slice_lines(label: Column, value: Column, share: Column | None = None) -> Column:
+    """A slice's label with its value (and share, as text) as lines."""
+    tail = F.format_string(" (%d)", value) if share is None else F.concat(F.format_string(" (%d)", value), F.coalesce(F.concat(F.lit(" ("), share, F.lit(")")), F.lit("")))
+    first, last = LONG_LABEL
+    return F.when(label == f"{first} {last}", F.array(F.lit(first), F.concat(F.lit(last), tail))).otherwise(F.array(F.concat(label, tail)))
+
+
+def name_order(name: Column) -> Column:
+    """Sorts names as a reader expects it: by letters, then accents, then case (root collation), not by code points."""
+    return F.collate(name, "UNICODE")
 
 
 def category_tokens(query: Column) -> Column:

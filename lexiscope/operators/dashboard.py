@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiscope import schemas
-from lexiscope.functions.labels import normal_id
+from lexiscope.functions.labels import name_order, normal_id
 from lexiscope.operators import manifest as weekly
 from lexiscope.sources.files import exists, read_or_default
 
@@ -141,8 +141,8 @@ def slice_label(label: Column, value: Column, total: Column | None = None) -> Co
 
 def top_colours(counts: DataFrame, n: int = 12) -> DataFrame:
     """The first n of (language, count), most frequent first, then by name, with the index of their colour."""
-    top = counts.orderBy(F.desc("count"), "language").limit(n)
-    return top.withColumn("color_index", F.row_number().over(Window.orderBy(F.desc("count"), "language")) - 1)  # n rows
+    top = counts.orderBy(F.desc("count"), name_order(F.col("language")), "language").limit(n)
+    return top.withColumn("color_index", F.row_number().over(Window.orderBy(F.desc("count"), name_order(F.col("language")), "language")) - 1)  # n rows
 
 
 def bump_order(ranked: DataFrame, totals: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def mention_counts(records: DataFrame, n: int | None = None) -> DataFrame:
     """(language, count) of all detections, repeated ones too; a detection without a name counts as Unknown."""
     names = records.select(F.explode("sections").alias("s")).select(F.explode("s.detected_languages").alias("d"))
     out = names.groupBy(F.coalesce("d.language", F.lit("Unknown")).alias("language")).agg(F.count("*").alias("count"))
-    return out.orderBy(F.desc("count"), "language").limit(n) if n else out
+    return out.orderBy(F.desc("count"), name_order(F.col("language")), "language").limit(n) if n else out
 
 
 def detection_totals(records: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiscope.functions.labels import period_key
+from lexiscope.functions.labels import name_order, period_key
 
 
 def with_period(facts: DataFrame, granularity: str) -> DataFrame:
@@ -33,7 +33,7 @@ def language_totals(counts: DataFrame) -> DataFrame:
 
 
 def top_languages(counts: DataFrame, n: int = 10) -> DataFrame:
-    return language_totals(counts).orderBy(F.desc("count"), "language").limit(n)
+    return language_totals(counts).orderBy(F.desc("count"), name_order(F.col("language")), "language").limit(n)
 
 
 def overall_totals(totals: DataFrame, counts: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def class_shares(class_grid: DataFrame) -> DataFrame:
 
 def ranks(period_counts_: DataFrame, limit: int | None = 10) -> DataFrame:
     """With rank in the period: by count downward, then name."""
-    r = period_counts_.withColumn("rank", F.row_number().over(Window.partitionBy("period").orderBy(F.desc("count"), "language")))
+    r = period_counts_.withColumn("rank", F.row_number().over(Window.partitionBy("period").orderBy(F.desc("count"), name_order(F.col("language")), "language")))
     return r if limit is None else r.where(F.col("rank") <= limit)
 
 
@@ -119,7 +119,7 @@ def class_flow(totals_by_language: DataFrame) -> DataFrame:
 
 def top_and_other(totals_by_language: DataFrame, n: int = 10) -> DataFrame:
     """(class, label, count, n_languages): each class's first n languages, and the others as one row."""
-    by = Window.partitionBy("class").orderBy(F.desc("count"), "language")
+    by = Window.partitionBy("class").orderBy(F.desc("count"), name_order(F.col("language")), "language")
     r = totals_by_language.withColumn("rn", F.row_number().over(by))
     g = r.groupBy("class", F.when(F.col("rn") <= n, F.col("language")).alias("top")).agg(F.sum("count").alias("count"), F.count("*").alias("n_languages"))
     return g.select("class", F.coalesce("top", F.format_string("%d more languages not shown", "n_languages")).alias("label"), "count", "n_languages")
@@ -140,3 +140,14 @@ def pie_slices(class_totals: DataFrame) -> DataFrame:
     total = F.sum("count").over(Window.partitionBy(F.lit(1)))
     sweep = 360.0 * F.col("count") / total
     return c.withColumn("sweep", sweep).withColumn("start_angle", F.coalesce(F.sum("sweep").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+
+
+def settled(labels: DataFrame, y: str = "y", gap: float = 16, by: str = "side", order: tuple[str, ...] = ()) -> DataFrame:
+    """labels with ``label_y``: y moved down as far as it takes to be ``gap`` below the label before, by side; ``order`` starts with y, and ends ties.
+
+    label_y[i] = max(y[i], label_y[i - 1] + gap) is a running maximum of y[i] - i * gap, with i * gap added again.
+    """
+    order = Window.partitionBy(by).orderBy(*(order or (y,)))
+    place = F.row_number().over(order) * F.lit(float(gap))
+    top = F.max(F.col(y) - F.col("_place")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return labels.withColumn("_place", place).withColumn("label_y", top + F.col("_place")).drop("_place")

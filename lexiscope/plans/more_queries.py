@@ -7,11 +7,13 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lexiscope.operators import dashboard, papers, screening
+from lexiscope import sql
+from lexiscope.functions import labels
+from lexiscope.operators import dashboard, papers, screening, trends
 from lexiscope.plans import fixtures as fx
 from lexiscope.plans import weekly
-from lexiscope.plans.queries import documents, query, read
-from lexiscope.sources import harvest
+from lexiscope.plans.queries import _TOKENS, documents, query, read
+from lexiscope.sources import files, harvest
 from lexiscope.staging import shared_folder
 
 # ---- harvest
@@ -290,3 +292,56 @@ def acronym_places(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.coalesce(told, F.lit(" \\n. some plain words (GAN)"))).alias("block"))
     found = d.select("doc_id", F.lit("Gan").alias("language"))
     return screening.acronym_matches(found, d, ["doc_id"]).select("doc_id", "times")
+
+
+# ---- SQL text, labels, weeks as partitions
+
+
+@query()
+def sql_sections(spark, sf_dir):
+    """html_sections in SQL text, by a lateral join."""
+    sql.register(spark)
+    read(spark, sf_dir, "pages").createOrReplaceTempView("lexiscope_pages")
+    return spark.sql("SELECT p.page_id, s.section_idx, s.title, md5(s.text) AS text FROM lexiscope_pages p, LATERAL html_sections(p.html) s")
+
+
+@query(rf"""WITH {fx.LISTS_SQL}, {_TOKENS} SELECT doc_id, language, class_id FROM tok JOIN gaz ON token = lower(language)
+    WHERE regexp_full_match(language, '[\p{{L}}\p{{N}}_]+') AND lower(language) NOT IN (SELECT language_lc FROM ign)""")
+def sql_mentions(spark, sf_dir):
+    """Names of one word in documents, in SQL text alone."""
+    names, ignore, _ = fx.lists(spark)
+    sql.register(spark, names, ignore)
+    read(spark, sf_dir, "documents").createOrReplaceTempView("lexiscope_documents")
+    return spark.sql("SELECT d.doc_id, m.language, m.class_id FROM lexiscope_documents d, LATERAL word_mentions(d.text) m")
+
+
+@query("""WITH RECURSIVE n AS (SELECT p_size AS side, p_partkey, p_retailprice AS y, row_number() OVER (PARTITION BY p_size ORDER BY p_retailprice, p_partkey) AS i FROM part),
+    w AS (SELECT side, p_partkey, i, y, y AS label_y FROM n WHERE i = 1 UNION ALL
+      SELECT n.side, n.p_partkey, n.i, n.y, greatest(n.y, w.label_y + 16) FROM w JOIN n ON n.side = w.side AND n.i = w.i + 1)
+    SELECT p_partkey, round(label_y, 3) AS label_y FROM w""")
+def label_spacing(spark, sf_dir):
+    p = read(spark, sf_dir, "part").select(F.col("p_size").alias("side"), "p_partkey", F.struct("p_retailprice", "p_partkey").alias("o"), F.col("p_retailprice").alias("y"))
+    return trends.settled(p, "y", 16, order=("o",)).select("p_partkey", F.round("label_y", 3).alias("label_y"))
+
+
+@query("""SELECT o_orderpriority || '/' || o_orderstatus AS kind, CASE o_orderstatus WHEN 'F' THEN 'Papers with|language mentions (' || n || ') (' || pct || ')' ELSE o_orderstatus || ' (' || n || ') (' || pct || ')' END AS lines
+    FROM (SELECT o_orderpriority, o_orderstatus, count(*) AS n, format('{:.1f}%', round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY o_orderpriority), 1)) AS pct FROM orders GROUP BY 1, 2)""")
+def slice_lines(spark, sf_dir):
+    c = read(spark, sf_dir, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("o_orderpriority"))
+    label = F.when(F.col("o_orderstatus") == "F", "Papers with language mentions").otherwise(F.col("o_orderstatus"))
+    c = c.withColumn("lines", labels.slice_lines(label, F.col("n"), labels.percent(F.col("n"), total)))
+    return c.select(F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("kind"), F.array_join("lines", "|").alias("lines"))
+
+
+@query("""SELECT strftime(w, '%Y%m%d') || '_to_' || strftime(w + 7, '%Y%m%d') AS week, n AS papers FROM (SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS w, count(*) AS n FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1)
+    WHERE w IN (SELECT CAST(date_trunc('week', o_orderdate) AS DATE) FROM orders WHERE o_totalprice > (SELECT 0.999 * max(o_totalprice) FROM orders) AND o_orderdate IS NOT NULL)""")
+def weeks_pruned(spark, sf_dir):
+    """Counts of chosen weeks of a table partitioned by week: only their folders are read."""
+    o = read(spark, sf_dir, "orders").where("o_orderdate IS NOT NULL").withColumn("day", F.date_trunc("week", "o_orderdate").cast("date"))
+    week = F.concat_ws("_to_", F.date_format("day", "yyyyMMdd"), F.date_format(F.date_add("day", 7), "yyyyMMdd"))
+    folder = f"{shared_folder(spark)}/lexiscope/weeks-{uuid.uuid4().hex}"
+    o.select("o_orderkey", week.alias("week")).repartition("week").write.partitionBy("week").parquet(folder)
+    most = o.agg(F.max("o_totalprice")).first()[0]
+    wanted = o.where(F.col("o_totalprice") > 0.999 * most).select(week.alias("week")).distinct()
+    return files.facts_of_weeks(spark, folder, wanted).groupBy("week").agg(F.count("*").alias("papers"))

@@ -644,18 +644,18 @@ def section_title(spark, sf_dir):
     return d.select("id", labels.section_title(F.col("t")).alias("title"))
 
 
-@query("""SELECT p_partkey AS id, p_name AS language, CASE WHEN p_partkey % 5 IN (1, 2) THEN p_size END AS class FROM part
-    UNION ALL SELECT * FROM (VALUES (-1, 'Gan', NULL), (-2, 'Gan', 3), (-3, 'Gan', 2), (-4, 'Gan', NULL), (-5, 'Gan', NULL)) AS v(id, language, class)""")
+@query("""SELECT p_partkey AS id, p_name AS language, CASE WHEN p_partkey % 5 IN (1, 2) THEN p_size END AS class, CASE WHEN p_partkey % 5 = 2 THEN 'html,' || p_brand ELSE '' END AS sources FROM part
+    UNION ALL SELECT * FROM (VALUES (-1, 'Gan', NULL, ''), (-2, 'Gan', 3, ''), (-3, 'Gan', 2, ''), (-4, 'Gan', NULL, ''), (-5, 'Gan', NULL, '')) AS v(id, language, class, sources)""")
 def entry_forms(spark, sf_dir):
     kind, quoted = F.col("p_partkey") % 5, F.concat(F.lit('"'), "p_name", F.lit('"'))
     raw = (
         F.when(kind == 0, quoted).when(kind == 1, F.concat(F.lit("["), quoted, F.lit(", "), "p_size", F.lit("]")))
-        .when(kind == 2, F.concat(F.lit('{"language": '), quoted, F.lit(', "class": '), "p_size", F.lit("}")))
+        .when(kind == 2, F.concat(F.lit('{"language": '), quoted, F.lit(', "class": '), "p_size", F.lit(', "sources": ["html", "'), "p_brand", F.lit('"]}')))
         .when(kind == 3, F.concat(F.lit('{"name": '), quoted, F.lit("}"))).otherwise(F.col("p_name"))
     )
     cases = spark.createDataFrame([(-i, e) for i, e in fx.ENTRY_CASES], "id long, e string")
     d = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), raw.alias("e")).unionByName(cases)
-    return d.select("id", labels.entry_language(F.col("e")).alias("language"), labels.entry_class(F.col("e")).alias("class"))
+    return d.select("id", labels.entry_language(F.col("e")).alias("language"), labels.entry_class(F.col("e")).alias("class"), F.array_join(labels.entry_sources(F.col("e")), ",").alias("sources"))
 
 
 @query("SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS safe_id, 'http://x.org/abs/' || c_custkey AS normal_id FROM customer")

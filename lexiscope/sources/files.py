@@ -98,10 +98,15 @@ def write_week(df: DataFrame, folder: str, week: str) -> None:
 
 
 def available_weeks(spark: SparkSession, folder: str) -> list[str]:
-    """Weeks of a partitioned table, in order; there are as many rows as weeks."""
-    if not exists(spark, f"{folder}/week=*"):
-        return []
-    return [r[0] for r in spark.read.json(folder).select(F.col("week").cast("string")).distinct().orderBy("week").collect()]
+    """Weeks of a partitioned table, in order, from the names of its folders: no file is read."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/week=*")
+    found = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(p) or []
+    return sorted(s.getPath().getName().removeprefix("week=") for s in found if s.isDirectory())
+
+
+def facts_of_weeks(spark: SparkSession, folder: str, weeks: DataFrame) -> DataFrame:
+    """Rows of a table partitioned by week whose week is among ``weeks`` (week): other weeks' files are pruned when the plan runs."""
+    return spark.read.parquet(folder).withColumn("week", F.col("week").cast("string")).join(weeks.select("week").distinct(), "week", "left_semi")
 
 
 def write_results(detected: DataFrame, none: DataFrame, warnings: DataFrame, folder: str, week: str) -> None:

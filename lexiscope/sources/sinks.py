@@ -24,11 +24,17 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """One small file, through Spark's own file systems."""
+    """One small file, through Spark's own file systems: written beside and renamed, so a reader never meets half of it."""
     files, p = _fs(spark, path)
-    out = files.create(p, True)
+    _, beside = _fs(spark, f"{path}.{uuid.uuid4().hex}")
+    out = files.create(beside, True)
     out.write(bytearray(text.encode()))
     out.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    swap = spark.sparkContext._gateway.new_array(options, 1)
+    swap[0] = options.OVERWRITE
+    context.rename(files.makeQualified(beside), files.makeQualified(p), swap)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

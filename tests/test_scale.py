@@ -82,3 +82,85 @@ def test_names_of_several_words_equal_a_guarded_search(spark):
     want = {(i, n) for n, _ in names for i, t in enumerate(texts) if t and pattern(n).search(t)}
     assert got == want and {n for _, n in want} == {n for n, _ in names}
     assert "block" not in plan(screening.pair_matches(df, screening.keyed(spark.createDataFrame(names, "language string, class_id int")).where("kind = 'pairs'"), ["id"], "block")).split("BroadcastHashJoin")[0]
+
+
+def test_functions_in_sql_text_equal_the_dataframe_forms(spark):
+    from lexiscope import sql
+    from lexiscope.operators import html
+
+    page = "<html><body><section id='a'><h2>1 Intro</h2><p>Some <b>text</b>.</p><section><h3>Sub</h3><p>More</p></section></section><section><p>None</p></section></body></html>"
+    flat = "<body><p>before</p><h1>One</h1><p>a</p><p> b </p><h2>Empty</h2><h2>Two</h2><div>c</div></body>"
+    pages = spark.createDataFrame([(1, page), (2, flat), (3, None), (4, "only text"), (5, "")], "id long, html string")
+    sql.register(spark, spark.createDataFrame([("Bo", 1), ("de la", 2), ("The", 3)], "language string, class_id int"), spark.createDataFrame([("the",)], "language_lc string"))
+    pages.createOrReplaceTempView("test_pages")
+    got = spark.sql("SELECT p.id, s.* FROM test_pages p, LATERAL html_sections(p.html) s").collect()
+    want = html.html_sections(pages, ["id"]).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert [(r.title, r.text) for r in want if r.id == 2] == [("body", "before"), ("One", "a\n\nb"), ("Two", "c")]
+    assert [(r.title, r.text) for r in want if r.id == 1] == [("1Intro", "Some text.\n\nMore"), ("Sub", "More"), ("section", "None")] or [r.title for r in want if r.id == 1][1:] == ["Sub", "section"]
+    cut = spark.sql("SELECT s.title FROM test_pages p, LATERAL html_sections(p.html, array('One')) s WHERE p.id = 2").collect()
+    assert [r.title for r in cut] == ["body", "Two"]
+    texts = spark.createDataFrame([(1, "bo, BO and the bob"), (2, None), (3, "Bo-Bo")], "id long, t string")
+    texts.createOrReplaceTempView("test_texts")
+    out = spark.sql("SELECT d.id, m.* FROM test_texts d, LATERAL word_mentions(d.t) m")
+    assert sorted(map(tuple, out.collect())) == [(1, "Bo", 1), (3, "Bo", 1)]
+    assert spark.sql("SELECT safe_id('http://x/abs/1'), week_slug(DATE '2024-01-01'), match_key('A–b’cʼd')").first()[:] == ("1", "20240101_to_20240108", "a-b’c'd")
+
+
+def test_names_are_in_a_readers_order(spark):
+    from lexiscope.functions.labels import name_order
+    from lexiscope.operators import trends
+
+    names = ["Fa", "Éré", "Ea", "ere", "Ez", "Zu", "Ära", "ab"]
+    df = spark.createDataFrame([(n, 1) for n in names], "language string, count long")
+    assert [r.language for r in df.orderBy(name_order(F.col("language"))).collect()] == ["ab", "Ära", "Ea", "ere", "Éré", "Ez", "Fa", "Zu"]
+    ranked = trends.ranks(df.withColumn("period", F.lit(1)), None)
+    assert [r.language for r in ranked.orderBy("rank").collect()] == ["ab", "Ära", "Ea", "ere", "Éré", "Ez", "Fa", "Zu"]
+
+
+def test_entries_in_three_forms_with_sources(spark):
+    from lexiscope.functions import labels
+
+    rows = ['"Gan"', '["Gan", 3]', '{"language": "Gan", "class": 2, "sources": ["html", "pdf"]}', '{"name": "Gan", "class": "x"}', "Gan", '["Gan"]', "{}", None, "[broken", "12"]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, e string")
+    e = F.col("e")
+    got = [(r[0], r[1], r[2]) for r in df.orderBy("i").select(labels.entry_language(e), labels.entry_class(e), labels.entry_sources(e)).collect()]
+    none: list = []
+    assert got == [("Gan", None, none), ("Gan", 3, none), ("Gan", 2, ["html", "pdf"]), ("Gan", None, none), ("Gan", None, none), ("Gan", None, none), (None, None, none), (None, None, none), ("[broken", None, none), ("12", None, none)]
+
+
+def test_weeks_come_from_a_listing_and_prune_files(spark, tmp_path):
+    from lexiscope.sources import files
+
+    root = str(tmp_path / "t")
+    rows = spark.range(700).withColumn("week", F.concat(F.lit("2024010"), (F.col("id") % 7 + 1).cast("string"), F.lit("_to_x")))
+    rows.write.partitionBy("week").parquet(root)
+    (tmp_path / "t" / "week=20240109_to_x").mkdir()
+    (tmp_path / "t" / "week=20240109_to_x" / "bad.parquet").write_text("no Parquet at all")
+    assert len(files.available_weeks(spark, root)) == 8 and files.available_weeks(spark, str(tmp_path / "none")) == []
+    wanted = rows.where("id = 3").select("week")
+    out = files.facts_of_weeks(spark, root, wanted)
+    assert "dynamicpruning" in plan(out).lower() and out.count() == 100
+
+
+def test_settled_labels(spark):
+    r = random.Random(1)
+    rows = [(k % 3, i, r.uniform(0, 300)) for i, k in enumerate(range(90))]
+    from lexiscope.operators import trends
+
+    got = {x.i: x.label_y for x in trends.settled(spark.createDataFrame(rows, "side int, i int, y double")).collect()}
+    for side in range(3):
+        last = float("-inf")
+        for _, i, y in sorted((x for x in rows if x[0] == side), key=lambda x: x[2]):
+            last = max(y, last + 16)
+            assert abs(got[i] - last) < 1e-6
+
+
+def test_a_manifest_is_swapped_whole(spark, tmp_path):
+    from lexiscope.sources import sinks
+
+    target = str(tmp_path / "m" / "x.json")
+    for text in ("one", "two"):
+        sinks.write_text(spark, target, text)
+        assert sinks.read_text(spark, target) == text
+    assert sorted(p.name for p in (tmp_path / "m").iterdir() if not p.name.startswith(".")) == ["x.json"]
