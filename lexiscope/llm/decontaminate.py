@@ -8,10 +8,10 @@ sampled suffix positions are built. All phrases (windows of ``width`` words) are
 at once, step by step, by ranks in the wavelet matrix; occurrences are located by walking to the
 next sampled position, and the spans of a document are merged.
 
-The benchmark goes to the executors in blocks of about ``block_bytes`` of text, so that what is broadcast
-has a bound and any benchmark is searched whole. Blocks come one after the other: a block's phrases are
-collected, broadcast and searched in a pass over the documents, whose spans so far are then written to
-the shared folder, and the broadcast is destroyed before the next block's is made.
+The benchmark goes to the executors in blocks of about ``block_bytes`` of text, so that what a task holds
+of it has a bound and any benchmark is searched whole. One block is broadcast; several are files in the
+shared folder, and a task reads them one after the other for each shard: once for the words that the
+shard shares with any of them, which are its alphabet, and once for the search, all in the one index.
 
 Defined cases: null and empty texts have no words; an item without words has no phrase; items that
 repeat an id count once; a null item_id is left out. Rows that repeat a doc_id are each judged on
@@ -20,6 +20,7 @@ their own text. Extra columns are carried along; ``n_words``, ``spans`` and ``it
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -29,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiscope.llm.common import staged
+from lexiscope.llm.common import fresh_dir
+from lexiscope.llm.files import new_file, open_folder
 
 WIDTH = 10
 BLOCK_BYTES = 2_000_000
@@ -198,9 +200,38 @@ def _long_runs(symbols: np.ndarray, shortest: int) -> np.ndarray:
     return np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
 
 
-def scan_shard(texts: list[str | None], phrases: Phrases) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
+class Blocks:
+    """Phrases of several blocks, each one read from its file when its turn comes."""
+
+    def __init__(self, folder: str, paths: list[str]):
+        self.folder, self.paths = folder, paths
+
+    def __len__(self) -> int:
+        return len(self.paths)
+
+    def __iter__(self) -> Iterator[Phrases]:
+        files, _ = open_folder(self.folder)
+        for path in self.paths:
+            with files.open_input_stream(path) as f:
+                yield pickle.loads(f.read())
+
+
+def _alphabet(texts: list[str | None], blocks: Blocks | list[Phrases]) -> tuple[dict[bytes, int], int]:
+    """Symbols of the shard's words that any block has, and the length of the shortest phrase."""
+    own = set().union(*map(words_of, texts))
+    ids: dict[bytes, int] = {}
+    shortest = 0
+    for phrases in blocks:
+        for w in own.intersection(phrases.ids):
+            ids.setdefault(w, len(ids) + 1)
+        shortest = min(filter(None, (shortest, phrases.shortest)), default=0)
+    return ids, shortest
+
+
+def scan_shard(texts: list[str | None], blocks: Blocks | list[Phrases]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
     """Per document: its words, merged spans [start, stop) of words, items that occur."""
-    get, counts, parts = phrases.ids.get, np.zeros(len(texts), np.int64), []
+    ids, shortest = (blocks[0].ids, blocks[0].shortest) if isinstance(blocks, list) and len(blocks) == 1 else _alphabet(texts, blocks)
+    get, counts, parts = ids.get, np.zeros(len(texts), np.int64), []
     for k, text in enumerate(texts):
         words = words_of(text)
         counts[k] = len(words)
@@ -208,24 +239,28 @@ def scan_shard(texts: list[str | None], phrases: Phrases) -> list[tuple[int, lis
         parts.append(np.zeros(1, np.int64))
     out: list[tuple[int, list[tuple[int, int]], set[str]]] = [(int(n), [], set()) for n in counts]
     symbols = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    if not phrases.shortest or not len(kept := _long_runs(symbols, phrases.shortest)):
+    if not shortest or not len(kept := _long_runs(symbols, shortest)):
         return out
-    index = FMIndex(symbols[kept], len(phrases.ids) + 1)
+    index = FMIndex(symbols[kept], len(ids) + 1)
     begins = np.concatenate([[0], np.cumsum(counts + 1)])
     marks = np.zeros(len(symbols) + 1, np.int32)
-    for n, (matrix, items) in phrases.by_length.items():
-        which, lo, hi = index.search(matrix)
-        if not len(which):
-            continue
-        size = hi - lo
-        rows = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        at = kept[index.locate(rows)]
-        np.add.at(marks, at, 1)
-        np.add.at(marks, at + n, -1)
-        doc = np.searchsorted(begins, at, side="right") - 1
-        pairs = np.unique(doc * len(matrix) + np.repeat(which, size))
-        for d, p in zip((pairs // len(matrix)).tolist(), (pairs % len(matrix)).tolist(), strict=True):
-            out[d][2].update(items[p])
+    for phrases in blocks:
+        symbol = np.fromiter(map(get, phrases.ids, repeat(0)), np.int64, len(phrases.ids))  # by the block's own number of a word, from 1
+        for n, (matrix, items) in phrases.by_length.items():
+            shared = symbol[matrix - 1]
+            here = np.flatnonzero((shared > 0).all(axis=1))
+            which, lo, hi = index.search(shared[here])
+            if not len(which):
+                continue
+            size = hi - lo
+            rows = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+            at = kept[index.locate(rows)]
+            np.add.at(marks, at, 1)
+            np.add.at(marks, at + n, -1)
+            doc = np.searchsorted(begins, at, side="right") - 1
+            pairs = np.unique(doc * len(matrix) + np.repeat(here[which], size))
+            for d, p in zip((pairs // len(matrix)).tolist(), (pairs % len(matrix)).tolist(), strict=True):
+                out[d][2].update(items[p])
     edge = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(marks[:-1]) > 0, [0]]).astype(np.int8)))
     start, stop = edge[::2], edge[1::2]
     owner = np.searchsorted(begins, start, side="right") - 1
@@ -234,33 +269,19 @@ def scan_shard(texts: list[str | None], phrases: Phrases) -> list[tuple[int, lis
     return out
 
 
-def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def _scanner(blocks, schema: pa.Schema):
+    """blocks: Blocks, or the broadcast of the only one's phrases."""
 
-
-def _scanner(shared, schema: pa.Schema):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases = shared.value
+        own = blocks if isinstance(blocks, Blocks) else [blocks.value]
 
         def flush(held: pa.Table) -> Iterator[pa.RecordBatch]:
-            found = scan_shard(held["text"].to_pylist(), phrases)
-            old_spans, old_items = held["spans"].to_pylist(), held["items"].to_pylist()
-            columns = {c: held[c] for c in schema.names}
+            found = scan_shard(held["text"].to_pylist(), own)
+            columns = {c: held[c] for c in held.column_names}
             columns["n_words"] = pa.array([n for n, _, _ in found], pa.int64())
-            spans = [
-                merge_spans(s + [(x["start"], x["stop"]) for x in o or []])
-                for (_, s, _), o in zip(found, old_spans, strict=True)
-            ]
-            columns["spans"] = pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], schema.field("spans").type)
-            items = [sorted(i | set(o or [])) for (_, _, i), o in zip(found, old_items, strict=True)]
-            columns["items"] = pa.array(items, schema.field("items").type)
-            yield from pa.table(columns).cast(schema).to_batches(max_chunksize=2000)
+            columns["spans"] = pa.array([[{"start": a, "stop": b} for a, b in s] for _, s, _ in found], schema.field("spans").type)
+            columns["items"] = pa.array([sorted(i) for _, _, i in found], schema.field("items").type)
+            yield from pa.table({c: columns[c] for c in schema.names}).cast(schema).to_batches(max_chunksize=2000)
 
         held, size = [], 0
         for batch in batches:
@@ -282,19 +303,21 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_
     spark = docs.sparkSession
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item"), "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // block_bytes) or 1
-    out = docs.drop("n_words", "spans", "items").withColumns(
-        {"n_words": F.lit(0).cast("long"), "spans": F.array().cast(SPANS), "items": F.array().cast(ITEMS)}
-    )
-    schema = to_arrow_schema(out.schema)
-    for b in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-        phrases = spark.sparkContext.broadcast(Phrases([(r.item, r.text) for r in own.toLocalIterator()], width))  # of about block_bytes
-        out = out.mapInArrow(_scanner(phrases, schema), out.schema)
-        if b < blocks - 1:
-            out = staged(out, "spans")
-            phrases.destroy()
-    return out
+    n = -(-total // block_bytes) or 1
+    rest = docs.drop("n_words", "spans", "items")
+    out = rest.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.array().cast(SPANS), "items": F.array().cast(ITEMS)}).schema
+    if n == 1:
+        blocks = spark.sparkContext.broadcast(Phrases([(r.item, r.text) for r in items.toLocalIterator()], width))  # of block_bytes at most
+    else:
+        folder, paths = fresh_dir(spark, "benchmark"), []
+        for b in range(n):  # of about block_bytes each
+            own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b)
+            files, path = new_file(folder, ".phrases")
+            with files.open_output_stream(path) as f:
+                f.write(pickle.dumps(Phrases([(r.item, r.text) for r in own.toLocalIterator()], width)))
+            paths.append(path)
+        blocks = Blocks(folder, paths)
+    return rest.mapInArrow(_scanner(blocks, to_arrow_schema(out)), out)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -219,3 +219,21 @@ def test_merkle_manifest_of_odd_rows(spark):
     assert sorted((tuple(x) for x in merkle.digest(frame(spark, ODD[:1])).collect()), key=str) == proved(ODD[:1])
     empty = merkle.digest(frame(spark, ODD).limit(0))
     assert empty.count() == 0 and empty.columns == merkle.digest(frame(spark, ODD[:1])).columns
+
+
+# ---- decontamination over many blocks
+
+
+def test_five_blocks_share_one_index_a_shard(monkeypatch):
+    from lexiscope.llm import decontaminate
+
+    r = random.Random(6)
+    word = lambda: f"w{r.randrange(60)}"
+    items = [(str(i), " ".join(word() for _ in range(r.choice([0, 2, 5, 30])))) for i in range(40)]
+    texts = [" ".join(word() for _ in range(r.randrange(60))) + " " + r.choice(items)[1] for _ in range(80)] + [None, ""]
+    whole = decontaminate.scan_shard(texts, [decontaminate.Phrases(items, 4)])
+    built = []
+    real = decontaminate.FMIndex
+    monkeypatch.setattr(decontaminate, "FMIndex", lambda *a: built.append(1) or real(*a))
+    parts = decontaminate.scan_shard(texts, [decontaminate.Phrases(items[k::5], 4) for k in range(5)])
+    assert parts == whole and len(built) == 1 and sum(bool(s) for _, s, _ in whole) > 20

@@ -46,7 +46,7 @@ def test_fm_index_scan_equals_brute_force(seed):
     items = [(str(i), " ".join(word() for _ in range(r.choice([0, 1, 2, 4, 12])))) for i in range(6)]
     texts = [" ".join(word() for _ in range(r.randrange(80))) for _ in range(8)] + [None, "", "A-B c"]
     texts += texts[:3]
-    got = decontaminate.scan_shard(texts, decontaminate.Phrases(items, 4))
+    got = decontaminate.scan_shard(texts, [decontaminate.Phrases(items, 4)])
     for t, (n, spans, own) in zip(texts, got, strict=True):
         words = decontaminate.words_of(t)
         hit, found = brute_hits(words, items, 4)
