@@ -1,8 +1,8 @@
 """Cleaning of paper text before screening: one Column function for each step, and the whole chain.
 
 Word characters are letters, numbers and the underscore of any script, stated as an explicit class,
-as the engine's own word class knows ASCII alone. Every step but two is a built-in expression;
-Unicode normalisation and the context guard of defined acronyms run as Arrow functions.
+as the engine's own word class knows ASCII alone. Every step is a built-in expression but
+Unicode normalisation, which runs as an Arrow function.
 """
 
 from __future__ import annotations
@@ -69,9 +69,7 @@ REPORTED = {"def_return_funcs": 5, "math_commands": 10, "subscript_superscript":
 HYPHENATED = rf"([A-Z][a-zA-Z0-9]*(?:-[A-Z][a-zA-Z0-9]*){{1,7}}){S}*\(([A-Z]{{2,8}})\)"
 LOWER_HYPHENATED = rf"([a-z][a-z0-9]*(?:-[a-z][a-z0-9]*){{1,7}}){S}*\(([A-Z]{{2,8}})\)"
 #: Words that show a language is meant, unless a hyphen stands before them.
-CONTEXT = re.compile(
-    rf"(?i)(?<![{HYPHENS}])\b(?:language|speakers?|dialect|corpus|script|words?|text|spoken|fluent|native)\b"
-)
+CONTEXT = rf"(?i)(?<![{HYPHENS}]){START}(?:language|speakers?|dialect|corpus|script|words?|text|spoken|fluent|native){END}"
 CONTEXT_CHARS = 60
 NOT_KEPT = rf"[^\s\x1c-\x1f\x85\p{{Z}}\p{{L}}{re.escape(APOSTROPHES)}{re.escape(HYPHENS)}{re.escape(NAME_EXTRAS)}]"
 
@@ -184,25 +182,25 @@ def strip_definitions(block: Column) -> Column:
     return let(block, lambda b: F.when(F.contains(b, F.lit("(")), both(b)).otherwise(b))
 
 
-def strip_acronyms_in(block: str, acronyms: list[str]) -> str:
-    """Acronyms as words, but where a word that shows a language is meant stands near."""
-    for a in sorted(acronyms):
-        before = block
+def _without(block: Column, acronym: Column) -> Column:
+    parts = F.split(block, F.concat(F.lit(rf"(?<!{W})\Q"), acronym, F.lit(rf"\E(?!{W})")), -1)
+    shows = lambda side: F.regexp_like(side, F.lit(CONTEXT))
+    # an acronym has two characters at least, so this many parts make up the text around a place
+    reach = CONTEXT_CHARS // 2 + 1
 
-        def keep(m: re.Match, b: str = before) -> str:
-            near = b[max(0, m.start() - CONTEXT_CHARS) : m.start()], b[m.end() : m.end() + CONTEXT_CHARS]
-            return m[0] if any(map(CONTEXT.search, near)) else " "
+    def joined(p: Column) -> Column:
+        before = lambda k: F.right(F.call_function("array_join", F.slice(p, F.greatest(k - reach + 1, F.lit(1)), F.least(k, F.lit(reach))), acronym), F.lit(CONTEXT_CHARS))
+        after = lambda k: F.left(F.call_function("array_join", F.slice(p, k + 1, F.lit(reach)), acronym), F.lit(CONTEXT_CHARS))
+        mark = lambda k: F.when(shows(before(k)) | shows(after(k)), acronym).otherwise(F.lit(" "))
+        return F.array_join(F.transform(p, lambda x, k: F.when(k == 0, x).otherwise(F.concat(mark(k), x))), "")
 
-        block = re.sub(rf"(?<!\w){re.escape(a)}(?!\w)", keep, before)
-    return block
+    return let(parts, lambda p: F.when(F.size(p) > 1, joined(p)).otherwise(block))
 
 
-@F.pandas_udf(T.StringType())
-def strip_acronyms(block: pd.Series, acronyms: pd.Series) -> pd.Series:
-    return pd.Series(
-        [b if b is None or a is None or not len(a) else strip_acronyms_in(b, list(a)) for b, a in zip(block, acronyms, strict=True)],
-        dtype=object,
-    )
+def strip_acronyms(block: Column | str, acronyms: Column | str) -> Column:
+    """Acronyms as words are replaced by a space, in order, but where a word that shows a language is meant stands near."""
+    block, acronyms = (F.col(c) if isinstance(c, str) else c for c in (block, acronyms))
+    return F.when(F.size(acronyms) > 0, F.aggregate(F.array_sort(acronyms), block, _without)).otherwise(block)
 
 
 def strip_patterns(block: Column) -> Column:

@@ -1,8 +1,11 @@
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from lexiscope.functions import cleaning, pdf_text
 from lexiscope.functions.acronyms import clause_words, count_acronym_places, spelled_out, spells
-from lexiscope.functions.cleaning import strip_acronyms_in
+from lexiscope.functions.cleaning import strip_acronyms
 from lexiscope.plans import fixtures as fx
 
 
@@ -29,8 +32,6 @@ def test_acronyms(spark):
     text = "Mean Absolute Percentage Error (MAPE) is low; MAPE rises"
     assert blocks(spark, text) == ["Mean Absolute Percentage Error is low rises"]
     assert blocks(spark, "MAPE rises", ["MAPE"]) == ["rises"]
-    assert strip_acronyms_in("the GAN language", ["GAN"]) == "the GAN language"
-    assert strip_acronyms_in("the GAN is", ["GAN"]) == "the   is"
     long = "term " * 3000 + "Foo Bar (FB) and FB"
     assert "FB" not in blocks(spark, long)[0]
 
@@ -79,3 +80,22 @@ def test_pdf(spark):
     assert got[1].startswith("1. Introduction") and got[1].endswith("Many words.")
     assert got[2].startswith("INTRODUCTION") and "Bibliography" not in got[2]
     assert got[3] == "No marks at all" and got[4] == "" and got[5].endswith("kept") and got[5].startswith("Funding")
+
+
+def test_acronyms_go_unless_a_language_is_meant_near(spark):
+    context = re.compile(rf"(?i)(?<![{cleaning.HYPHENS}])\b(?:language|speakers?|dialect|corpus|script|words?|text|spoken|fluent|native)\b")
+
+    def plain(block, acronyms):
+        for a in sorted(acronyms):
+            near = lambda m, b=block: (b[max(0, m.start() - 60) : m.start()], b[m.end() : m.end() + 60])
+            block = re.sub(rf"(?<!\w){a}(?!\w)", lambda m: m[0] if any(map(context.search, near(m))) else " ", block)
+        return block
+
+    r = random.Random(3)
+    words = ["GAN", "FB", "GAN", "xGAN", "GANs", "the", "Language", "a-language", "corpus.", "é", "(FB)", "GAN-FB", "long" * 8, "text", "\n"]
+    rows = [(i, " ".join(r.choice(words[: r.choice([6, 15])]) for _ in range(r.randrange(60))), r.sample(["GAN", "FB", "ZZ"], r.randrange(4))) for i in range(400)]
+    rows += [(1000, "FB " * 500 + "text", ["FB"]), (1001, "FB", ["FB"]), (1002, "", ["FB"]), (1003, "the GAN language", ["GAN"]), (1004, "the GAN is", ["GAN"])]
+    df = spark.createDataFrame([*rows, (2000, None, ["FB"]), (2001, "FB", None)], "id int, b string, a array<string>")
+    got = {x.id: x.out for x in df.select("id", strip_acronyms("b", "a").alias("out")).collect()}
+    assert got == {i: plain(b, a) for i, b, a in rows} | {2000: None, 2001: "FB"}
+    assert "ArrowEval" not in df.select(strip_acronyms("b", "a"))._jdf.queryExecution().executedPlan().toString()
