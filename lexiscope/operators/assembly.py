@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexiscope.functions.labels import safe_id
 
@@ -81,10 +82,18 @@ def needs_retry(papers: DataFrame, detected: DataFrame, html_cache: DataFrame, p
     return j.where(again).drop("_s", "_complete", "_pdf")
 
 
+def _hashable(records: DataFrame, column: str):
+    """A column as xxhash64 takes it, which knows no maps."""
+    kind = records.schema[column].dataType
+    if isinstance(kind, T.MapType) and "map<" not in kind.valueType.simpleString():
+        return F.map_entries(column)
+    return F.to_json(F.struct(F.col(column))) if "map<" in kind.simpleString() else F.col(column)
+
+
 def _one_of_each(records: DataFrame, key: str, best: tuple = ()) -> DataFrame:
-    """A record for each key: of those that repeat it the first by ``best``, then by all its values. A null key is a key."""
+    """A record for each key: of those that repeat it the first by ``best``, then by a hash of all its values. A null key is a key."""
     columns = records.columns
-    order = F.struct(*best, *(F.to_json(F.struct(F.col(c))).alias(f"_{c}") for c in columns))
+    order = F.struct(*best, F.xxhash64(*(_hashable(records, c) for c in columns)).alias("_hash"))
     return records.groupBy(key).agg(F.min_by(F.struct(*columns), order).alias("r")).select("r.*")
 
 

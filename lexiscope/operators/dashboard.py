@@ -131,14 +131,6 @@ def period_label(start: Column, granularity: str) -> Column:
     return {"week": day_label(start), "month": F.date_format(start, "MMM yyyy"), "year": F.date_format(start, "yyyy")}[granularity]
 
 
-def slice_label(label: Column, value: Column, total: Column | None = None) -> Column:
-    """A slice's label with its value, and its share where a total above 0 is given."""
-    plain = F.format_string("%s (%d)", label, value)
-    if total is None:
-        return plain
-    return F.when(total > 0, F.concat(plain, F.format_string(" (%.1f%%)", F.round(100.0 * value / total, 1)))).otherwise(plain)
-
-
 def top_colours(counts: DataFrame, n: int = 12) -> DataFrame:
     """The first n of (language, count), most frequent first, then by name, with the index of their colour."""
     top = counts.orderBy(F.desc("count"), name_order(F.col("language")), "language").limit(n)

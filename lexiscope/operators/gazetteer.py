@@ -27,7 +27,7 @@ def small(names: DataFrame, most: int = BROADCAST_NAMES) -> DataFrame:
 def from_language_data(data: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(gazetteer, ignore list, review list) of the one-row JSON form."""
     classes = data.select(F.explode("lang_classes").alias("c", "names")).select(F.explode("names").alias("language"), F.col("c").cast("int").alias("class_id"))
-    ignore = data.select(F.lower(F.explode("languages_to_ignore")).alias("language_lc")).distinct()
+    ignore = data.select(F.explode(F.transform("languages_to_ignore", F.lower)).alias("language_lc")).distinct()
     review = data.select(F.explode("possible_false_positive_languages").alias("language", "flag_reason"))
     return classes.distinct(), ignore, review
 

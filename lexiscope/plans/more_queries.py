@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import Window
@@ -11,9 +12,9 @@ from lexiscope import sql
 from lexiscope.functions import labels
 from lexiscope.operators import dashboard, papers, screening, trends
 from lexiscope.plans import fixtures as fx
-from lexiscope.plans import weekly
-from lexiscope.plans.queries import _TOKENS, documents, query, read
-from lexiscope.sources import files, harvest
+from lexiscope.plans import job, weekly
+from lexiscope.plans.queries import _TOKENS, MANIFEST_SQL, documents, flat_manifest, query, read
+from lexiscope.sources import files, harvest, sinks
 from lexiscope.staging import shared_folder
 
 # ---- harvest
@@ -106,16 +107,19 @@ def weekly_manifest(spark, sf_dir):
 _WEEK_NAMES = "SELECT * FROM (VALUES ('Gan', 1), ('Zarmaci', 0), ('Ewe of Ada', 2)) AS v(language, class_id)"
 
 
-def _week(spark, sf_dir):
-    """The run of all documents as papers, with a definition of GAN and a name of three words behind every text."""
+def _week_candidates(spark, sf_dir):
+    """Papers of all documents, with a definition of GAN and a name of three words behind every text."""
     c = _candidates(spark, sf_dir)
     more = lambda t: F.concat(t, F.lit("\n\nWe use a Generative Adversarial Network (GAN) and speak Ewe of Ada.\n\nThe GAN is good."))
-    c = c.withColumns({
+    return c.withColumns({
         "html_sections": F.transform("html_sections", lambda s: s.withField("text", more(s["text"]))),
         "pdf_text": F.when(F.length("pdf_text") > 0, more(F.col("pdf_text"))), "abstract": F.when(F.col("paper_id") % 4 == 3, "Nothing.").otherwise("An abstract of Zarmaci."),
     })
+
+
+def _week(spark, sf_dir):
     _, ignore, review = fx.lists(spark)
-    return weekly.run_week(c, spark.sql(_WEEK_NAMES), ignore, review)
+    return weekly.run_week(_week_candidates(spark, sf_dir), spark.sql(_WEEK_NAMES), ignore, review)
 
 
 _KINDS = "k AS (SELECT doc_id AS paper_id, CASE WHEN doc_id % 4 = 1 AND coalesce(text, '') = '' THEN 2 ELSE doc_id % 4 END AS kind FROM documents)"
@@ -261,9 +265,9 @@ def detection_totals(spark, sf_dir):
     return dashboard.detection_totals(_records(spark, sf_dir))
 
 
-@query(f"WITH {fx.LISTS_SQL} SELECT count(DISTINCT language) AS unique_languages FROM gaz")
+@query("SELECT count(DISTINCT p_type) AS unique_languages FROM part")
 def unique_names(spark, sf_dir):
-    return dashboard.unique_names(fx.lists(spark)[0])
+    return dashboard.unique_names(read(spark, sf_dir, "part").select(F.col("p_type").alias("language"), (F.col("p_size") % 6).alias("class_id")))
 
 
 _CODES = [("Hehe", "heh"), ("Cora", "cor"), ("Bo", "bbo"), ("Para", None), ("of the", "oft"), ("Auch", "auc"), ("deren", "drn")]
@@ -345,3 +349,37 @@ def weeks_pruned(spark, sf_dir):
     most = o.agg(F.max("o_totalprice")).first()[0]
     wanted = o.where(F.col("o_totalprice") > 0.999 * most).select(week.alias("week")).distinct()
     return files.facts_of_weeks(spark, folder, wanted).groupBy("week").agg(F.count("*").alias("papers"))
+
+
+@query("""SELECT c_custkey AS paper_id, CASE c_custkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'PDF & Abstract' ELSE 'Abstract only' END AS badge,
+    coalesce(CASE c_custkey % 4 WHEN 0 THEN 'said so' END, CASE c_custkey % 5 WHEN 0 THEN 'listed' END, CASE WHEN length(l) = 2 THEN 'Two-letter names are often something else' END) AS reason,
+    c_custkey % 4 = 1 OR c_custkey % 5 = 0 OR length(l) = 2 AS needs_review, c_custkey % 6 < 4 AS transient
+    FROM (SELECT *, substr(c_mktsegment, 1, CAST(1 + c_custkey % 3 AS INT)) AS l FROM customer)""")
+def paper_badges(spark, sf_dir):
+    k = F.col("c_custkey")
+    sources = F.when(k % 3 == 0, F.array(F.lit("abstract"), F.lit("html"))).when(k % 3 == 1, F.array(F.lit("abstract"), F.lit("pdf"))).otherwise(F.array(F.lit("abstract")))
+    name = F.substr("c_mktsegment", F.lit(1), (1 + k % 3).cast("int"))
+    said, listed = F.when(k % 4 == 0, "said so"), F.when(k % 5 == 0, "listed")
+    status = F.element_at(F.array(*map(F.lit, (429, 502, 503, 504, 404, 500))), (k % 6 + 1).cast("int"))
+    return read(spark, sf_dir, "customer").select(
+        k.alias("paper_id"), labels.coverage_badge(sources).alias("badge"), labels.review_reason(name, said, listed).alias("reason"),
+        labels.needs_review(name, k % 4 == 1, listed).alias("needs_review"), labels.transient_error(F.format_string("HTTP %d there", status)).alias("transient"),
+    )
+
+
+@query(f"""WITH {_KINDS}, p AS (SELECT paper_id, CAST(DATE '2024-01-01' + CAST(paper_id % 28 AS INT) AS DATE) AS day FROM k),
+    m AS (SELECT paper_id, 'Zarmaci' AS language, 0 AS class FROM k WHERE kind < 3 UNION ALL SELECT paper_id, 'Ewe of Ada', 2 FROM k WHERE kind < 3), f AS (SELECT paper_id FROM k WHERE kind = 3) """ + MANIFEST_SQL)
+def job_week(spark, sf_dir):
+    """A week from start to end over all documents: papers as JSON lines, caches, results and the manifest in files, read back."""
+    root = f"{shared_folder(spark)}/lexiscope/job-{uuid.uuid4().hex}"
+    c = _week_candidates(spark, sf_dir).withColumn("safe_id", F.col("paper_id").cast("string"))
+    none = F.lit(None).cast("string")
+    one = lambda s: F.struct(s["title"].alias("title"), s["text"].alias("text"), none.alias("cleaned_text"), F.array().cast("array<string>").alias("detected"))
+    pages = c.where("html_sections IS NOT NULL").select("safe_id", F.lit("<html>").alias("html"), F.col("html_complete").alias("complete"), F.transform("html_sections", one).alias("sections"))
+    sinks.write_html_cache(pages, f"{root}/html_cache")
+    sinks.write_pdf_cache(c.where("pdf_text <> ''").select("safe_id", F.col("pdf_text").alias("body_text")), f"{root}/pdf_cache")
+    stored = c.select(F.concat(F.lit("http://x.org/abs/"), "safe_id").alias("id"), F.lit("T").alias("title"), "abstract", F.col("day").cast("string").alias("published"))
+    start, end = datetime.date(2024, 1, 1), datetime.date(2024, 1, 8)
+    lists = (spark.sql(_WEEK_NAMES), *fx.lists(spark)[1:])
+    job.run_week(spark, root, start, end, lists, lambda: stored, "cat:x")
+    return flat_manifest(dashboard.read_manifest(spark, f"{root}/weeks/{job.slug(start, end)}/manifest.json"))

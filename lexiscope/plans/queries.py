@@ -188,7 +188,12 @@ def clean_whitelist(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", F.md5(cleaning.replace_non_letters(F.col("text"))).alias("cleaned"))
 
 
-@query()
+#: Words between two private marks, as the SQL dialect has no look-around.
+_MARKED = r"""regexp_replace(text, '([\p{L}\p{N}_]+)', chr(57344) || '\1' || chr(57345), 'g')"""
+
+
+@query(rf"""SELECT doc_id, md5(translate(regexp_replace(regexp_replace({_MARKED}, chr(57344) || '(\d+[a-zA-Z]+|[a-zA-Z]+\d+[a-zA-Z]*)' || chr(57345), ' ', 'g'),
+    chr(57344) || '\d+' || chr(57345) || '(\.' || chr(57344) || '\d+' || chr(57345) || ')?', ' ', 'g'), chr(57344) || chr(57345), '')) AS cleaned FROM documents""")
 def clean_numbers(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", F.md5(cleaning.strip_numbers(cleaning.strip_alnum_tokens(F.col("text")))).alias("cleaned"))
 
@@ -247,9 +252,16 @@ def acronyms(spark, sf_dir):
     return d.select("id", F.array_join(cleaning.paper_acronyms(F.col("text")), ",").alias("acronyms"))
 
 
-@query("SELECT * FROM (VALUES (1, 1), (2, 0), (3, 1), (4, 1), (5, 0), (6, 0)) AS v(id, places)")
+def _acronym_texts(spark, sf_dir):
+    """(id, text, language): the literal cases by negative ids, and all documents with a definition behind their text."""
+    cases = spark.createDataFrame([(-i, t, n) for i, t, n in fx.ACRONYM_CASES], "id long, text string, language string")
+    text = F.concat(F.translate(F.coalesce("text", F.lit("")), "()", "  "), F.lit(" \n. A Generative Adversarial Network (GAN)"))
+    return cases.unionByName(_docs(spark, sf_dir).select(F.col("doc_id").cast("long").alias("id"), text.alias("text"), F.lit("Gan").alias("language")))
+
+
+@query("SELECT CAST(id AS BIGINT) AS id, places FROM (VALUES (-1, 1), (-2, 0), (-3, 1), (-4, 1), (-5, 0), (-6, 0)) AS v(id, places) UNION ALL SELECT doc_id, 1 FROM documents")
 def acronym_veto(spark, sf_dir):
-    d = spark.createDataFrame(fx.ACRONYM_CASES, "id int, text string, language string")
+    d = _acronym_texts(spark, sf_dir)
     return d.select("id", count_acronym_places("text", "language").alias("places"))
 
 
@@ -274,9 +286,14 @@ def pdf_trim(spark, sf_dir):
     return _with_cases(spark, sf_dir, fx.PDF_CASES).select("id", pdf_text.trim_to_body(F.col("text")).alias("body"))
 
 
-@query(r"""SELECT * FROM (VALUES (1, 'duration'), (2, 'anecdotal'), (3, 'anecdotal'), (4, 'self-aware and' || chr(10) || chr(10) || 'state-of-the-art')) AS v(id, text)""")
+@query(r"""SELECT CAST(id AS BIGINT) AS id, text FROM (VALUES (-1, 'duration'), (-2, 'anecdotal'), (-3, 'anecdotal'), (-4, 'self-aware and' || chr(10) || chr(10) || 'state-of-the-art')) AS v(id, text)
+    UNION ALL SELECT doc_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(text, '([a-z])-\n([a-z])', '\1\2', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' {2,}', ' ', 'g'), chr(32) || chr(10) || chr(13) || chr(9)))
+      FROM (SELECT doc_id, regexp_replace(regexp_replace(coalesce(text, ''), ' -', ' ', 'g'), '([a-z]) ([a-z])', '\1-' || chr(10) || '\2') AS text FROM documents)""")
 def pdf_dehyphenate(spark, sf_dir):
-    return spark.createDataFrame(fx.HYPHEN_CASES, "id int, text string").select("id", pdf_text.join_hyphens(F.col("text")).alias("text"))
+    """Cases, and all documents with a word cut at a line end."""
+    cut = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), " -", " "), "^((?s).*?[a-z]) ([a-z])", "$1-\n$2")
+    d = _docs(spark, sf_dir).select(F.col("doc_id").cast("long").alias("id"), F.md5(pdf_text.join_hyphens(cut)).alias("text"))
+    return spark.createDataFrame([(-i, t) for i, t in fx.HYPHEN_CASES], "id long, text string").select("id", pdf_text.join_hyphens(F.col("text")).alias("text")).unionByName(d)
 
 
 @query(r"""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '([a-z])-\n([a-z])', '\1\2', 'g'),
@@ -756,9 +773,10 @@ def suppressed_languages(spark, sf_dir):
     return papers.suppressed_languages(o, o.where("o_orderkey % 3 = 0")).withColumn("acronyms", F.array_join("acronyms", ","))
 
 
-@query(f"WITH {fx.LISTS_SQL} SELECT class_id, count(*) AS count, array_to_string(list_sort(list(language))[1:2], ',') AS examples FROM gaz GROUP BY 1")
+@query("SELECT class_id, count(*) AS count, array_to_string(list_sort(list(language))[1:2], ',') AS examples FROM (SELECT DISTINCT p_type AS language, p_size % 6 AS class_id FROM part) GROUP BY 1")
 def class_table(spark, sf_dir):
-    return papers.class_table(fx.lists(spark)[0]).withColumn("examples", F.array_join("examples", ","))
+    g = read(spark, sf_dir, "part").select(F.col("p_type").alias("language"), (F.col("p_size") % 6).alias("class_id")).distinct()
+    return papers.class_table(g).withColumn("examples", F.array_join("examples", ","))
 
 
 @query("SELECT p_brand AS language, count(*) AS count FROM part WHERE contains(lower(p_brand), '#1') GROUP BY 1")
@@ -772,9 +790,10 @@ def low_class_languages(spark, sf_dir):
     return papers.low_class_languages(merged(spark, sf_dir), gazetteer.name_classes(fx.lists(spark)[0])).select("language")
 
 
-@query("SELECT * FROM (VALUES (1, 'True True'), (2, 'False False'), (3, 'True True'), (4, 'True True'), (5, 'False False'), (6, 'True False')) AS v(id, context_initials)")
+@query("""SELECT CAST(id AS BIGINT) AS id, context_initials FROM (VALUES (-1, 'True True'), (-2, 'False False'), (-3, 'True True'), (-4, 'True True'), (-5, 'False False'), (-6, 'True False')) AS v(id, context_initials)
+    UNION ALL SELECT doc_id, 'True True' FROM documents""")
 def acronym_context(spark, sf_dir):
-    d = spark.createDataFrame(fx.ACRONYM_CASES, "id int, text string, language string")
+    d = _acronym_texts(spark, sf_dir)
     words, acronym = clause_words(F.regexp_extract("text", r"^([^(]*)", 1)), F.regexp_extract("text", r"\(([^)]*)\)", 1)
     said = lambda c: F.initcap(c.cast("string"))
     return d.select("id", F.concat_ws(" ", said(spelled_out(words)), said(spells(words, acronym))).alias("context_initials"))

@@ -105,20 +105,18 @@ def detected_records(rows: DataFrame, checked: DataFrame) -> tuple[DataFrame, Da
     return checked.join(found, "paper_id"), checked.join(found, "paper_id", "left_anti")
 
 
-def reprocess(candidates: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """screen_papers on stored text alone: nothing is fetched, caches that don't say so are complete, and no section is left out."""
-    stored = candidates.withColumn("html_complete", F.coalesce("html_complete", F.lit(True)))
-    return screen_papers(stored, gazetteer, ignore, review, ())
-
+def stored_candidates(candidates: DataFrame) -> DataFrame:
+    """Candidates as a repeat on stored text takes them: sections without text don't count, and caches that don't say so are complete.
 
-def missing_or_empty(present, complete, sections_with_text):
-    """Whether a repeat takes the PDF: no HTML is stored, it isn't complete, or none of its sections has text."""
-    return ~F.coalesce(present, F.lit(False)) | ~F.coalesce(complete, F.lit(True)) | (F.coalesce(sections_with_text, F.lit(0)) == 0)
+    So a paper's PDF is taken if no HTML is stored, if it isn't complete, or if none of its sections has text.
+    """
+    texts = F.filter("html_sections", lambda s: F.coalesce(s["text"], F.lit("")) != "")
+    return candidates.withColumns({"html_complete": F.coalesce("html_complete", F.lit(True)), "html_sections": texts})
 
 
-def with_detections(sections: DataFrame, detected: str = "detected") -> DataFrame:
-    """Sections with a detection; the others aren't recorded."""
-    return sections.where(F.size(F.coalesce(detected, F.array().cast("array<string>"))) > 0)
+def reprocess(candidates: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """screen_papers on stored text alone: nothing is fetched, and no section is left out."""
+    return screen_papers(stored_candidates(candidates), gazetteer, ignore, review, ())
 
 
 def retry_week(old_detected: DataFrame, new_detected: DataFrame, old_none: DataFrame, new_none: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -115,8 +115,3 @@ def write_results(detected: DataFrame, none: DataFrame, warnings: DataFrame, fol
     write_week(none, f"{folder}/no_detections", week)
     if not warnings.isEmpty():
         write_week(warnings, f"{folder}/warnings", week)
-
-
-def manifest_json(manifest: DataFrame) -> str:
-    """The one row of a manifest as JSON text."""
-    return manifest.toJSON().first()

@@ -9,10 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiscope import schemas
 from lexiscope.functions.labels import in_window, month_guard, oai_date
 from lexiscope.operators.assembly import first_by_id
-from lexiscope.sources.files import exists
 from lexiscope.sources.papers_api import DAYS_AFTER, DAYS_BEFORE, HarvestedRecords
 
 log = logging.getLogger(__name__)
@@ -65,6 +63,15 @@ def first_records(records: DataFrame) -> DataFrame:
     return records.groupBy("id").agg(first).select("id", "_first.set", "_first.page", "_first.place", *(F.col(f"_first.{c}") for c in rest))
 
 
+def as_papers(records: DataFrame) -> DataFrame:
+    """Records in the form of papers."""
+    day = F.col("created").cast("string")
+    return records.select(
+        "id", "title", "abstract", "authors", F.concat(day, F.lit("T00:00:00")).alias("published"), F.concat(day, F.lit("T00:00:00")).alias("updated"), "categories",
+        F.replace("id", F.lit("/abs/"), F.lit("/pdf/")).alias("pdf_url"), F.lit("oai_pmh").alias("_fetch_source"), day.alias("created"),
+    )
+
+
 def stream_records(spark: SparkSession, sets: str, client: str, **options: str) -> DataFrame:
     """The sets' records as a stream, a page of each set a batch."""
     register(spark)
@@ -108,8 +115,3 @@ def read_search(spark: SparkSession, path: str) -> DataFrame:
         "published", "updated", F.transform("category", lambda c: c["_term"]).alias("categories"), F.get(F.transform(pdf, lambda x: x["_href"]), F.lit(0)).alias("pdf_url"),
         F.lit("search_api").alias("_fetch_source"), F.substring("published", 1, 10).alias("created"),
     )
-
-
-def read_week(spark: SparkSession, path: str) -> DataFrame | None:
-    """A week that was fetched before, or none: steps whose output is there are skipped."""
-    return spark.read.schema(schemas.PAPER).json(path) if exists(spark, f"{path}/_SUCCESS") else None

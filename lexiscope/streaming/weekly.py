@@ -11,8 +11,3 @@ def weekly_counts(events: DataFrame, ts: str = "ts", key: str = "language", late
     week = F.window(F.col(ts).cast("timestamp"), "7 days", "7 days", "4 days").alias("w")  # the epoch was a Thursday
     counted = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).groupBy(week, key).agg(F.count("*").alias("count"))
     return counted.select(F.col("w.start").cast("date").alias("week_start"), key, "count")
-
-
-def daily_counts(events: DataFrame, ts: str = "ts", late: str = "1 day") -> DataFrame:
-    timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
-    return timed.groupBy(F.window(ts, "1 day").alias("w")).agg(F.count("*").alias("count")).select(F.col("w.start").cast("date").alias("day"), "count")
