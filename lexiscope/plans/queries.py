@@ -246,35 +246,38 @@ def clean_latin(spark, sf_dir):
 
 # ---- acronyms
 
-@query()
-def acronyms(spark, sf_dir):
-    d = _with_cases(spark, sf_dir, fx.CLEAN_CASES)
-    return d.select("id", F.array_join(cleaning.paper_acronyms(F.col("text")), ",").alias("acronyms"))
-
-
-def _acronym_texts(spark, sf_dir):
+def _acronym_texts(spark, sf_dir, rows=fx.ACRONYM_CASES):
     """(id, text, language): the literal cases by negative ids, and all documents with a definition behind their text."""
-    cases = spark.createDataFrame([(-i, t, n) for i, t, n in fx.ACRONYM_CASES], "id long, text string, language string")
+    cases = spark.createDataFrame([(-r[0], r[1], r[2] if len(r) > 2 else None) for r in rows], "id long, text string, language string")
     text = F.concat(F.translate(F.coalesce("text", F.lit("")), "()", "  "), F.lit(" \n. A Generative Adversarial Network (GAN)"))
     return cases.unionByName(_docs(spark, sf_dir).select(F.col("doc_id").cast("long").alias("id"), text.alias("text"), F.lit("Gan").alias("language")))
 
 
+@query("""SELECT CAST(id AS BIGINT) AS id, acronyms FROM (VALUES (-1, ''), (-2, ''), (-3, 'MAPE'), (-4, 'LOLO,LOO'), (-5, ''), (-6, ''), (-7, ''), (-8, '')) AS v(id, acronyms)
+    UNION ALL SELECT doc_id, 'GAN' FROM documents""")
+def acronyms(spark, sf_dir):
+    d = _acronym_texts(spark, sf_dir, fx.CLEAN_CASES)
+    return d.select("id", F.array_join(cleaning.paper_acronyms(F.col("text")), ",").alias("acronyms"))
+
+
 @query("SELECT CAST(id AS BIGINT) AS id, places FROM (VALUES (-1, 1), (-2, 0), (-3, 1), (-4, 1), (-5, 0), (-6, 0)) AS v(id, places) UNION ALL SELECT doc_id, 1 FROM documents")
 def acronym_veto(spark, sf_dir):
     d = _acronym_texts(spark, sf_dir)
     return d.select("id", count_acronym_places("text", "language").alias("places"))
 
 
-@query()
+@query("""SELECT CAST(paper_id AS BIGINT) AS paper_id, acronym, language, language_class, 'Acronym ' || acronym || ' is also the language name ' || language || '; mentions may have been removed' AS message
+    FROM (SELECT * FROM (VALUES (-3, 'MAPE', 'Mape', 0), (-4, 'LOLO', 'Lolo', 3)) AS v(paper_id, acronym, language, language_class) UNION ALL SELECT doc_id, 'GAN', 'Gan', 0 FROM documents)""")
 def acronym_conflicts(spark, sf_dir):
-    d = _with_cases(spark, sf_dir, fx.CLEAN_CASES, "paper_id")
+    d = _acronym_texts(spark, sf_dir, fx.CLEAN_CASES).withColumnRenamed("id", "paper_id")
     names = spark.createDataFrame([("Mape", 0), ("Lolo", 3), ("Gan", 0)], "language string, class_id int")
     return screening.acronym_conflicts(d, names, fx.lists(spark)[1])
 
 
-@query()
+@query("""SELECT 'parenthetical_acronym_context' AS rule, language, upper(language) AS acronym, paper_id
+    FROM (SELECT * FROM (VALUES ('Gan', '-1'), ('Dass', '-3')) AS v(language, paper_id) UNION ALL SELECT 'Gan', CAST(doc_id AS VARCHAR) FROM documents)""")
 def screening_warnings(spark, sf_dir):
-    d = _with_cases(spark, sf_dir, fx.ACRONYM_CASES, "paper_id").withColumnRenamed("text", "block")
+    d = _acronym_texts(spark, sf_dir).select(F.col("id").alias("paper_id"), F.col("text").alias("block"))
     names = spark.createDataFrame([("Gan", 0), ("Dass", 0), ("Swahili", 0)], "language string, class_id int")
     return screening.screening_warnings(d, names, fx.lists(spark)[1], "paper_id", ["paper_id"])
 
