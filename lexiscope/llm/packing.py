@@ -229,7 +229,7 @@ def _write(path: str, folder: str, end_id: int, width: int, shard_ids: int):
             return pa.record_batch([pa.array([name]), pa.array([docs], pa.int64()), pa.array([counts], kinds)], names=["path", "n_docs", "counts"])
 
         for batch in batches:
-            for some in slices(batch):
+            for some in slices(batch, size=1_000_000):  # what is looked up at once stays in the caches
                 ids = [np.concatenate([x, end]) for x in enc.encode(some["text"].to_pylist())]
                 if out is None:
                     files, name = new_file(folder, ".ids")
