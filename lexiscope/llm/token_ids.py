@@ -76,6 +76,7 @@ class Encoder:
         self.line_end = self.ids("\n")
         self.letters = byte_letters()
         self.tails: dict[str, list[int]] = {}
+        self.ends = {c: self.ids(c) for c in TAIL}
         self.table = WordTable(self._learn_all, "H" if self.type.itemsize == 2 else "I", words)
         if len(self.line_end) != 1:
             raise ValueError("the vocabulary has no single id for a line end")
@@ -109,7 +110,16 @@ class Encoder:
         return self.line_end + ids if line else ids
 
     def _learn_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = list(map(self._learn, words))
+        tokenize, ends, found = self.tok.model.tokenize, self.ends, []
+        for w in words:
+            if w.isascii():  # nearly all are letters, or letters and one mark: the same as _learn has, with less around it
+                if w.isalpha():
+                    found.append([t.id for t in tokenize("\u0120" + w)])
+                    continue
+                if w[-1:] in ends and w[:-1].isalpha():
+                    found.append([t.id for t in tokenize("\u0120" + w[:-1])] + ends[w[-1]])
+                    continue
+            found.append(self._learn(w))
         sizes = np.array([-1 if x is None else len(x) for x in found], np.int64)
         return np.fromiter(chain.from_iterable(x or () for x in found), self.type), sizes
 
