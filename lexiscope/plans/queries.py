@@ -709,11 +709,15 @@ _VIEW = """vw AS (SELECT c_custkey AS paper_id, lower(c_name || ' ' || c_mktsegm
 det AS (SELECT DISTINCT o_custkey AS paper_id, o_orderpriority AS language, CAST(substr(o_orderpriority, 1, 1) AS INT) AS class FROM orders WHERE o_custkey % 11 <> 0)"""
 
 
-def paper_view(spark, sf_dir):
+#: The same with the detections of every paper.
+_WHOLE_VIEW = _VIEW.replace(" WHERE o_custkey % 11 <> 0", "")
+
+
+def paper_view(spark, sf_dir, detections=None):
     c = read(spark, sf_dir, "customer")
-    det = _order_detections(spark, sf_dir)
+    det = _order_detections(spark, sf_dir).where("paper_id % 11 <> 0") if detections is None else detections  # some papers have no chips
     v = c.select(F.col("c_custkey").alias("paper_id"), F.col("c_name").alias("title"), papers.search_text(F.col("c_name"), F.array("c_mktsegment")).alias("search_text"), F.col("c_custkey").alias("index"))
-    return papers.with_chips(v, det.where("paper_id % 11 <> 0"))  # some papers have no chips
+    return papers.with_chips(v, det)
 
 
 def _order_detections(spark, sf_dir):
@@ -727,9 +731,9 @@ def paper_search(spark, sf_dir):
     return v.where(papers.matches_text(F.col("search_text"), "1 BUIL ") | papers.matches_text(F.col("search_text"), "9 auto")).select("paper_id")
 
 
-@query(f"WITH {_VIEW} SELECT paper_id FROM vw WHERE contains(s, 'building') AND paper_id IN (SELECT paper_id FROM det WHERE language = '1-URGENT') AND paper_id IN (SELECT paper_id FROM det WHERE class = 2)")
+@query(f"WITH {_WHOLE_VIEW} SELECT paper_id FROM vw WHERE contains(s, 'building') AND paper_id IN (SELECT paper_id FROM det WHERE language = '1-URGENT') AND paper_id IN (SELECT paper_id FROM det WHERE class = 2)")
 def paper_filter(spark, sf_dir):
-    return papers.filter_papers(paper_view(spark, sf_dir), "building", "1-URGENT", 2).select("paper_id")
+    return papers.filter_papers(paper_view(spark, sf_dir, _order_detections(spark, sf_dir)), "building", "1-URGENT", 2).select("paper_id")
 
 
 @query(f"WITH {_VIEW} SELECT count(*) FILTER (WHERE contains(s, 'machinery')) AS visible, count(*) AS total FROM vw")
