@@ -2,7 +2,7 @@
 
 Word characters are letters, numbers and the underscore of any script, stated as an explicit class,
 as the engine's own word class knows ASCII alone. Every step is a built-in expression but
-Unicode normalisation, which runs as an Arrow function.
+Unicode normalisation, which runs in Python on the texts that it may change.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +26,13 @@ W = r"[\p{L}\p{N}_]"
 #: A place between a word character and none, at either end.
 START, END = rf"(?<!{W})(?={W})", rf"(?<={W})(?!{W})"
 S = r"[\s\x1c-\x1f\x85\p{Z}]"
+#: The same characters one by one.
+SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: Characters that NFKC leaves as they are, whatever stands beside them: texts of these alone need no normalisation.
+STABLE = (
+    "\x00-\x7f\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017e\u0391-\u03a1\u03a3-\u03ce\u0400-\u0481\u048a-\u052f"
+    "\u05d0-\u05ea\u0621-\u063a\u0641-\u064a\u0904-\u0939\u2010\u2012-\u2016\u2018-\u2023\u2030-\u2032\u2039-\u203b\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+)
 
 # What is removed, in order (name, pattern); Java syntax. The lists of commands, tokens and
 # connectors, and the numbers of characters to look ahead, decide results.
@@ -56,7 +62,10 @@ STEPS: dict[str, str] = {
     "math_functions": rf"{START}[a-z]{{2,8}}{S}*\({S}*[A-Z]?{S}*\)",
 }
 #: Two words before the parenthesis decide, small words not counted; more of them would change nothing.
-DEFINITION = rf"((?:(?!(?:{_SMALL})(?!{W}))[A-Za-z][a-z]*{S}+(?:(?:{_SMALL}){S}+)*){{2}})\(([A-Z]{{2,8}})\)"
+DEFINITION = rf"((?:(?!(?:{_SMALL})(?!{W}))[A-Za-z][a-z]*+{S}++(?:(?:{_SMALL}){S}++)*+){{2}})\(([A-Z]{{2,8}})\)"
+#: What may hold a definition: an acronym in parentheses, and what stands before it up to a mark that no definition has.
+DEFINED = r"\([A-Z]{2,8}\)"
+DEFINING = rf"(?<![^().,;:])[^().,;:]*+{DEFINED}"
 #: Fixed value: a function definition up to the next one, which only code steps change.
 CODE = (
     rf"(?isu){START}def{S}+[A-Za-z_]{W}*{S}*\([^)]*\){S}*:.*?{START}return{END}.*?"
@@ -72,21 +81,32 @@ LOWER_HYPHENATED = rf"([a-z][a-z0-9]*(?:-[a-z][a-z0-9]*){{1,7}}){S}*\(([A-Z]{{2,
 CONTEXT = rf"(?i)(?<![{HYPHENS}]){START}(?:language|speakers?|dialect|corpus|script|words?|text|spoken|fluent|native){END}"
 CONTEXT_CHARS = 60
 NOT_KEPT = rf"[^\s\x1c-\x1f\x85\p{{Z}}\p{{L}}{re.escape(APOSTROPHES)}{re.escape(HYPHENS)}{re.escape(NAME_EXTRAS)}]"
+#: Runs of those and of white space.
+BETWEEN = rf"[^a-zA-Z\p{{L}}{re.escape(APOSTROPHES)}{re.escape(HYPHENS)}{re.escape(NAME_EXTRAS)}]+"
 
 
-@F.pandas_udf(T.StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value made once however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def normalise(text: Column) -> Column:
-    """NFKC, no-break spaces as spaces, and no space before the dot of "et al."."""
-    return F.replace(F.replace(nfkc(text), F.lit(" "), F.lit(" ")), F.lit("et al ."), F.lit("et al."))
+#: Rows go to Python some at a time, not as Arrow batches of thousands of texts.
+_nfkc = F.udf(lambda text: text if text is None else unicodedata.normalize("NFKC", text), T.StringType(), useArrow=False)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value), with value made once however often body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def not_ascii(text: Column) -> Column:
+    return F.octet_length(text) != F.length(text)
+
+
+def nfkc(text: Column) -> Column:
+    """NFKC; texts of stable characters alone stay in the engine."""
+    odd = not_ascii(text) & F.regexp_like(text, F.lit(f"[^{STABLE}]"))
+    return F.coalesce(_nfkc(F.when(odd, text)), text)
+
+
+def normalise(text: Column) -> Column:
+    """NFKC, no-break spaces as spaces, and no space before the dot of "et al."."""
+    return F.replace(F.replace(nfkc(text), F.lit("\xa0"), F.lit(" ")), F.lit("et al ."), F.lit("et al."))
 
 
 #: What a block must hold (any of the texts, or of a class of characters) before a step's pattern can match: plain searches cost far less.
@@ -95,12 +115,14 @@ NEEDS: dict[str, tuple[str, ...]] = {
     "color_blocks": ("\\",), "inline_math": ("$", "\\"), "math_commands": ("\\",), "subscript_superscript": ("{",),
     "citation_author_year": ("(", "["), "citation_parens": ("(",), "citation_brackets": ("[",), "math_functions": ("(",),
 }
-_NEEDED_CLASS = {"alnum_tokens": "[0-9]", "standalone_numbers": "[0-9]", "latex_artifacts": "(?i)rgb|named|color"}
+_NEEDED_CLASS = {"alnum_tokens": "[0-9]", "standalone_numbers": "[0-9]"}
 
 
 def _may_match(name: str, block: Column) -> Column:
     if name in _NEEDED_CLASS:
         return F.regexp_like(block, F.lit(_NEEDED_CLASS[name]))
+    if name == "latex_artifacts":
+        return let(F.lower(block), lambda b: reduce(or_, (F.contains(b, F.lit(x)) for x in ("rgb", "named", "color"))))
     return reduce(or_, (F.contains(block, F.lit(x)) for x in NEEDS[name]))
 
 
@@ -132,14 +154,17 @@ def strip_code(block: Column) -> Column:
     return strip_col_markers(strip_col_slices(strip_col_assignments(block)))
 
 
+def _may_hold_code(block: Column) -> Column:
+    return let(F.lower(block), lambda b: F.contains(b, F.lit("def")) & F.contains(b, F.lit("return")))  # two plain searches leave out nearly all blocks
+
+
 def strip_code_blocks(block: Column) -> Column:
     """The same inside function definitions alone: an assignment that ends with its function can't take what follows it on the line."""
 
     def stripped(b: Column) -> Column:
         marked = F.regexp_replace(F.translate(b, _PART, " "), f"({CODE})", f"{_PART}$1{_PART}")
         parts = F.transform(F.split(marked, _PART), lambda p, i: F.when(i % 2 == 1, strip_code(p)).otherwise(p))
-        lower = F.lower(b)  # two plain searches leave out nearly all blocks
-        return F.when(F.contains(lower, F.lit("def")) & F.contains(lower, F.lit("return")), F.array_join(parts, "")).otherwise(b)
+        return F.when(_may_hold_code(b), F.array_join(parts, "")).otherwise(b)
 
     return let(block, stripped)
 
@@ -151,7 +176,7 @@ def split_blocks(text: Column) -> Column:
 
 
 def trim_space(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{S}+|{S}+\z", "")
+    return F.trim(text, F.lit(SPACES))
 
 
 def squeeze_space(text: Column) -> Column:
@@ -163,23 +188,30 @@ def replace_non_letters(text: Column) -> Column:
     return F.regexp_replace(text, NOT_KEPT, " ")
 
 
+def _defining(text: Column) -> Column:
+    """The parts of a text that may hold definitions, in a row; a definition has no parenthesis inside, so it lies in one of them."""
+    return F.when(F.contains(text, F.lit("(")), F.array_join(F.regexp_extract_all(text, F.lit(DEFINING), F.lit(0)), "")).otherwise("")
+
+
+def _acronyms(text: Column, *patterns: str) -> Column:
+    found = lambda t: F.array_sort(F.array_distinct(F.concat(*(F.regexp_extract_all(t, F.lit(p), F.lit(2)) for p in patterns))))
+    return let(_defining(text), lambda t: F.when(t != "", found(t)).otherwise(F.array().cast("array<string>")))
+
+
 def defined_acronyms(text: Column) -> Column:
     """Acronyms that a normalised text defines after spaced or capital-hyphenated phrases, sorted."""
-    found = F.concat(F.regexp_extract_all(text, F.lit(DEFINITION), F.lit(2)), F.regexp_extract_all(text, F.lit(HYPHENATED), F.lit(2)))
-    return F.when(F.contains(text, F.lit("(")), F.array_sort(F.array_distinct(found))).otherwise(F.array().cast("array<string>"))
+    return _acronyms(text, DEFINITION, HYPHENATED)
 
 
 def paper_acronyms(text: Column) -> Column:
     """All acronyms that a text defines, in lower-case hyphenated phrases too; empty for null."""
-    n = normalise(F.coalesce(text, F.lit("")))
-    lower = F.regexp_extract_all(n, F.lit(LOWER_HYPHENATED), F.lit(2))
-    return F.array_sort(F.array_union(defined_acronyms(n), lower))
+    return _acronyms(normalise(F.coalesce(text, F.lit(""))), DEFINITION, HYPHENATED, LOWER_HYPHENATED)
 
 
 def strip_definitions(block: Column) -> Column:
     """Parentheses of acronym definitions; the phrase stays."""
     both = lambda b: F.regexp_replace(F.regexp_replace(b, DEFINITION, "$1 "), HYPHENATED, "$1 ")
-    return let(block, lambda b: F.when(F.contains(b, F.lit("(")), both(b)).otherwise(b))
+    return let(block, lambda b: F.when(F.contains(b, F.lit("(")) & F.regexp_like(b, F.lit(DEFINED)), both(b)).otherwise(b))
 
 
 def _without(block: Column, acronym: Column) -> Column:
@@ -218,22 +250,30 @@ def step_matches(block: Column) -> Column:
     Long reports show their first matches (see REPORTED). acronym_catch has the acronyms that the block defines,
     replaced_chars the distinct characters that can't be part of a name in what is left.
     """
-    acronyms = defined_acronyms(block)
-    pairs = []
+    none = F.array().cast("array<string>")
 
-    def report(name: str, found: Column) -> None:
-        shown = F.slice(found, 1, REPORTED[name]) if name in REPORTED else found
-        pairs.append(F.struct(F.lit(name).alias("key"), shown.alias("value")))
+    def shown(name: str, found: Column) -> Column:
+        return F.struct(F.lit(name).alias("key"), (F.slice(found, 1, REPORTED[name]) if name in REPORTED else found).alias("value"))
 
-    for name, pattern in STEPS.items():
-        report(name, F.regexp_extract_all(block, F.lit(f"({pattern})"), F.lit(1)))
-        block = step(name)(block)
-        if name == "email_addresses":
-            report("def_return_funcs", F.regexp_extract_all(block, F.lit(f"({CODE})"), F.lit(1)))
-            block = strip_code_blocks(block)
-    report("acronym_catch", acronyms)
-    report("replaced_chars", F.array_sort(F.array_distinct(F.regexp_extract_all(strip_definitions(block), F.lit(f"({NOT_KEPT})"), F.lit(1)))))
-    return F.map_from_entries(F.filter(F.array(*pairs), lambda p: F.size(p["value"]) > 0))
+    def matches(pattern: str, b: Column) -> Column:
+        return F.regexp_extract_all(b, F.lit(f"({pattern})"), F.lit(1))
+
+    def report(names: list[str], b: Column, pairs: list[Column], acronyms: Column) -> Column:
+        """The report from a step on, for the block as the steps before left it, which is made once."""
+        if not names:
+            replaced = F.array_sort(F.array_distinct(matches(NOT_KEPT, strip_definitions(b))))
+            pairs = [*pairs, shown("acronym_catch", acronyms), shown("replaced_chars", replaced)]
+            return F.map_from_entries(F.filter(F.array(*pairs), lambda p: F.size(p["value"]) > 0))
+        name, *rest = names
+        if name == "def_return_funcs":
+            found, left = F.when(_may_hold_code(b), matches(CODE, b)).otherwise(none), strip_code_blocks(b)
+        else:
+            found, left = F.when(_may_match(name, b), matches(STEPS[name], b)).otherwise(none), step(name)(b)
+        return let(left, lambda x: report(rest, x, [*pairs, shown(name, found)], acronyms))
+
+    names = list(STEPS)
+    names.insert(names.index("email_addresses") + 1, "def_return_funcs")
+    return let(block, lambda b: report(names, b, [], defined_acronyms(b)))
 
 
 def clean_blocks(df: DataFrame, text: str = "text", acronyms: str | None = None) -> DataFrame:
@@ -248,7 +288,7 @@ def clean_blocks(df: DataFrame, text: str = "text", acronyms: str | None = None)
     n = n.withColumn("block", strip_definitions(strip_patterns(F.col("block"))))
     n = n.withColumn("block", strip_acronyms("block", "acronyms"))
     # exploded, so that a filter on the block isn't pushed below and makes it again
-    clean = F.filter(F.array(squeeze_space(replace_non_letters(F.col("block")))), lambda b: b != "")
+    clean = F.filter(F.array(F.trim(F.regexp_replace("block", BETWEEN, " "))), lambda b: b != "")
     return n.select(*rest, "acronyms", "block_idx", F.explode(clean).alias("block"))
 
 
