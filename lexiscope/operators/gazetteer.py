@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiscope.functions.cleaning import APOSTROPHES, HYPHENS, W
+from lexiscope.functions.cleaning import APOSTROPHES, HYPHENS, W, let, not_ascii
 
 TOKEN = rf"({W}+)"
 #: A word and what stands after it, up to the next word.
@@ -72,8 +72,11 @@ def build_detections(names: DataFrame, gazetteer: DataFrame, review: DataFrame,
 
 def match_key(text):
     """Lower case, with one apostrophe and one hyphen for all their variants."""
-    t = F.translate(F.lower(text), APOSTROPHES, "'" * len(APOSTROPHES))
-    return F.translate(t, HYPHENS, "-" * len(HYPHENS))
+    def one(t):
+        varied = F.contains(t, F.lit("`")) | (not_ascii(t) & F.regexp_like(t, F.lit(f"[{APOSTROPHES}{HYPHENS[1:]}]")))
+        return F.when(varied, F.translate(F.translate(t, APOSTROPHES, "'" * len(APOSTROPHES)), HYPHENS, "-" * len(HYPHENS))).otherwise(t)
+
+    return let(F.lower(text), one)
 
 
 def guarded_pattern(language):

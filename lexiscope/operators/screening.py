@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiscope.functions.acronyms import count_acronym_places
-from lexiscope.functions.cleaning import clean_blocks, paper_acronyms
+from lexiscope.functions.cleaning import clean_blocks, not_ascii, paper_acronyms
 from lexiscope.functions.labels import conflict_message
 from lexiscope.operators.gazetteer import TOKEN, UNIT, build_detections, drop_ignored, guarded_pattern, keyed, match_key, small
 from lexiscope.staging import written
@@ -23,19 +23,46 @@ from lexiscope.staging import written
 MODIFIER_APOSTROPHES = "[ʼʻʹʽ]"
 
 
+def _probes(names: DataFrame) -> DataFrame:
+    """(word, _unit, _next, language, class_id, kind, _n, _k) of keyed() names: by what words of a text they are looked up.
+
+    Names of kind "pairs" have a row for each of their _n pairs, the others one for their first word.
+    """
+    key = F.col("key")
+    words = names.select("language", "class_id", "kind", "token", F.regexp_extract_all(key, F.lit(TOKEN), F.lit(1)).alias("w"), F.regexp_extract_all(key, F.lit(UNIT), F.lit(0)).alias("u"))
+    first = F.array(F.struct(F.col("token").alias("word"), F.lit(None).cast("string").alias("_unit"), F.lit(None).cast("string").alias("_next"), F.lit(0).alias("_k")))
+    steps = F.transform(F.slice("w", 1, F.size("w") - 1), lambda w, k: F.struct(w.alias("word"), F.get("u", k).alias("_unit"), F.get("w", k + 1).alias("_next"), k.alias("_k")))
+    each = F.when(F.col("kind") == "pairs", steps).otherwise(first)
+    return words.select("language", "class_id", "kind", (F.size("w") - 1).alias("_n"), F.inline(each))
+
+
+def word_hits(texts: DataFrame, names: DataFrame, keys: list[str], block: str) -> DataFrame:
+    """(keys, language, class_id, _sure), a row each: keyed() names with a word found in texts, sure if their words alone decide.
+
+    Every text is keyed, cut into words and looked up once. Not sure are names of kind "text", and all names in
+    texts with one of MODIFIER_APOSTROPHES.
+    """
+    odd = not_ascii(F.col(block)) & F.regexp_like(F.col(block), F.lit(MODIFIER_APOSTROPHES))
+    # told apart before words are made: a test of the text behind explode would run for every word
+    keyed_texts = texts.select(*keys, odd.alias("_odd"), match_key(F.col(block)).alias("_key"))
+    cut = keyed_texts.select(*keys, "_odd", F.regexp_extract_all("_key", F.lit(TOKEN), F.lit(1)).alias("word"), F.regexp_extract_all("_key", F.lit(UNIT), F.lit(0)).alias("unit"))
+    after = F.slice("word", 2, F.greatest(F.size("word"), F.lit(1)))
+    held = cut.select(*keys, "_odd", F.posexplode(F.arrays_zip("word", "unit", after.alias("next"))).alias("_at", "_p"))
+    held = held.select(*keys, "_odd", "_at", "_p.word", "_p.unit", "_p.next")
+    pairs, sure = F.col("kind") == "pairs", ~F.col("_odd") & (F.col("kind") != "text")
+    meets = F.when(sure & pairs, (F.col("unit") == F.col("_unit")) & (F.col("next") == F.col("_next"))).otherwise(F.col("_k") == 0)
+    met = held.join(small(_probes(names)), "word").where(meets)
+    several = sure & pairs & (F.col("_n") > 1)
+    rows = met.select(
+        *keys, "language", "class_id", sure.alias("_sure"), F.when(several, F.col("_n")).alias("_wanted"), F.when(several, F.col("_at") - F.col("_k")).alias("_first")
+    )
+    found = rows.groupBy(*rows.columns).agg(F.count("*").alias("_found")).where("_wanted IS NULL OR _wanted = _found")
+    return found.select(*keys, "language", "class_id", "_sure").distinct()
+
+
 def pair_matches(texts: DataFrame, names: DataFrame, keys: list[str], block: str) -> DataFrame:
     """(keys, language, class_id) of names of several words in texts; names: see keyed(), those of kind "pairs"."""
-    # a unit is a word and what stands after it
-    units = lambda c: F.regexp_extract_all(c, F.lit(UNIT), F.lit(0))
-    words = lambda c: F.regexp_extract_all(c, F.lit(TOKEN), F.lit(1))
-    pairs = lambda c: F.arrays_zip(units(c).alias("unit"), F.slice(words(c), 2, F.greatest(F.size(words(c)), F.lit(1))).alias("next"))
-    own = names.select("language", "class_id", F.size(words(F.col("key"))).alias("_n"), F.posexplode(pairs(F.col("key"))).alias("_k", "_p"))
-    own = small(own.select("language", "class_id", (F.col("_n") - 1).alias("_n"), "_k", "_p.unit", "_p.next").where("next IS NOT NULL"))
-    held = texts.select(*keys, F.posexplode(pairs(match_key(F.col(block)))).alias("_at", "_p")).select(*keys, "_at", "_p.unit", "_p.next").where("next IS NOT NULL")
-    met = held.join(own, ["unit", "next"])
-    two = met.where("_n = 1").select(*keys, "language", "class_id").distinct()
-    more = met.where("_n > 1").groupBy(*keys, "language", "class_id", "_n", (F.col("_at") - F.col("_k")).alias("_first")).agg(F.count("*").alias("_found"))
-    return two.union(more.where("_found = _n").select(*keys, "language", "class_id").distinct())
+    return word_hits(texts, names, keys, block).where("_sure").drop("_sure")
 
 
 def match_names(blocks: DataFrame, gazetteer: DataFrame, keys: list[str], block: str = "block") -> DataFrame:
@@ -46,52 +73,65 @@ def match_names(blocks: DataFrame, gazetteer: DataFrame, keys: list[str], block:
     names = keyed(gazetteer)
     columns = [*keys, "language", "class_id"]
     texts = blocks.select(*keys, block)
-    # told apart before words are made: a test of the text behind explode would run for every word
-    odd = F.regexp_like(F.col(block), F.lit(MODIFIER_APOSTROPHES))
-    words = F.array_distinct(F.regexp_extract_all(match_key(F.col(block)), F.lit(TOKEN), F.lit(1)))
-    worded = names.where("token IS NOT NULL")
-
-    def hits(some: DataFrame, wanted: DataFrame) -> DataFrame:
-        return some.select(*keys, F.explode(words).alias("token")).join(small(wanted), "token").select(*columns)
-
-    exact = hits(texts.where(~odd), worded.where("kind = 'word'"))
-    several = pair_matches(texts.where(~odd), names.where("kind = 'pairs'"), keys, block)
-    unsure = hits(texts.where(~odd), worded.where("kind = 'text'")).union(hits(texts.where(odd), worded))
+    worded, wordless = names.where("token IS NOT NULL"), names.where("token IS NULL")
     # plain containment of the keys is much cheaper than the pattern and leaves it few texts
     near = F.contains(match_key(F.col(block)), match_key(F.col("language")))
     guard = near & F.regexp_like(F.col(block), guarded_pattern(F.col("language")))
-    checked = unsure.join(texts, keys).where(guard)
-    side = texts.join(small(names.where("token IS NULL")), guard)  # names without any word character
-    return exact.union(several).union(checked.select(*columns)).union(side.select(*columns))
+    hits = word_hits(texts, worded, keys, block)
+    again = texts
+    if worded.where("kind = 'text'").isEmpty():  # then only these texts can have names that are not sure
+        again = texts.where(not_ascii(F.col(block)) & F.regexp_like(F.col(block), F.lit(MODIFIER_APOSTROPHES)))
+    again = again.withColumn("_again", F.lit(False))
+    # sure names meet no text: their side of the key is true, the texts' false
+    same = F.col("_sure") == F.col("_again")
+    for k in keys:
+        same &= hits[k].eqNullSafe(again[k])
+    found = hits.join(again, same, "left").where(F.col("_sure") | F.coalesce(guard, F.lit(False))).select(*(hits[k] for k in keys), "language", "class_id")
+    if wordless.isEmpty():
+        return found
+    return found.union(texts.join(small(wordless), guard).select(*columns))  # names without any word character
+
+
+def acronym_places(blocks: DataFrame, keys: list[str], block: str = "block") -> DataFrame:
+    """(keys, _acronym, times): how often capital letters stand in parentheses as an acronym of the words before them.
+
+    Only blocks with such parentheses are looked at, and no text goes on.
+    """
+    acronyms = F.array_distinct(F.regexp_extract_all(F.col(block), F.lit(r"\(\s*([A-Z]{2,10})\s*\)"), F.lit(1)))
+    held = blocks.where(F.contains(block, F.lit("("))).select(*keys, block, F.explode(acronyms).alias("_acronym"))
+    return held.select(*keys, "_acronym", count_acronym_places(F.col(block), F.col("_acronym")).alias("times")).where("times > 0")
 
 
 def acronym_matches(matches: DataFrame, blocks: DataFrame, keys: list[str], block: str = "block") -> DataFrame:
-    """(keys, language, times): matches that stand in parentheses as acronyms of the words before them, with their places.
-
-    Only blocks with short text in parentheses are looked at.
-    """
-    acronyms = F.array_distinct(F.regexp_extract_all(F.col(block), F.lit(r"\(\s*([^()]{2,10}?)\s*\)"), F.lit(1)))
-    held = blocks.select(*keys, block, F.explode(acronyms).alias("_acronym"))
+    """(keys, language, times): matches that stand in parentheses as acronyms of the words before them, with their places."""
     own = matches.select(*keys, "language").distinct().withColumn("_acronym", F.upper(F.trim("language")))
-    counted = held.join(own, [*keys, "_acronym"]).withColumn("times", count_acronym_places(F.col(block), F.col("language")))
-    return counted.where("times > 0").select(*keys, "language", "times")
+    return acronym_places(blocks, keys, block).join(own, [*keys, "_acronym"]).select(*keys, "language", "times")
+
+
+def without_acronyms(found: DataFrame, blocks: DataFrame, keys: list[str], block: str = "block") -> DataFrame:
+    """found names (keys, language, class_id) that don't stand in parentheses as acronyms in their block."""
+    places = acronym_places(blocks, keys, block).select(*keys, "_acronym")
+    return found.withColumn("_acronym", F.upper(F.trim("language"))).join(places, [*keys, "_acronym"], "left_anti").drop("_acronym")
 
 
 def detect(blocks: DataFrame, gazetteer: DataFrame, ignore: DataFrame, keys: list[str], block: str = "block") -> DataFrame:
     """(keys, language, class_id) of names in cleaned blocks, without ignored names and acronyms."""
-    found = match_names(blocks, drop_ignored(gazetteer, ignore), keys, block)
-    return found.join(acronym_matches(found, blocks, keys, block), [*keys, "language"], "left_anti")
+    return without_acronyms(match_names(blocks, drop_ignored(gazetteer, ignore), keys, block), blocks, keys, block)
 
 
-def screening_warnings(blocks: DataFrame, gazetteer: DataFrame, ignore: DataFrame, paper_id: str, keys: list[str], block: str = "block") -> DataFrame:
-    """(rule, language, acronym, paper_id), a row for each vetoed place."""
-    found = match_names(blocks, drop_ignored(gazetteer, ignore), keys, block)
+def warnings_of(found: DataFrame, blocks: DataFrame, paper_id: str, keys: list[str], block: str = "block") -> DataFrame:
+    """(rule, language, acronym, paper_id), a row for each vetoed place of found names."""
     return acronym_matches(found, blocks, keys, block).select(
         F.lit("parenthetical_acronym_context").alias("rule"), "language", F.upper(F.trim("language")).alias("acronym"),
         F.col(paper_id).cast("string").alias("paper_id"), F.explode(F.expr("sequence(1, times)")).alias("_n"),
     ).drop("_n")
 
 
+def screening_warnings(blocks: DataFrame, gazetteer: DataFrame, ignore: DataFrame, paper_id: str, keys: list[str], block: str = "block") -> DataFrame:
+    """warnings_of() the names that blocks hold."""
+    return warnings_of(match_names(blocks, drop_ignored(gazetteer, ignore), keys, block), blocks, paper_id, keys, block)
+
+
 def screen(texts: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame, keys: list[str], text: str = "text", acronyms: str | None = None) -> DataFrame:
     """Clean, detect and build detections: (keys, block_idx, language, class, needs_review, flag_reason), a row for each block and name."""
     rows = texts.select(*keys, text, *([acronyms] if acronyms else []))
