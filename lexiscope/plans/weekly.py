@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexiscope.functions.cleaning import clean_blocks, paper_acronyms
 from lexiscope.operators import assembly, manifest, screening
-from lexiscope.operators.gazetteer import build_detections
+from lexiscope.operators.gazetteer import build_detections, drop_ignored
 from lexiscope.operators.html import REMOVE_HEADINGS, skip_sections
 from lexiscope.staging import written
 
@@ -44,22 +44,24 @@ def screen_papers(
 
     A section's title is a block of its own before the others, as it stands.
     """
-    rows, checked, _, _ = _screened(candidates, gazetteer, ignore, review, headings)
+    rows, checked, _, _, _ = _screened(candidates, gazetteer, ignore, review, headings)
     return rows, checked
 
 
 def _screened(candidates, gazetteer, ignore, review, headings):
-    """Detections, sources_checked, stored blocks, and the texts with the acronyms that they were given."""
+    """Detections, sources_checked, stored blocks, the names found in them before the veto (stored too), and the texts with the acronyms that they were given."""
     texts, checked = source_texts(candidates, headings)
     keys = ["paper_id", "source", "section"]
     blocks = clean_blocks(texts.select(*keys, "text", "given"), "text", "given").select(*keys, "block_idx", "block")
     titles = texts.where("title <> ''").select(*keys, F.lit(-1).alias("block_idx"), F.col("title").alias("block"))
     stored = written(blocks.union(titles), "blocks")
-    found = screening.detect(stored, gazetteer, ignore, [*keys, "block_idx"]).select(*keys, "block_idx", "language")
-    rows = build_detections(found, gazetteer, review, ignore)
+    own = [*keys, "block_idx"]
+    found = written(screening.match_names(stored, drop_ignored(gazetteer, ignore), own), "found")
+    kept = screening.without_acronyms(found, stored, own).select(*own, "language")
+    rows = build_detections(kept, gazetteer, review, ignore)
     order = F.create_map(*(F.lit(x) for pair in ORDER.items() for x in pair))[F.col("source")]
     place = F.struct(order.alias("source"), "section", "block_idx", "language")
-    return rows.withColumn("ord", place), checked, stored, texts
+    return rows.withColumn("ord", place), checked, stored, found, texts
 
 
 def weekly_manifest(papers: DataFrame, candidates: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame, start: str, end: str, query: str) -> DataFrame:
@@ -83,15 +85,15 @@ class Week(NamedTuple):
 def run_week(candidates: DataFrame, gazetteer: DataFrame, ignore: DataFrame, review: DataFrame, headings: tuple[str, ...] = REMOVE_HEADINGS) -> Week:
     """Screens a week's papers once and writes all that comes out of it.
 
-    Blocks are stored and feed detections and vetoes. Warnings are acronyms that a paper's HTML defines
+    Blocks and the names in them are stored and feed detections and vetoes. Warnings are acronyms that a paper's HTML defines
     and that are names too. Statistics are observed while results are written, not counted afterwards.
     """
-    rows, checked, blocks, texts = _screened(candidates, gazetteer, ignore, review, headings)
+    rows, checked, blocks, named, texts = _screened(candidates, gazetteer, ignore, review, headings)
     keys = ["paper_id", "source", "section", "block_idx"]
     merged = written(assembly.merge_detections(rows), "week-merged")
     given = texts.where("source = 'html'").select("paper_id", F.explode("given").alias("acronym")).distinct()
     warnings = written(screening.conflicts_of(given, gazetteer, ignore).withColumn("step", F.lit("acronym_conflict")), "week-warnings")
-    vetoes = written(screening.screening_warnings(blocks, gazetteer, ignore, "paper_id", keys), "week-vetoes")
+    vetoes = written(screening.warnings_of(named, blocks, "paper_id", keys), "week-vetoes")
     found = merged.groupBy("paper_id").agg(F.sum(F.size("sources")).alias("n_detections"))
     results = checked.join(found, "paper_id", "left").withColumns({"n_detections": F.coalesce("n_detections", F.lit(0)), "failed": F.lit(False)})
     seen = Observation("stats")
