@@ -445,7 +445,7 @@ def _encode(path: str, schema: pa.Schema, wanted: tuple[str, ...], n: int):
             "n_pieces": lambda: [len(r.ids) for r in rows],
             "ids_sha256": lambda: [hashlib.sha256(r.ids.astype("<u4").tobytes()).hexdigest() for r in rows],
             "score": lambda: [r.score for r in rows],
-            "second_gap": lambda: [None if r.gap == float("inf") else r.gap for r in rows],
+            "second_gap": lambda: [r.others[0][0] if r.others else None for r in rows],
             "nbest": lambda: [[{"score": r.score - c, "ids": ids} for c, ids in ((0.0, r.ids), *r.others)] for r in rows],
             "nbest_gaps": lambda: [[c for c, _ in r.others] for r in rows],
             "nbest_sha256": lambda: [_nbest_digest(r) for r in rows],
@@ -458,7 +458,7 @@ def _encode(path: str, schema: pa.Schema, wanted: tuple[str, ...], n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared_pieces(path)
         decode = any(c in wanted for c in ("decoded", "decoded_sha256", "round_trip"))
-        open_ = n if any(c.startswith("nbest") for c in wanted) else 1
+        open_ = max(n, 2)  # the backward search runs whatever the columns: it gives the second best
         for whole in batches:
             for batch in slices(whole, size=2_000_000):
                 texts = [t or "" for t in batch["text"].to_pylist()]
