@@ -33,6 +33,8 @@ STABLE = (
     "\x00-\x7f\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017e\u0391-\u03a1\u03a3-\u03ce\u0400-\u0481\u048a-\u052f"
     "\u05d0-\u05ea\u0621-\u063a\u0641-\u064a\u0904-\u0939\u2010\u2012-\u2016\u2018-\u2023\u2030-\u2032\u2039-\u203b\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
 )
+#: A character that isn't one of these. Two ranges of them are told apart first, as the whole class takes a multiple of the time for each character.
+UNSTABLE = rf"(?=[^\x00-\x7f\xbf-\u0131])[^{STABLE}]"
 
 # What is removed, in order (name, pattern); Java syntax. The lists of commands, tokens and
 # connectors, and the numbers of characters to look ahead, decide results.
@@ -81,8 +83,9 @@ LOWER_HYPHENATED = rf"([a-z][a-z0-9]*(?:-[a-z][a-z0-9]*){{1,7}}){S}*\(([A-Z]{{2,
 CONTEXT = rf"(?i)(?<![{HYPHENS}]){START}(?:language|speakers?|dialect|corpus|script|words?|text|spoken|fluent|native){END}"
 CONTEXT_CHARS = 60
 NOT_KEPT = rf"[^\s\x1c-\x1f\x85\p{{Z}}\p{{L}}{re.escape(APOSTROPHES)}{re.escape(HYPHENS)}{re.escape(NAME_EXTRAS)}]"
-#: Runs of those and of white space.
-BETWEEN = rf"[^a-zA-Z\p{{L}}{re.escape(APOSTROPHES)}{re.escape(HYPHENS)}{re.escape(NAME_EXTRAS)}]+"
+_KEPT = rf"a-zA-Z\p{{L}}{re.escape(APOSTROPHES)}{re.escape(HYPHENS)}{re.escape(NAME_EXTRAS)}"
+#: Runs of those and of white space, but for single spaces before what is kept, which are most of them and stay as they are.
+BETWEEN = rf"(?! [{_KEPT}])[^{_KEPT}]++"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -100,7 +103,7 @@ def not_ascii(text: Column) -> Column:
 
 def nfkc(text: Column) -> Column:
     """NFKC; texts of stable characters alone stay in the engine."""
-    odd = not_ascii(text) & F.regexp_like(text, F.lit(f"[^{STABLE}]"))
+    odd = not_ascii(text) & F.regexp_like(text, F.lit(UNSTABLE))
     return F.coalesce(_nfkc(F.when(odd, text)), text)
 
 
@@ -195,7 +198,7 @@ def _defining(text: Column) -> Column:
 
 def _acronyms(text: Column, *patterns: str) -> Column:
     found = lambda t: F.array_sort(F.array_distinct(F.concat(*(F.regexp_extract_all(t, F.lit(p), F.lit(2)) for p in patterns))))
-    return let(_defining(text), lambda t: F.when(t != "", found(t)).otherwise(F.array().cast("array<string>")))
+    return let(let(text, _defining), lambda t: F.when(t != "", found(t)).otherwise(F.array().cast("array<string>")))
 
 
 def defined_acronyms(text: Column) -> Column:
@@ -226,7 +229,8 @@ def _without(block: Column, acronym: Column) -> Column:
         mark = lambda k: F.when(shows(before(k)) | shows(after(k)), acronym).otherwise(F.lit(" "))
         return F.array_join(F.transform(p, lambda x, k: F.when(k == 0, x).otherwise(F.concat(mark(k), x))), "")
 
-    return let(parts, lambda p: F.when(F.size(p) > 1, joined(p)).otherwise(block))
+    # a plain search leaves most blocks out
+    return F.when(F.contains(block, acronym), let(parts, lambda p: F.when(F.size(p) > 1, joined(p)).otherwise(block))).otherwise(block)
 
 
 def strip_acronyms(block: Column | str, acronyms: Column | str) -> Column:

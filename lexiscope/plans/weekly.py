@@ -49,8 +49,9 @@ def screen_papers(
 
 
 def _screened(candidates, gazetteer, ignore, review, headings):
-    """Detections, sources_checked, stored blocks, the names found in them before the veto (stored too), and the texts with the acronyms that they were given."""
+    """Detections, sources_checked, stored blocks, the names found in them before the veto (stored too), and the stored texts with the acronyms that they were given."""
     texts, checked = source_texts(candidates, headings)
+    texts = written(texts, "texts")  # blocks, titles and warnings read them, and a paper's acronyms are made once
     keys = ["paper_id", "source", "section"]
     blocks = clean_blocks(texts.select(*keys, "text", "given"), "text", "given").select(*keys, "block_idx", "block")
     titles = texts.where("title <> ''").select(*keys, F.lit(-1).alias("block_idx"), F.col("title").alias("block"))
