@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiscope.functions.acronyms import count_acronym_places
-from lexiscope.functions.cleaning import clean_blocks, not_ascii, paper_acronyms
+from lexiscope.functions.cleaning import clean_blocks, paper_acronyms
 from lexiscope.functions.labels import conflict_message
 from lexiscope.operators.gazetteer import TOKEN, UNIT, build_detections, drop_ignored, guarded_pattern, keyed, match_key, small
 from lexiscope.staging import written
@@ -98,8 +98,9 @@ def acronym_places(blocks: DataFrame, keys: list[str], block: str = "block") ->
     Only blocks with such parentheses are looked at, and no text goes on.
     """
     acronyms = F.array_distinct(F.regexp_extract_all(F.col(block), F.lit(r"\(\s*([A-Z]{2,10})\s*\)"), F.lit(1)))
-    held = blocks.where(F.contains(block, F.lit("("))).select(*keys, block, F.explode(acronyms).alias("_acronym"))
-    return held.select(*keys, "_acronym", count_acronym_places(F.col(block), F.col("_acronym")).alias("times")).where("times > 0")
+    counted = F.transform(acronyms, lambda a: F.struct(a.alias("_acronym"), count_acronym_places(F.col(block), a).alias("times")))
+    # a row for each one that counts: a filter behind the rows would be pushed below and count them again
+    return blocks.where(F.contains(block, F.lit("("))).select(*keys, F.inline(F.filter(counted, lambda c: c["times"] > 0)))
 
 
 def acronym_matches(matches: DataFrame, blocks: DataFrame, keys: list[str], block: str = "block") -> DataFrame:

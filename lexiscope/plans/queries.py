@@ -249,7 +249,8 @@ def clean_latin(spark, sf_dir):
 def _acronym_texts(spark, sf_dir, rows=fx.ACRONYM_CASES):
     """(id, text, language): the literal cases by negative ids, and all documents with a definition behind their text."""
     cases = spark.createDataFrame([(-r[0], r[1], r[2] if len(r) > 2 else None) for r in rows], "id long, text string, language string")
-    text = F.concat(F.translate(F.coalesce("text", F.lit("")), "()", "  "), F.lit(" \n. A Generative Adversarial Network (GAN)"))
+    bare = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("("), F.lit(" ")), F.lit(")"), F.lit(" "))
+    text = F.concat(bare, F.lit(" \n. A Generative Adversarial Network (GAN)"))
     return cases.unionByName(_docs(spark, sf_dir).select(F.col("doc_id").cast("long").alias("id"), text.alias("text"), F.lit("Gan").alias("language")))
 
 
