@@ -10,6 +10,9 @@ is in proportion to the text, not to text times names.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +23,11 @@ from lexiscope.operators.gazetteer import TOKEN, UNIT, build_detections, drop_ig
 from lexiscope.staging import written
 
 #: These apostrophes are word characters themselves; blocks with one are confirmed on their own text.
-MODIFIER_APOSTROPHES = "[ʼʻʹʽ]"
+MODIFIER_APOSTROPHES = "ʼʻʹʽ"
+
+
+def _modified(text):
+    return reduce(or_, (F.contains(text, F.lit(c)) for c in MODIFIER_APOSTROPHES))
 
 
 def _probes(names: DataFrame) -> DataFrame:
@@ -42,9 +49,8 @@ def word_hits(texts: DataFrame, names: DataFrame, keys: list[str], block: str) -
     Every text is keyed, cut into words and looked up once. Not sure are names of kind "text", and all names in
     texts with one of MODIFIER_APOSTROPHES.
     """
-    odd = not_ascii(F.col(block)) & F.regexp_like(F.col(block), F.lit(MODIFIER_APOSTROPHES))
     # told apart before words are made: a test of the text behind explode would run for every word
-    keyed_texts = texts.select(*keys, odd.alias("_odd"), match_key(F.col(block)).alias("_key"))
+    keyed_texts = texts.select(*keys, _modified(F.col(block)).alias("_odd"), match_key(F.col(block)).alias("_key"))
     cut = keyed_texts.select(*keys, "_odd", F.regexp_extract_all("_key", F.lit(TOKEN), F.lit(1)).alias("word"), F.regexp_extract_all("_key", F.lit(UNIT), F.lit(0)).alias("unit"))
     after = F.slice("word", 2, F.greatest(F.size("word"), F.lit(1)))
     held = cut.select(*keys, "_odd", F.posexplode(F.arrays_zip("word", "unit", after.alias("next"))).alias("_at", "_p"))
@@ -80,7 +86,7 @@ def match_names(blocks: DataFrame, gazetteer: DataFrame, keys: list[str], block:
     hits = word_hits(texts, worded, keys, block)
     again = texts
     if worded.where("kind = 'text'").isEmpty():  # then only these texts can have names that are not sure
-        again = texts.where(not_ascii(F.col(block)) & F.regexp_like(F.col(block), F.lit(MODIFIER_APOSTROPHES)))
+        again = texts.where(_modified(F.col(block)))
     again = again.withColumn("_again", F.lit(False))
     # sure names meet no text: their side of the key is true, the texts' false
     same = F.col("_sure") == F.col("_again")
